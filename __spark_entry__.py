@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartloom.checks.oracle import ORACLE
@@ -29,7 +31,7 @@ MIN_ITEMSET_COUNT = 7
 MIN_ITEMSET_SHARE = 0.00019
 # Small estimators: the registered runs show that the jobs work, not how well they predict.
 QUICK_MODELS = {
-    "lr": {},
+    "lr": {"maxIter": 10},
     "rf": {"numTrees": 10, "maxDepth": 5},
     "gbt": {"maxIter": 5, "maxDepth": 3},
 }
@@ -51,19 +53,24 @@ def _fact(t: Tables) -> DataFrame:
     return features.prior_full(t, TOKEN)
 
 
+def _train_fact(t: Tables) -> DataFrame:
+    """Prior lines of the users of the train set; the restriction is applied to the orders."""
+    own = t.orders.join(features.train_users(t), "user_id", "left_semi")
+    return _fact(replace(t, orders=own))
+
+
 def _users(t: Tables) -> DataFrame:
     return features.user_features(_fact(t), RATIO_DEPARTMENTS)
 
 
 def _train_dataset(t: Tables) -> DataFrame:
     # Only train users get rows, so user-level features are computed for them alone.
-    fact = _fact(t)
-    own = fact.join(features.train_users(t), "user_id", "left_semi")
+    own = _train_fact(t)
     return features.train_dataset(
         t,
         features.user_product_features(own),
         features.user_features(own, RATIO_DEPARTMENTS),
-        features.product_features(fact),
+        features.product_features(_fact(t)),
     )
 
 
@@ -76,9 +83,7 @@ def _null_counts(t: Tables) -> DataFrame:
 
 
 def _labels(t: Tables) -> DataFrame:
-    fact = _fact(t)
-    own = fact.join(features.train_users(t), "user_id", "left_semi")
-    pairs = own.select("user_id", "product_id").distinct()
+    pairs = _train_fact(t).select("user_id", "product_id").distinct()
     labelled = pairs.join(features.train_labels(t), ["user_id", "product_id"], "left")
     return profile.label_distribution(labelled.fillna({"reordered": 0}), "reordered")
 
@@ -103,8 +108,8 @@ def _user_sample(t: Tables) -> DataFrame:
 
 def _scored(t: Tables) -> DataFrame:
     """Training pairs with a fixed score: the share of the user's orders holding the product."""
-    own = _fact(t).join(features.train_users(t), "user_id", "left_semi")
-    pairs = features.user_product_features(own).select("user_id", "product_id", "up_reorder_rate")
+    pairs = features.user_product_features(_train_fact(t))
+    pairs = pairs.select("user_id", "product_id", "up_reorder_rate")
     labels = features.train_labels(t)
     scored = pairs.join(labels, ["user_id", "product_id"], "left").fillna({"reordered": 0})
     return scored.select(
@@ -121,7 +126,8 @@ def _user_split(t: Tables) -> DataFrame:
 
 
 def _class_weights(t: Tables) -> DataFrame:
-    train, _ = reorder.split_by_user(_scored(t))
+    users = _train_fact(t).select("user_id")
+    train, _ = reorder.split_by_user(_scored(t), users=users)
     weights = reorder.class_weights(train)
     return weights.select(
         "positive",
@@ -188,12 +194,11 @@ def _basket_report(t: Tables) -> DataFrame:
 
 def _reorder_model(model: str) -> Callable[[Tables], DataFrame]:
     def run(t: Tables) -> DataFrame:
-        train, test = reorder.split_and_weigh(_train_dataset(t), 42, REORDER_FEATURES)
-        train, test = train.persist(), test.persist()
+        data = _train_dataset(t).persist(StorageLevel.MEMORY_AND_DISK)
+        train, test = reorder.split_and_weigh(data, 42, REORDER_FEATURES)
         options = QUICK_MODELS[model]
         _, record = reorder.fit_and_score(train, test, model, 42, REORDER_FEATURES, **options)
-        train.unpersist()
-        test.unpersist()
+        data.unpersist()
         record.pop("elapsed_seconds")
         return t.orders.sparkSession.createDataFrame([record])
 

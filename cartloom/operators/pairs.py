@@ -12,6 +12,8 @@ things keep it distributable:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartloom.operators.relational import stats_of, top_k
@@ -88,7 +90,7 @@ def pair_counts(lines: DataFrame, largest_basket: int, block: int = BLOCK) -> Da
 
 def cross_pair_counts(sided: DataFrame, largest_basket: int, block: int = BLOCK) -> DataFrame:
     """Orders holding both a left and a right product; ``is_left`` names the side of each line."""
-    lines = sided.select("order_id", "product_id", "is_left").distinct()
+    lines = sided.select("order_id", "product_id", "is_left")
     keys = ["order_id"]
     if largest_basket > block:
         # In an order too large for one array a left product goes to one row of a grid of parts
@@ -103,13 +105,14 @@ def cross_pair_counts(sided: DataFrame, largest_basket: int, block: int = BLOCK)
                 F.when(F.col("is_left"), other).otherwise(own).alias("column"),
             ),
         )
-        lines = lines.withColumn("parts", F.ceil(size / block)).withColumn("cell", F.explode(cell))
+        lines = lines.distinct().withColumn("parts", F.ceil(size / block))
+        lines = lines.withColumn("cell", F.explode(cell))
         lines = lines.select("order_id", "product_id", "is_left", "cell.row", "cell.column")
         keys = ["order_id", "row", "column"]
         lines = lines.repartition(*keys)
 
     def side(is_left: Column) -> Column:
-        return F.collect_list(F.when(is_left, F.col("product_id")))
+        return F.collect_set(F.when(is_left, F.col("product_id")))
 
     return (
         lines.groupBy(*keys)
@@ -123,23 +126,32 @@ def cross_pair_counts(sided: DataFrame, largest_basket: int, block: int = BLOCK)
 
 
 def top_pair_counts(
-    lines: DataFrame, largest_basket: int, k: int, seeds: int = SEEDS, block: int = BLOCK
+    lines: DataFrame,
+    k: int,
+    largest_basket: int,
+    small: Callable[[DataFrame], DataFrame],
+    among: DataFrame | None = None,
+    seeds: int = SEEDS,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """The k most frequent pairs, counting only pairs that can be among them.
+    """The k most frequent pairs (of products in ``among``), counting only pairs that can be one.
 
     The pairs among the ``seeds`` most bought products give k real counts; the smallest of them
-    is a floor. A pair occurs at most as often as its rarer product, so products in fewer orders
-    than the floor cannot be part of a top pair and are left out before pairing.
+    is a floor. A pair occurs at most as often as its rarer product has lines, so products with
+    fewer lines than the floor are left out before pairing. ``small`` marks a relation of one
+    row per product for broadcast where that is safe.
     """
-    lines = lines.select("order_id", "product_id").distinct()
-    frequency = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("orders"))
-    seed = top_k(frequency, [F.desc("orders"), F.asc("product_id")], seeds).select("product_id")
+    lines = lines.select("order_id", "product_id")
+    frequency = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"))
+    if among is not None:
+        frequency = frequency.join(small(among.select("product_id")), "product_id", "left_semi")
+    seed = top_k(frequency, [F.desc("lines"), F.asc("product_id")], seeds).select("product_id")
     # The seeds are limited in number, so this broadcast has a fixed size.
     seed_lines = lines.join(F.broadcast(seed), "product_id", "left_semi")
     best = top_k(pair_counts(seed_lines, min(largest_basket, seeds), block), pair_order(), k)
     found = stats_of(best, n=F.count(F.lit(1)), least=F.min("co_occurrence"))
     floor = F.when(found.getField("n") >= k, found.getField("least")).otherwise(F.lit(0))
 
-    eligible = frequency.where(F.col("orders") >= floor).select("product_id")
-    kept = lines.join(eligible, "product_id", "left_semi")
+    eligible = frequency.where(F.col("lines") >= floor).select("product_id")
+    kept = lines.join(small(eligible), "product_id", "left_semi")
     return top_k(pair_counts(kept, largest_basket, block), pair_order(), k)

@@ -28,13 +28,18 @@ def with_ratios(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFra
     return df.withColumns({name: ratio(F.col(a), F.col(b)) for name, (a, b) in ratios.items()})
 
 
+# Bits that hold the value next to its count in ``modes_per_key``.
+_VALUE_BITS = 10
+
+
 def modes_per_key(df: DataFrame, key: str, values: Mapping[str, str], weight: str) -> DataFrame:
-    """Most frequent value per key for several integer columns; the smallest value wins a tie.
+    """Most frequent value per key for several columns of small numbers (0..1023).
 
-    All columns share one aggregation: rows are unfolded to (column, value), counted, and the
-    best (count, value) is kept with ``max``. Both steps combine before they shuffle, so a heavy
-    key costs no more than its number of distinct values.
+    The smallest value wins a tie. All columns share one aggregation: rows are unfolded to
+    (column, value) and counted; count and value then form one long whose maximum is the answer,
+    which keeps both steps in hash aggregates that combine before they shuffle.
     """
+    limit = (1 << _VALUE_BITS) - 1
     unfolded = df.select(
         key,
         weight,
@@ -48,12 +53,12 @@ def modes_per_key(df: DataFrame, key: str, values: Mapping[str, str], weight: st
         ).alias("v"),
     )
     counted = unfolded.groupBy(key, "v.kind", "v.value").agg(F.sum(weight).alias("n"))
-    best = {
-        name: F.max(F.when(F.col("kind") == name, F.struct("n", (-F.col("value")).alias("negated"))))
-        for name in values
-    }
-    found = counted.groupBy(key).agg(*[column.alias(name) for name, column in best.items()])
-    return found.select(key, *[(-F.col(f"{name}.negated")).alias(name) for name in values])
+    ranked = F.shiftleft("n", _VALUE_BITS) + (limit - F.col("value"))
+    found = counted.groupBy(key).agg(
+        *[F.max(F.when(F.col("kind") == name, ranked)).alias(name) for name in values]
+    )
+    decoded = [(limit - F.col(n).bitwiseAND(limit)).cast("int").alias(n) for n in values]
+    return found.select(key, *decoded)
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, column: str, name: str) -> DataFrame:

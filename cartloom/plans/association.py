@@ -45,9 +45,8 @@ def association_rules(model: FPGrowthModel) -> DataFrame:
 
 def named_rules(rules: DataFrame, products: DataFrame) -> DataFrame:
     """Rules with the product names of both sides."""
-    named = names_for(rules, _RULE, "antecedent", "antecedent_names", products)
-    named = names_for(named, _RULE, "consequent", "consequent_names", products)
-    return named.orderBy(*_strongest())
+    names = {side: f"{side}_names" for side in _RULE}
+    return names_for(rules, names, products).orderBy(*_strongest())
 
 
 def top_rules(rules: DataFrame, products: DataFrame, k: int = 20) -> DataFrame:

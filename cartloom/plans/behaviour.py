@@ -118,7 +118,7 @@ def aisle_sales(t: Tables, department: str = "produce") -> DataFrame:
     shelf = t.products.join(chosen, "department_id", "left_semi").join(t.aisles, "aisle_id")
     return (
         _product_totals(t.op_all)
-        .join(shelf.select("product_id", "aisle"), "product_id")
+        .join(t.per_product(shelf.select("product_id", "aisle")), "product_id")
         .groupBy("aisle")
         .agg(
             F.sum("sold").alias("total_sales"),

@@ -34,7 +34,7 @@ def prior_full(t: Tables, token: str = "organic") -> DataFrame:
     catalogue = products_full(t).withColumn(
         "is_organic", flag(has_token(F.col("product_name"), token))
     )
-    return t.op_prior.join(orders, "order_id").join(catalogue, "product_id").select(
+    return t.op_prior.join(orders, "order_id").join(t.per_product(catalogue), "product_id").select(
         "order_id",
         "product_id",
         "add_to_cart_order",
@@ -191,7 +191,7 @@ def train_dataset(
         candidates.join(train_labels(t), ["user_id", "product_id"], "left")
         .fillna({"reordered": 0})
         .join(users, "user_id", "left")
-        .join(products, "product_id", "left")
+        .join(t.per_product(products), "product_id", "left")
     )
 
 

@@ -78,7 +78,7 @@ def product_segments(
 
 def product_pairs(t: Tables) -> DataFrame:
     """How many orders hold both products, for every pair of products."""
-    return pair_counts(t.op_all, t.measured().largest_basket)
+    return pair_counts(t.op_all, t.largest_basket())
 
 
 # Columns of one side of the pair table: attribute of the product -> name without the side.
@@ -131,8 +131,8 @@ def product_pair_base(t: Tables, top_pairs: int | None = None, **segment_options
     """
     segments = product_segments(t, **segment_options)
     if top_pairs is None:
-        return enrich_pairs(product_pairs(t), segments)
-    best = top_pair_counts(t.op_all, t.measured().largest_basket, top_pairs)
+        return enrich_pairs(product_pairs(t), t.per_product(segments))
+    best = top_pair_counts(t.op_all, top_pairs, t.largest_basket(), t.per_product)
     return enrich_pairs(F.broadcast(best), segments)
 
 
@@ -149,8 +149,7 @@ def top_pairs(t: Tables, min_purchases: int = 50_000, k: int = 15, **segment_opt
     """
     segments = product_segments(t, **segment_options)
     often = segments.where(F.col("total_purchases") > min_purchases).select("product_id")
-    lines = t.op_all.join(often, "product_id", "left_semi")
-    best = top_pair_counts(lines, t.measured().largest_basket, k)
+    best = top_pair_counts(t.op_all, k, t.largest_basket(), t.per_product, among=often)
     return top_k(enrich_pairs(F.broadcast(best), segments), pair_order(), k).select(
         *_TOP_PAIR_COLUMNS
     )
@@ -180,8 +179,8 @@ def potential_core_pairs(t: Tables, k: int = 10, **segment_options) -> DataFrame
     sides = segments.where(F.col("product_segment").isin(POTENTIAL, CORE)).select(
         "product_id", (F.col("product_segment") == POTENTIAL).alias("is_left")
     )
-    lines = t.op_all.select("order_id", "product_id").join(sides, "product_id")
-    counted = cross_pair_counts(lines, t.measured().largest_basket)
+    lines = t.op_all.select("order_id", "product_id").join(t.per_product(sides), "product_id")
+    counted = cross_pair_counts(lines, t.largest_basket())
     oriented = counted.select(
         F.least("left_id", "right_id").alias("product_a_id"),
         F.greatest("left_id", "right_id").alias("product_b_id"),
@@ -235,7 +234,7 @@ def top_potential_products(t: Tables, k: int = 10, **segment_options) -> DataFra
     lines = t.op_all.select("order_id", "product_id").distinct()
     shared = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     paired = lines.join(shared, "order_id", "left_semi").select("product_id").distinct()
-    found = segments.join(paired, "product_id", "left_semi").select(
+    found = segments.join(t.per_product(paired), "product_id", "left_semi").select(
         "product_id",
         "product_name",
         "department",
@@ -258,7 +257,7 @@ def department_matrix(t: Tables, digits: int = 2) -> DataFrame:
     orders and users are plain row counts and no line is multiplied for a distinct count.
     """
     shelf = t.products.join(t.departments.select("department_id"), "department_id", "left_semi")
-    shelf = shelf.select("product_id", "department_id")
+    shelf = t.per_product(shelf.select("product_id", "department_id"))
     in_order = (
         t.op_all.join(shelf, "product_id")
         .groupBy("order_id", "department_id")

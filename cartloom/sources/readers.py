@@ -70,5 +70,5 @@ def sample_users(tables: Tables, fraction: float, seed: int = 42) -> Tables:
         products=tables.products,
         aisles=tables.aisles,
         departments=tables.departments,
-        largest_basket=tables.largest_basket,
+        known=tables.known,
     )

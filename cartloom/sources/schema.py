@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
@@ -66,9 +66,16 @@ VIEW_NAMES: dict[str, str] = {
 }
 
 
+# A relation with one row per product is sent to every task up to this many products.
+BROADCAST_PRODUCTS = 500_000
+
+
 @dataclass(frozen=True)
 class Tables:
-    """The seven logical tables. ``op_all`` holds prior and train lines together."""
+    """The seven logical tables. ``op_all`` holds prior and train lines together.
+
+    ``known`` remembers the few sizes plans choose by, so each is measured at most once.
+    """
 
     orders: DataFrame
     op_prior: DataFrame
@@ -77,23 +84,32 @@ class Tables:
     products: DataFrame
     aisles: DataFrame
     departments: DataFrame
-    # Largest number of distinct products in one order; None means not measured yet.
-    largest_basket: int | None = None
+    known: dict[str, int] = field(default_factory=dict, repr=False, compare=False)
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [
-            (field.name, getattr(self, field.name))
-            for field in fields(self)
-            if field.name != "largest_basket"
-        ]
-
-    def measured(self) -> "Tables":
-        """The same bundle with ``largest_basket`` known (one aggregate over the order ids)."""
-        if self.largest_basket is not None:
-            return self
-        sizes = self.op_all.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-        return replace(self, largest_basket=int(largest))
+        return [(name, getattr(self, name)) for name in VIEW_NAMES]
+
+    def product_rows(self) -> int:
+        if "product_rows" not in self.known:
+            self.known["product_rows"] = self.products.count()
+        return self.known["product_rows"]
+
+    def largest_basket(self) -> int:
+        """Most lines in one order: an upper bound on the distinct products of any order."""
+        if "largest_basket" not in self.known:
+            sizes = self.op_all.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+            largest = sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+            self.known["largest_basket"] = int(largest)
+        return self.known["largest_basket"]
+
+    def per_product(self, df: DataFrame) -> DataFrame:
+        """Mark a relation of at most one row per product for broadcast if there are few products.
+
+        Spark cannot tell the size of a derived relation before it runs and would shuffle the
+        lines by product, where one product may hold a large part of them. With many products the
+        relation is left to a shuffled join, whose skewed partitions Spark splits at run time.
+        """
+        return F.broadcast(df) if self.product_rows() <= BROADCAST_PRODUCTS else df
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

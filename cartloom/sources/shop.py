@@ -12,46 +12,70 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cartloom.sources import staging
-from cartloom.sources.schema import Tables, conform
+from cartloom.sources.schema import SCHEMAS, Tables, conform
 
-# Orders of one user on one day are numbered in blocks of this many neighbouring order ids, so
-# no task ever sorts more than one block, however many orders one user holds.
+# Up to this many orders per user, one task can number the orders of any user.
+WINDOW_ORDERS = 1_000_000
+
+# Beyond it, the orders of one user on one day are numbered in blocks of this many neighbouring
+# order ids, so that no task ever sorts more than one block.
 _BLOCK_BITS = 16
 
 _staged: dict[tuple, dict] = {}
+_scans: dict[tuple, tuple[SparkSession, Tables]] = {}
 _lock = threading.Lock()
 
 
-def _first_per(df: DataFrame, key: str, name: str, identifier: str) -> DataFrame:
-    return df.groupBy(F.col(key).alias(name)).agg(F.min("p_partkey").alias(identifier))
+def _named_products(part: DataFrame) -> DataFrame:
+    """One product per (name, type) with the names of its aisle and department."""
+    return (
+        part.select(
+            "p_partkey",
+            _product_name().alias("product_name"),
+            F.get(F.split("p_name", " "), F.lit(1)).alias("aisle"),
+            F.col("p_type").alias("department"),
+        )
+        .groupBy("product_name", "aisle", "department")
+        .agg(F.min("p_partkey").alias("product_id"))
+    )
 
 
-def _catalogue(part: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Products, aisles, departments and the part-to-product mapping."""
-    part = part.select(
-        "p_partkey",
-        F.concat_ws(" ", "p_name", "p_type").alias("product_name"),
-        F.get(F.split("p_name", " "), F.lit(1)).alias("aisle"),
-        F.col("p_type").alias("department"),
-    )
-    named = part.groupBy("product_name", "aisle", "department").agg(
-        F.min("p_partkey").alias("product_id")
-    )
-    aisles = _first_per(part, "aisle", "aisle", "aisle_id")
-    departments = _first_per(part, "department", "department", "department_id")
-    products = named.join(aisles, "aisle").join(departments, "department")
-    mapping = part.select("p_partkey", "product_name").join(
-        named.select("product_name", "product_id"), "product_name"
-    )
-    return products, aisles, departments, mapping.select("p_partkey", "product_id")
+def _product_name() -> Column:
+    return F.concat_ws(" ", "p_name", "p_type")
+
+
+def _dimension(named: DataFrame, name: str) -> DataFrame:
+    return named.groupBy(name).agg(F.min("product_id").alias(f"{name}_id")).select(f"{name}_id", name)
+
+
+def _products(named: DataFrame, aisles: DataFrame, departments: DataFrame) -> DataFrame:
+    return conform(named.join(aisles, "aisle").join(departments, "department"), "products")
+
+
+def heaviest_user(orders: DataFrame) -> int:
+    """Most orders of one user."""
+    counts = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
 
 
 def _numbered(orders: DataFrame) -> DataFrame:
-    """Order number, gap to the previous order and last-order mark per user.
+    """Order number, previous day and last-order mark per user, by one window per user."""
+    user = Window.partitionBy("user_id")
+    sequence = user.orderBy("day", "order_id")
+    return orders.withColumns(
+        {
+            "order_number": F.row_number().over(sequence),
+            "days_since_prior_order": F.datediff("day", F.lag("day").over(sequence)),
+            "is_last": F.lead("order_id").over(sequence).isNull(),
+        }
+    )
+
 
-    A window over a user's orders would put a heavy user in one task. Counts per (user, day,
-    block) are added up instead: the windows below run over blocks of one day and over calendar
-    days, and only the rows of one block are ever ranked together.
+def _numbered_in_blocks(orders: DataFrame) -> DataFrame:
+    """The same columns where a user may hold any share of all orders.
+
+    Counts per (user, day, block) are added up: the windows below run over the blocks of one day
+    and over calendar days, and only the rows of one block are ever ranked together.
     """
     orders = orders.withColumn("block", F.shiftright("order_id", _BLOCK_BITS))
     in_day = Window.partitionBy("user_id", "day").orderBy("block")
@@ -75,29 +99,23 @@ def _numbered(orders: DataFrame) -> DataFrame:
 
     rank = F.row_number().over(Window.partitionBy("user_id", "day", "block").orderBy("order_id"))
     in_day_rank = F.col("before_block") + F.col("rank")
+    gap = F.when(in_day_rank > 1, F.lit(0)).otherwise(F.datediff("day", "previous_day"))
     return (
         orders.join(offsets, ["user_id", "day", "block"])
         .withColumn("rank", rank)
-        .withColumns(
-            {
-                "order_number": (F.col("before_day") + in_day_rank).cast("int"),
-                "days_since_prior_order": F.when(in_day_rank > 1, F.lit(0.0)).otherwise(
-                    F.datediff("day", "previous_day").cast("double")
-                ),
-            }
-        )
+        .withColumn("order_number", F.col("before_day") + in_day_rank)
+        .withColumn("days_since_prior_order", gap)
         .withColumn("is_last", F.col("order_number") == F.col("user_orders"))
     )
 
 
-def derive_orders(orders: DataFrame) -> DataFrame:
-    numbered = _numbered(
-        orders.select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
-            F.to_date("o_orderdate").alias("day"),
-        )
+def derive_orders(orders: DataFrame, most_orders: int) -> DataFrame:
+    dated = orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.to_date("o_orderdate").alias("day"),
     )
+    numbered = _numbered(dated) if most_orders <= WINDOW_ORDERS else _numbered_in_blocks(dated)
     eval_set = (
         F.when(~F.col("is_last"), "prior").when(F.col("user_id") % 3 == 0, "test").otherwise("train")
     )
@@ -111,87 +129,110 @@ def derive_orders(orders: DataFrame) -> DataFrame:
     return conform(timed, "orders")
 
 
-def derive_lines(lineitem: DataFrame, mapping: DataFrame, orders: DataFrame) -> DataFrame:
+def derive_lines(
+    lineitem: DataFrame, part: DataFrame, products: DataFrame, orders: DataFrame, most_orders: int
+) -> DataFrame:
     """Order lines with cart position, reorder mark and the set their order belongs to."""
+    mapping = part.select("p_partkey", _product_name().alias("product_name")).join(
+        products.select("product_name", "product_id"), "product_name"
+    )
+    # One order holds a product once, so this window is bounded by the catalogue.
+    cart = Window.partitionBy("order_id").orderBy("line", "product_id")
     bought = (
         lineitem.select(F.col("l_orderkey").alias("order_id"), "l_partkey", "l_linenumber")
-        .join(mapping, F.col("l_partkey") == F.col("p_partkey"))
+        .join(mapping.select("p_partkey", "product_id"), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("order_id", "product_id")
         .agg(F.min("l_linenumber").alias("line"))
+        .withColumn("add_to_cart_order", F.row_number().over(cart))
+        .join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     )
-    # One order holds a product once, so this window is bounded by the catalogue.
-    cart = Window.partitionBy("order_id").orderBy("line", "product_id")
-    bought = bought.withColumn("add_to_cart_order", F.row_number().over(cart)).join(
-        orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id"
-    )
-    first = bought.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_order"))
-    return (
-        bought.where(F.col("eval_set") != "test")
-        .join(first, ["user_id", "product_id"])
-        .select(
-            "order_id",
-            "product_id",
-            "add_to_cart_order",
-            (F.col("order_number") > F.col("first_order")).cast("int").alias("reordered"),
-            "eval_set",
-        )
+    first = F.min("order_number")
+    if most_orders <= WINDOW_ORDERS:
+        # A user's orders bound the rows of one (user, product).
+        same = Window.partitionBy("user_id", "product_id")
+        bought = bought.withColumn("first_order", first.over(same))
+    else:
+        firsts = bought.groupBy("user_id", "product_id").agg(first.alias("first_order"))
+        bought = bought.join(firsts, ["user_id", "product_id"])
+    return bought.where(F.col("eval_set") != "test").select(
+        "order_id",
+        "product_id",
+        "add_to_cart_order",
+        (F.col("order_number") > F.col("first_order")).cast("int").alias("reordered"),
+        "eval_set",
     )
 
 
-def _bundle(orders, lines, products, aisles, departments, largest_basket=None) -> Tables:
+def _bundle(orders, lines, products, aisles, departments, known=None) -> Tables:
     def of_set(name: str) -> DataFrame:
-        return conform(lines.where(F.col("eval_set") == name), "op_prior")
+        return lines.where(F.col("eval_set") == name).drop("eval_set")
 
     return Tables(
-        orders=conform(orders, "orders"),
+        orders=orders,
         op_prior=of_set("prior"),
         op_train=of_set("train"),
-        op_all=conform(lines, "op_prior"),
-        products=conform(products, "products"),
-        aisles=conform(aisles, "aisles"),
-        departments=conform(departments, "departments"),
-        largest_basket=largest_basket,
+        op_all=lines.drop("eval_set"),
+        products=products,
+        aisles=aisles,
+        departments=departments,
+        known={} if known is None else known,
     )
 
 
 def derive_tables(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> Tables:
     """The logical tables as lazy plans over the source tables."""
-    products, aisles, departments, mapping = _catalogue(part)
-    shop_orders = derive_orders(orders)
-    lines = derive_lines(lineitem, mapping, shop_orders)
+    named = _named_products(part)
+    aisles, departments = _dimension(named, "aisle"), _dimension(named, "department")
+    products = _products(named, aisles, departments)
+    most = heaviest_user(orders)
+    shop_orders = derive_orders(orders, most)
+    lines = derive_lines(lineitem, part, products, shop_orders, most)
     return _bundle(shop_orders, lines, products, aisles, departments)
 
 
 def _stage(spark: SparkSession, sources: list[DataFrame], folder: str, input_bytes: int) -> dict:
-    """Write the derived tables and say where they are."""
+    """Write the derived tables and say where they are.
+
+    Every table is read back before the next one uses it, so the planner sees its real size.
+    """
     orders, lineitem, part = sources
     area, prefix = staging.new_area(spark, folder)
     buckets = staging.bucket_count(spark, input_bytes)
-    names = {"products": f"{area}/products", "aisles": f"{area}/aisles"}
-    names["departments"] = f"{area}/departments"
-
-    *dimensions, mapping = _catalogue(part)
-    for path, df in zip(names.values(), dimensions):
-        df.write.mode("overwrite").parquet(path)
-    names["orders"] = staging.write_bucketed(
-        derive_orders(orders), f"{prefix}_orders", f"{area}/orders", "order_id", buckets
-    )
-    lines = derive_lines(lineitem, mapping, spark.table(names["orders"]))
-    names["lines"] = staging.write_bucketed(
-        lines, f"{prefix}_lines", f"{area}/lines", "order_id", buckets, partition="eval_set"
-    )
-    names["largest_basket"] = _scan(spark, names).measured().largest_basket
-    return names
+    where: dict = {"known": {}}
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        where[name] = f"{area}/{name}"
+        df.write.mode("overwrite").parquet(where[name])
+        return spark.read.parquet(where[name])
+
+    def bucketed(name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
+        where[name] = staging.write_bucketed(
+            df, f"{prefix}_{name}", f"{area}/{name}", "order_id", buckets, partition
+        )
+        return spark.table(where[name])
+
+    named = stored("named_products", _named_products(part))
+    aisles = stored("aisles", _dimension(named, "aisle"))
+    departments = stored("departments", _dimension(named, "department"))
+    products = stored("products", _products(named, aisles, departments))
+    most = heaviest_user(orders)
+    shop_orders = bucketed("orders", derive_orders(orders, most))
+    lines = derive_lines(lineitem, part, products, shop_orders, most)
+    bucketed("lines", lines, partition="eval_set")
+    return where
+
 
+def _scan(spark: SparkSession, where: dict) -> Tables:
+    def dimension(name: str) -> DataFrame:
+        return spark.read.schema(SCHEMAS[name]).parquet(where[name])
 
-def _scan(spark: SparkSession, names: dict) -> Tables:
     return _bundle(
-        spark.table(names["orders"]),
-        spark.table(names["lines"]),
-        spark.read.parquet(names["products"]),
-        spark.read.parquet(names["aisles"]),
-        spark.read.parquet(names["departments"]),
-        names.get("largest_basket"),
+        spark.table(where["orders"]),
+        spark.table(where["lines"]),
+        dimension("products"),
+        dimension("aisles"),
+        dimension("departments"),
+        where["known"],
     )
 
 
@@ -207,4 +248,8 @@ def shop_tables(spark: SparkSession, folder: str) -> Tables:
         if key not in _staged:
             sources = [spark.read.parquet(path) for path in paths]
             _staged[key] = _stage(spark, sources, shared, input_bytes)
-        return _scan(spark, _staged[key])
+        session, tables = _scans.get(key, (None, None))
+        if session is not spark:
+            tables = _scan(spark, _staged[key])
+            _scans[key] = (spark, tables)
+        return tables
