@@ -220,6 +220,7 @@ def _kmeans_sweep(t: Tables) -> DataFrame:
 
 def _assigned(t: Tables) -> DataFrame:
     scaled, sweep = _sweep(t)
+    scaled.unpersist()
     return sweep.best.transform(scaled)
 
 

@@ -1,17 +1,15 @@
 """Build and write every feature table.
 
-    spark-submit -m cartloom.jobs.feature_tables --data <folder of CSV files> --out <folder>
+    spark-submit --py-files cartloom.zip cartloom/jobs/feature_tables.py --data <CSV folder> --out <folder>
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
+from cartloom.jobs.session import open_session, open_tables
 from cartloom.operators.profile import label_distribution
 from cartloom.plans import exports, features
-from cartloom.sources.readers import load_tables, sample_users
 from cartloom.sources.schema import Tables
 from cartloom.sources.sinks import export_csv, validate_outputs, write_table
 
@@ -76,8 +74,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--seed", type=int, default=42)
     options = parser.parse_args(arguments)
 
-    spark = SparkSession.builder.appName("cartloom-feature-tables").getOrCreate()
-    tables = sample_users(load_tables(spark, options.data), options.sample_fraction, options.seed)
+    spark = open_session("cartloom-feature-tables")
+    tables = open_tables(spark, options.data, options.sample_fraction, options.seed)
     paths = feature_job(tables, f"{options.out}/features")
     export_job(tables, f"{options.out}/exports")
     validate_outputs(spark, paths).show(truncate=False)

@@ -12,7 +12,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cartloom.sources import staging
-from cartloom.sources.schema import SCHEMAS, Tables, conform
+from cartloom.sources.schema import Tables, conform
 
 # Up to this many orders per user, one task can number the orders of any user.
 WINDOW_ORDERS = 1_000_000
@@ -163,22 +163,6 @@ def derive_lines(
     )
 
 
-def _bundle(orders, lines, products, aisles, departments, known=None) -> Tables:
-    def of_set(name: str) -> DataFrame:
-        return lines.where(F.col("eval_set") == name).drop("eval_set")
-
-    return Tables(
-        orders=orders,
-        op_prior=of_set("prior"),
-        op_train=of_set("train"),
-        op_all=lines.drop("eval_set"),
-        products=products,
-        aisles=aisles,
-        departments=departments,
-        known={} if known is None else known,
-    )
-
-
 def derive_tables(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> Tables:
     """The logical tables as lazy plans over the source tables."""
     named = _named_products(part)
@@ -187,7 +171,7 @@ def derive_tables(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> Ta
     most = heaviest_user(orders)
     shop_orders = derive_orders(orders, most)
     lines = derive_lines(lineitem, part, products, shop_orders, most)
-    return _bundle(shop_orders, lines, products, aisles, departments)
+    return staging.bundle(shop_orders, lines, products, aisles, departments)
 
 
 def _stage(spark: SparkSession, sources: list[DataFrame], folder: str, input_bytes: int) -> dict:
@@ -196,44 +180,16 @@ def _stage(spark: SparkSession, sources: list[DataFrame], folder: str, input_byt
     Every table is read back before the next one uses it, so the planner sees its real size.
     """
     orders, lineitem, part = sources
-    area, prefix = staging.new_area(spark, folder)
-    buckets = staging.bucket_count(spark, input_bytes)
-    where: dict = {"known": {}}
-
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        where[name] = f"{area}/{name}"
-        df.write.mode("overwrite").parquet(where[name])
-        return spark.read.parquet(where[name])
-
-    def bucketed(name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
-        where[name] = staging.write_bucketed(
-            df, f"{prefix}_{name}", f"{area}/{name}", "order_id", buckets, partition
-        )
-        return spark.table(where[name])
-
-    named = stored("named_products", _named_products(part))
-    aisles = stored("aisles", _dimension(named, "aisle"))
-    departments = stored("departments", _dimension(named, "department"))
-    products = stored("products", _products(named, aisles, departments))
+    store = staging.Store.open(spark, folder, input_bytes)
+    named = store.plain("named_products", _named_products(part))
+    aisles = store.plain("aisles", _dimension(named, "aisle"))
+    departments = store.plain("departments", _dimension(named, "department"))
+    products = store.plain("products", _products(named, aisles, departments))
     most = heaviest_user(orders)
-    shop_orders = bucketed("orders", derive_orders(orders, most))
+    shop_orders = store.by_order("orders", derive_orders(orders, most))
     lines = derive_lines(lineitem, part, products, shop_orders, most)
-    bucketed("lines", lines, partition="eval_set")
-    return where
-
-
-def _scan(spark: SparkSession, where: dict) -> Tables:
-    def dimension(name: str) -> DataFrame:
-        return spark.read.schema(SCHEMAS[name]).parquet(where[name])
-
-    return _bundle(
-        spark.table(where["orders"]),
-        spark.table(where["lines"]),
-        dimension("products"),
-        dimension("aisles"),
-        dimension("departments"),
-        where["known"],
-    )
+    store.by_order("lines", lines, partition="eval_set")
+    return store.where
 
 
 def shop_tables(spark: SparkSession, folder: str) -> Tables:
@@ -250,6 +206,6 @@ def shop_tables(spark: SparkSession, folder: str) -> Tables:
             _staged[key] = _stage(spark, sources, shared, input_bytes)
         session, tables = _scans.get(key, (None, None))
         if session is not spark:
-            tables = _scan(spark, _staged[key])
+            tables = staging.scan(spark, _staged[key])
             _scans[key] = (spark, tables)
         return tables

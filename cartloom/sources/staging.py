@@ -1,11 +1,14 @@
-"""Writing intermediate tables to storage every executor can reach."""
+"""Keeping basket tables on storage every executor can reach."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from cartloom.sources.schema import SCHEMAS, Tables, conform
 
 # One bucket per this many input bytes, so that a bucket of any of the tables fits in a task.
 BYTES_PER_BUCKET = 512 * 1024 * 1024
@@ -49,18 +52,96 @@ def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     return int(min(MAX_BUCKETS, max(wanted, spark.sparkContext.defaultParallelism)))
 
 
-def new_area(spark: SparkSession, folder: str) -> tuple[str, str]:
-    """A fresh sub-folder and a table-name prefix nobody else uses."""
-    token = uuid.uuid4().hex[:12]
-    return f"{folder}/cartloom-{spark.sparkContext.applicationId}-{token}", f"cartloom_{token}"
+@dataclass
+class Store:
+    """A fresh folder, and a table-name prefix nobody else uses, for one set of basket tables."""
+
+    spark: SparkSession
+    area: str
+    prefix: str
+    buckets: int
+    where: dict = field(default_factory=lambda: {"known": {}})
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str, input_bytes: int) -> "Store":
+        token = uuid.uuid4().hex[:12]
+        area = f"{folder}/cartloom-{spark.sparkContext.applicationId}-{token}"
+        return cls(spark, area, f"cartloom_{token}", bucket_count(spark, input_bytes))
+
+    def plain(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table as Parquet and return a scan of it."""
+        self.where[name] = f"{self.area}/{name}"
+        df.write.mode("overwrite").parquet(self.where[name])
+        return self.spark.read.schema(df.schema).parquet(self.where[name])
+
+    def by_order(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
+        """Write a table bucketed by order: later joins and groupings by order need no shuffle."""
+        key, table = "order_id", f"{self.prefix}_{name}"
+        writer = df.repartition(self.buckets, key).write.format("parquet").mode("overwrite")
+        if partition:
+            writer = writer.partitionBy(partition)
+        writer = writer.bucketBy(self.buckets, key).sortBy(key)
+        writer.option("path", f"{self.area}/{name}").saveAsTable(table)
+        self.where[name] = table
+        return self.spark.table(table)
+
+
+def bundle(
+    orders: DataFrame,
+    lines: DataFrame,
+    products: DataFrame,
+    aisles: DataFrame,
+    departments: DataFrame,
+    known: dict | None = None,
+) -> Tables:
+    """The table bundle where one line table with an ``eval_set`` column holds all lines."""
+
+    def of_set(name: str) -> DataFrame:
+        return lines.where(F.col("eval_set") == name).drop("eval_set")
 
+    return Tables(
+        orders=orders,
+        op_prior=of_set("prior"),
+        op_train=of_set("train"),
+        op_all=lines.drop("eval_set"),
+        products=products,
+        aisles=aisles,
+        departments=departments,
+        known={} if known is None else known,
+    )
 
-def write_bucketed(
-    df: DataFrame, table: str, path: str, key: str, buckets: int, partition: str | None = None
-) -> str:
-    """Write a table bucketed by ``key``: later joins and groupings on it need no shuffle."""
-    writer = df.repartition(buckets, key).write.format("parquet").mode("overwrite")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
-    return table
+
+def scan(spark: SparkSession, where: dict) -> Tables:
+    """Scans of a stored set of tables; lines of one set are read from their own partition."""
+
+    def dimension(name: str) -> DataFrame:
+        return spark.read.schema(SCHEMAS[name]).parquet(where[name])
+
+    return bundle(
+        spark.table(where["orders"]),
+        spark.table(where["lines"]),
+        dimension("products"),
+        dimension("aisles"),
+        dimension("departments"),
+        where["known"],
+    )
+
+
+def store_tables(spark: SparkSession, tables: Tables, input_bytes: int) -> Tables:
+    """Convert loaded tables once, from text files to columns bucketed by order.
+
+    Without a shared folder the tables are returned as they are.
+    """
+    folder = shared_folder(spark)
+    if folder is None:
+        return tables
+    store = Store.open(spark, folder, input_bytes)
+    for name in ("products", "aisles", "departments"):
+        store.plain(name, conform(getattr(tables, name), name))
+    store.by_order("orders", conform(tables.orders, "orders"))
+    lines = [
+        conform(getattr(tables, f"op_{name}"), "op_prior").withColumn("eval_set", F.lit(name))
+        for name in ("prior", "train")
+    ]
+    store.by_order("lines", lines[0].unionByName(lines[1]), partition="eval_set")
+    return scan(spark, store.where)

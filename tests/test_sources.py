@@ -8,6 +8,8 @@ from datetime import datetime, timedelta
 import pytest
 from conftest import AISLES, DEPARTMENTS, ORDERS, PRIOR, PRODUCTS, TRAIN, as_dicts, make_tables
 
+from cartloom.jobs import feature_tables
+from cartloom.jobs.session import open_tables
 from cartloom.sources import shop as shop_module
 from cartloom.sources import sinks
 from cartloom.sources.config import FeatureConfig, REORDER_FEATURES
@@ -41,6 +43,17 @@ def test_csv_round_trip(spark, csv_folder):
         assert rows_of(mine) == rows_of(theirs), name
 
 
+def test_stored_csv_tables_are_the_same(spark, csv_folder):
+    stored, expected = open_tables(spark, csv_folder), make_tables(spark)
+    for (name, mine), (_, theirs) in zip(stored.items(), expected.items()):
+        assert rows_of(mine) == rows_of(theirs), name
+
+
+def test_feature_command(spark, csv_folder, tmp_path):
+    feature_tables.main(["--data", csv_folder, "--out", str(tmp_path)])
+    assert spark.read.parquet(f"{tmp_path}/features/train_dataset").count() == 5
+
+
 def test_missing_files_are_named_together(spark, csv_folder, tmp_path):
     (tmp_path / "orders.csv").write_text("order_id\n1\n")
     with pytest.raises(FileNotFoundError) as error:
