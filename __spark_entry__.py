@@ -161,7 +161,10 @@ def _itemset_model(t: Tables):
     least = max(float(MIN_ITEMSET_COUNT), -(-MIN_ITEMSET_SHARE * total // 1))
     # Half a basket below the count, so that rounding of the ratio cannot shift the limit.
     support = (least - 0.5) / max(total, 1)
-    return association.fit_itemsets(usable, support, MIN_CONFIDENCE)
+    model = association.fit_itemsets(usable, support, MIN_CONFIDENCE)
+    # Rules read the itemsets several times; kept, they are mined once.
+    model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
+    return model
 
 
 def _itemsets(t: Tables) -> DataFrame:

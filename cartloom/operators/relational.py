@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,17 +32,25 @@ def with_ratios(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFra
 _VALUE_BITS = 10
 
 
-def modes_per_key(df: DataFrame, key: str, values: Mapping[str, str], weight: str) -> DataFrame:
+def modes_per_key(
+    df: DataFrame,
+    key: str,
+    values: Mapping[str, str],
+    weight: str,
+    sums: Sequence[str] = (),
+) -> DataFrame:
     """Most frequent value per key for several columns of small numbers (0..1023).
 
     The smallest value wins a tie. All columns share one aggregation: rows are unfolded to
     (column, value) and counted; count and value then form one long whose maximum is the answer,
-    which keeps both steps in hash aggregates that combine before they shuffle.
+    which keeps both steps in hash aggregates that combine before they shuffle. Plain ``sums``
+    per key ride along, so that rows need not be read again for them.
     """
     limit = (1 << _VALUE_BITS) - 1
     unfolded = df.select(
         key,
         weight,
+        *[column for column in sums if column != weight],
         F.explode(
             F.array(
                 *[
@@ -52,13 +60,18 @@ def modes_per_key(df: DataFrame, key: str, values: Mapping[str, str], weight: st
             )
         ).alias("v"),
     )
-    counted = unfolded.groupBy(key, "v.kind", "v.value").agg(F.sum(weight).alias("n"))
+    counted = unfolded.groupBy(key, "v.kind", "v.value").agg(
+        F.sum(weight).alias("n"), *[F.sum(column).alias(f"sum_{column}") for column in sums]
+    )
     ranked = F.shiftleft("n", _VALUE_BITS) + (limit - F.col("value"))
+    # Each row was unfolded once per column; the sums are taken from the first of them.
+    first = F.col("kind") == next(iter(values))
     found = counted.groupBy(key).agg(
-        *[F.max(F.when(F.col("kind") == name, ranked)).alias(name) for name in values]
+        *[F.max(F.when(F.col("kind") == name, ranked)).alias(name) for name in values],
+        *[F.sum(F.when(first, F.col(f"sum_{column}"))).alias(column) for column in sums],
     )
     decoded = [(limit - F.col(n).bitwiseAND(limit)).cast("int").alias(n) for n in values]
-    return found.select(key, *decoded)
+    return found.select(key, *decoded, *sums)
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, column: str, name: str) -> DataFrame:

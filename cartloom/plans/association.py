@@ -75,6 +75,8 @@ def train_basket_rules(
     spark = baskets.sparkSession
     itemsets_path = f"{output}/features/basket_freq_itemsets"
     rules_path = f"{output}/features/basket_association_rules"
+    # Model, itemsets and rules all start from the itemsets; kept, they are mined once.
+    mined = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
     save_model(model, f"{output}/models/basket_fpgrowth")
     write_table(frequent_itemsets(model), itemsets_path)
     write_table(named_rules(model.associationRules, products), rules_path)
@@ -92,5 +94,6 @@ def train_basket_rules(
     best = top_k(rules, _strongest(), 20)
     write_report(best, f"{output}/reports/top_rules")
     report["top_rules"] = [row.asDict() for row in best.collect()]
+    mined.unpersist()
     usable.unpersist()
     return report

@@ -53,35 +53,50 @@ def prior_full(t: Tables, token: str = "organic") -> DataFrame:
     )
 
 
-def preferred_slots(fact: DataFrame) -> DataFrame:
-    """Day and hour at which a user bought the most items."""
-    per_order = fact.groupBy("user_id", "order_id", "order_dow", "order_hour_of_day").agg(
-        F.count(F.lit(1)).alias("items")
+def _order_side(fact: DataFrame) -> DataFrame:
+    """Per user what follows from the orders: totals, gaps and preferred day and hour.
+
+    Lines are added up per order first. Gaps count once per line, so mean and deviation come
+    from sums weighted by the items of each order.
+    """
+    gap, items = F.col("days_since_prior_order"), F.col("items")
+    per_order = (
+        fact.groupBy(
+            "user_id", "order_id", "order_dow", "order_hour_of_day", "days_since_prior_order"
+        )
+        .agg(F.count(F.lit(1)).alias("items"), F.sum("reordered").alias("reorder_sum"))
+        .withColumns(
+            {"orders": F.lit(1), "gap_sum": items * gap, "gap_squares": items * gap * gap}
+        )
+    )
+    summed = modes_per_key(
+        per_order,
+        "user_id",
+        {"u_preferred_dow": "order_dow", "u_preferred_hour": "order_hour_of_day"},
+        "items",
+        sums=("orders", "items", "reorder_sum", "gap_sum", "gap_squares"),
+    )
+    spread = F.col("gap_squares") - F.col("gap_sum") * F.col("gap_sum") / items
+    deviation = F.sqrt(F.greatest(spread, F.lit(0.0)) / (items - 1))
+    return summed.select(
+        "user_id",
+        "u_preferred_dow",
+        "u_preferred_hour",
+        F.col("orders").alias("u_total_orders"),
+        items.alias("u_total_items"),
+        "reorder_sum",
+        ratio(F.col("gap_sum"), items).alias("u_avg_days_since_prior"),
+        F.when(items > 1, deviation).otherwise(F.lit(0.0)).alias("u_std_days_since_prior"),
     )
-    values = {"u_preferred_dow": "order_dow", "u_preferred_hour": "order_hour_of_day"}
-    return modes_per_key(per_order, "user_id", values, "items")
 
 
-def user_features(
-    fact: DataFrame, departments: tuple[str, str] = RATIO_DEPARTMENTS
-) -> DataFrame:
-    """One row per user over the user's prior lines.
+def _product_side(fact: DataFrame, departments: tuple[str, str]) -> DataFrame:
+    """Per user what follows from the products: distinct counts and shares.
 
-    Three groupings replace one with four distinct counts, which would copy each line five times:
-    per line (the distinct order count is the only one left), per (user, product), whose rows
-    already are the distinct products, and per order for the preferred day and hour.
+    Rows per (user, product) already are the distinct products.
     """
-    of_lines = fact.groupBy("user_id").agg(
-        F.count_distinct("order_id").alias("u_total_orders"),
-        F.count(F.lit(1)).alias("u_total_items"),
-        F.avg("days_since_prior_order").alias("u_avg_days_since_prior"),
-        F.coalesce(F.stddev_samp("days_since_prior_order"), F.lit(0.0)).alias(
-            "u_std_days_since_prior"
-        ),
-        F.sum("reordered").alias("reorder_sum"),
-    )
     in_department = [flag(F.col("department") == name) for name in departments]
-    of_products = (
+    return (
         fact.groupBy("user_id", "product_id", "aisle_id", "department_id", "department", "is_organic")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("user_id")
@@ -94,7 +109,17 @@ def user_features(
             F.sum(in_department[1] * F.col("n")).alias("dairy_sum"),
         )
     )
-    merged = of_lines.join(of_products, "user_id").join(preferred_slots(fact), "user_id", "left")
+
+
+def user_features(
+    fact: DataFrame, departments: tuple[str, str] = RATIO_DEPARTMENTS
+) -> DataFrame:
+    """One row per user over the user's prior lines.
+
+    Two groupings, per order and per (user, product), replace one with four distinct counts, which
+    would copy each line five times.
+    """
+    merged = _order_side(fact).join(_product_side(fact, departments), "user_id")
     return with_ratios(
         merged,
         {
