@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -11,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cartloom.checks.oracle import ORACLE
 from cartloom.operators import profile
 from cartloom.plans import association, behaviour, exports, features, products, reorder, segmentation
+from cartloom.sources import staging
 from cartloom.sources.config import REORDER_FEATURES
-from cartloom.sources.readers import sample_users
+from cartloom.sources.readers import load_tables, sample_users, write_csv_tables
 from cartloom.sources.schema import Tables
 from cartloom.sources.shop import shop_tables
 
@@ -64,14 +66,7 @@ def _users(t: Tables) -> DataFrame:
 
 
 def _train_dataset(t: Tables) -> DataFrame:
-    # Only train users get rows, so user-level features are computed for them alone.
-    own = _train_fact(t)
-    return features.train_dataset(
-        t,
-        features.user_product_features(own),
-        features.user_features(own, RATIO_DEPARTMENTS),
-        features.product_features(_fact(t)),
-    )
+    return features.train_dataset_of(t, _fact(t), _train_fact(t), RATIO_DEPARTMENTS)
 
 
 def _rfv(t: Tables) -> DataFrame:
@@ -227,6 +222,18 @@ def _assigned(t: Tables) -> DataFrame:
     return sweep.best.transform(scaled)
 
 
+def _pair_base(t: Tables) -> DataFrame:
+    return products.product_pair_base(t, **SEGMENTS)
+
+
+def _csv_round_trip(t: Tables) -> DataFrame:
+    """Write the tables as CSV files, load them again and count rows and columns."""
+    spark = t.orders.sparkSession
+    base = f"{staging.shared_folder(spark)}/csv-{uuid.uuid4().hex[:12]}"
+    write_csv_tables(t, base)
+    return profile.table_summary(load_tables(spark, base))
+
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "orders_by_day_hour": behaviour.orders_by_day_hour,
     "order_gap_distribution": behaviour.order_gap_distribution,
@@ -241,12 +248,16 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         "product_id", "total_purchases", "product_segment"
     ),
     "product_pairs": products.product_pairs,
-    "product_pair_base": lambda t: products.product_pair_base(t, **SEGMENTS),
+    "product_pair_base": _pair_base,
     "product_pair_base_top20": lambda t: products.product_pair_base(t, top_pairs=20, **FLOORS),
     "top_pairs": lambda t: products.top_pairs(t, MIN_TOP_PAIR_PURCHASES, **SEGMENTS),
     "pair_labels": lambda t: products.pair_labels(
         products.top_pairs(t, MIN_TOP_PAIR_PURCHASES, **SEGMENTS)
     ),
+    "top_pairs_of_base": lambda t: products.top_pairs_of(_pair_base(t), MIN_TOP_PAIR_PURCHASES),
+    "potential_core_pairs_of_base": lambda t: products.potential_core_pairs_of(_pair_base(t)),
+    "pair_products": lambda t: products.pair_products(_pair_base(t)),
+    "top_potential_products_of_base": lambda t: products.top_potential_products_of(_pair_base(t)),
     "aisle_sales": lambda t: behaviour.aisle_sales(t, DEPARTMENT),
     "department_matrix": lambda t: products.segment_sort(products.department_matrix(t, digits=4)),
     "first_item_lifetime": lambda t: behaviour.first_item_lifetime(t, MIN_USERS, digits=4),
@@ -261,6 +272,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "cart_position_buckets": lambda t: behaviour.cart_position_buckets(t, digits=4),
     "day_hour_matrix": behaviour.pivot_day_hour,
     "table_summary": profile.table_summary,
+    "csv_round_trip": _csv_round_trip,
     "null_counts": _null_counts,
     "label_distribution": _labels,
     "describe_rfv": _describe_rfv,

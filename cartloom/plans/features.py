@@ -164,35 +164,38 @@ def product_features(fact: DataFrame) -> DataFrame:
     )
 
 
-def user_product_features(fact: DataFrame, users: DataFrame | None = None) -> DataFrame:
-    """One row per user and product bought, relative to the user's number of orders.
-
-    ``users`` (the user features, where they are at hand) spares counting the orders again.
-    """
-    if users is None:
-        users = fact.groupBy("user_id").agg(F.count_distinct("order_id").alias("u_total_orders"))
-    base = fact.groupBy("user_id", "product_id").agg(
+def _bought(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("up_order_count"),
         F.avg("add_to_cart_order").alias("up_avg_position"),
         F.min("order_number").alias("up_first_order_number"),
         F.max("order_number").alias("up_last_order_number"),
     )
+
+
+def _with_order_rates(bought: DataFrame) -> DataFrame:
+    """Rates relative to the user's number of orders, which must be among the columns."""
     total, count = F.col("u_total_orders"), F.col("up_order_count")
-    return (
-        base.join(users.select("user_id", "u_total_orders"), "user_id")
-        .withColumns(
-            {
-                "up_reorder_rate": ratio(count, total),
-                "up_orders_since_last": total - F.col("up_last_order_number"),
-                "up_order_rate_since_first": ratio(
-                    count, total - F.col("up_first_order_number") + 1
-                ),
-            }
-        )
-        .drop("u_total_orders")
+    return bought.withColumns(
+        {
+            "up_reorder_rate": ratio(count, total),
+            "up_orders_since_last": total - F.col("up_last_order_number"),
+            "up_order_rate_since_first": ratio(count, total - F.col("up_first_order_number") + 1),
+        }
     )
 
 
+def user_product_features(fact: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """One row per user and product bought, relative to the user's number of orders.
+
+    ``users`` (the stored user features) spares counting the orders again.
+    """
+    if users is None:
+        users = fact.groupBy("user_id").agg(F.count_distinct("order_id").alias("u_total_orders"))
+    totals = users.select("user_id", "u_total_orders")
+    return _with_order_rates(_bought(fact).join(totals, "user_id")).drop("u_total_orders")
+
+
 def train_users(t: Tables) -> DataFrame:
     return t.orders.where(F.col("eval_set") == "train").select("user_id").distinct()
 
@@ -210,16 +213,34 @@ def train_labels(t: Tables) -> DataFrame:
 def train_dataset(
     t: Tables, user_products: DataFrame, users: DataFrame, products: DataFrame
 ) -> DataFrame:
-    """Products that users of the train set bought before, labelled by whether they did again."""
-    candidates = user_products.join(train_users(t), "user_id", "left_semi")
+    """Products that users of the train set bought before, labelled by whether they did again.
+
+    Labels are joined first, while rows are narrow; the two joins by user then share a shuffle.
+    """
+    labelled = user_products.join(train_labels(t), ["user_id", "product_id"], "left")
     return (
-        candidates.join(train_labels(t), ["user_id", "product_id"], "left")
-        .fillna({"reordered": 0})
+        labelled.fillna({"reordered": 0})
+        .join(train_users(t), "user_id", "left_semi")
         .join(users, "user_id", "left")
         .join(t.per_product(products), "product_id", "left")
     )
 
 
+def train_dataset_of(
+    t: Tables, fact: DataFrame, train_fact: DataFrame, departments: tuple[str, str]
+) -> DataFrame:
+    """The same set straight from the lines, where no feature tables are stored.
+
+    ``train_fact`` holds the prior lines of train users. Labels join the (user, product) groups
+    where they already are, and one shuffle by user brings all user features and the rates.
+    """
+    labelled = _bought(train_fact).join(train_labels(t), ["user_id", "product_id"], "left")
+    rated = _with_order_rates(
+        labelled.fillna({"reordered": 0}).join(user_features(train_fact, departments), "user_id")
+    )
+    return rated.join(t.per_product(product_features(fact)), "product_id", "left")
+
+
 def rfv_features(t: Tables, users: DataFrame) -> DataFrame:
     """Recency, frequency and volume per user with six behaviour features."""
     recency = latest_per_key(

@@ -155,6 +155,14 @@ def top_pairs(t: Tables, min_purchases: int = 50_000, k: int = 15, **segment_opt
     )
 
 
+def top_pairs_of(base: DataFrame, min_purchases: int = 50_000, k: int = 15) -> DataFrame:
+    """``top_pairs`` read from a stored pair table."""
+    often = (F.col("total_purchases_a") > min_purchases) & (
+        F.col("total_purchases_b") > min_purchases
+    )
+    return top_k(base.where(often), pair_order(), k).select(*_TOP_PAIR_COLUMNS)
+
+
 def pair_labels(pairs: DataFrame, width: int = 22) -> DataFrame:
     """Short label and readable type of each pair."""
     readable = (
@@ -214,6 +222,26 @@ def potential_core_pairs(t: Tables, k: int = 10, **segment_options) -> DataFrame
     )
 
 
+def potential_core_pairs_of(base: DataFrame, k: int = 10) -> DataFrame:
+    """``potential_core_pairs`` read from a stored pair table."""
+    a, b = F.col("segment_a"), F.col("segment_b")
+    mixed = ((a == POTENTIAL) & (b == CORE)) | ((a == CORE) & (b == POTENTIAL))
+
+    def pick(attribute: str, segment: str) -> Column:
+        return F.when(a == segment, F.col(f"{attribute}_a")).otherwise(F.col(f"{attribute}_b"))
+
+    return top_k(base.where(mixed), pair_order(), k).select(
+        pick("product", POTENTIAL).alias("hidden_gem"),
+        pick("product", CORE).alias("blockbuster"),
+        "organic_pair_type",
+        "co_occurrence",
+        pick("reorder_rate", POTENTIAL).alias("hidden_gem_reorder_rate"),
+        pick("total_purchases", POTENTIAL).alias("hidden_gem_total_purchases"),
+        pick("reorder_rate", CORE).alias("blockbuster_reorder_rate"),
+        pick("total_purchases", CORE).alias("blockbuster_total_purchases"),
+    )
+
+
 def pair_node_strength(pairs: DataFrame, left: str = "hidden_gem", right: str = "blockbuster") -> DataFrame:
     """Summed co-occurrence per product over the undirected edges it takes part in."""
     return (
@@ -246,6 +274,46 @@ def top_potential_products(t: Tables, k: int = 10, **segment_options) -> DataFra
     return top_k(found, [F.desc("total_volume"), F.asc("product_id")], k)
 
 
+def pair_products(base: DataFrame) -> DataFrame:
+    """Distinct products of a pair table: both sides of each row are unfolded in one pass."""
+    # Output column -> column of the pair table without its side.
+    columns = {
+        "product_id": "product_{}_id",
+        "product_name": "product_{}",
+        "department_id": "department_id_{}",
+        "department": "department_{}",
+        "product_segment": "segment_{}",
+        "total_purchases": "total_purchases_{}",
+        "total_unique_buyers": "total_unique_buyers_{}",
+        "reorder_rate": "reorder_rate_{}",
+    }
+    sides = [
+        F.struct(*[F.col(source.format(side)).alias(name) for name, source in columns.items()])
+        for side in "ab"
+    ]
+    return base.select(F.inline(F.array(*sides))).distinct()
+
+
+def top_potential_products_of(base: DataFrame, k: int = 10) -> DataFrame:
+    """``top_potential_products`` read from a stored pair table."""
+    found = pair_products(base).where(F.col("product_segment") == POTENTIAL)
+    return top_k(found, [F.desc("total_purchases"), F.asc("product_id")], k).select(
+        "product_id",
+        "product_name",
+        "department",
+        "product_segment",
+        F.col("total_purchases").alias("total_volume"),
+        "reorder_rate",
+        F.col("total_unique_buyers").alias("unique_users"),
+    )
+
+
+def register_result_views(pair_base: DataFrame, matrix: DataFrame) -> None:
+    """Make the pair table and the department matrix reachable from ``spark.sql``."""
+    pair_base.createOrReplaceTempView("product_pair_base")
+    matrix.createOrReplaceTempView("department_matrix")
+
+
 def median_of(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.agg(F.median(column).alias(name))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartloom.functions.hashing import user_bucket
 from cartloom.sources.schema import CSV_FILES, SCHEMAS, VIEW_NAMES, Tables
@@ -43,11 +43,23 @@ def load_tables(spark: SparkSession, base: str) -> Tables:
 
 
 def register_views(tables: Tables) -> None:
-    """Make the tables reachable from ``spark.sql`` under the usual names."""
+    """Make the tables reachable from ``spark.sql`` under the usual names.
+
+    The days column of the orders is there under its short name, too.
+    """
     for name, df in tables.items():
+        if name == "orders":
+            df = df.withColumn("days_since_prior", F.col("days_since_prior_order"))
         df.createOrReplaceTempView(VIEW_NAMES[name])
 
 
+def write_csv_tables(tables: Tables, base: str) -> None:
+    """Write the six tables in the form ``load_tables`` reads, each as a folder of CSV files."""
+    for name, file in CSV_FILES.items():
+        writer = getattr(tables, name).write.mode("overwrite")
+        writer.options(header="true", quote='"', escape='"').csv(f"{base.rstrip('/')}/{file}")
+
+
 def sample_users(tables: Tables, fraction: float, seed: int = 42) -> Tables:
     """Keep a share of the users with all of their orders and lines.
 

@@ -85,6 +85,15 @@ def test_training_labels(shop):
     assert rows[(2, 11)]["p_total_orders"] == 3 and rows[(2, 11)]["u_total_items"] == 1
 
 
+def test_training_set_straight_from_the_lines_is_the_same(shop):
+    fact = features.prior_full(shop)
+    own = fact.join(features.train_users(shop), "user_id", "left_semi")
+    direct = features.train_dataset_of(shop, fact, own, features.RATIO_DEPARTMENTS)
+    assert keyed(direct, "user_id", "product_id") == keyed(
+        build_training(shop), "user_id", "product_id"
+    )
+
+
 def test_repeated_train_lines_do_not_fan_out(spark):
     t = make_tables(spark, train=[(4, 10, 1, 1), (4, 10, 2, 0)])
     rows = as_dicts(build_training(t))

@@ -10,6 +10,9 @@ from conftest import AISLES, DEPARTMENTS, ORDERS, PRIOR, PRODUCTS, TRAIN, as_dic
 
 from cartloom.jobs import feature_tables
 from cartloom.jobs.session import open_tables
+from cartloom.plans.products import (
+    department_matrix, product_pair_base, register_result_views,
+)
 from cartloom.sources import shop as shop_module
 from cartloom.sources import sinks
 from cartloom.sources.config import FeatureConfig, REORDER_FEATURES
@@ -64,6 +67,10 @@ def test_missing_files_are_named_together(spark, csv_folder, tmp_path):
 def test_views(spark, shop):
     register_views(shop)
     assert spark.sql("SELECT count(*) FROM order_products_all").first()[0] == len(PRIOR) + len(TRAIN)
+    assert spark.sql("SELECT max(days_since_prior) FROM orders").first()[0] == 30.0
+    register_result_views(product_pair_base(shop), department_matrix(shop))
+    assert spark.sql("SELECT * FROM product_pair_base").count() == 5
+    assert spark.sql("SELECT * FROM department_matrix").count() == 4
 
 
 def test_sample_keeps_whole_users(spark):
