@@ -12,7 +12,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cartloom.sources import staging
-from cartloom.sources.schema import Tables, conform
+from cartloom.sources.schema import BROADCAST_PRODUCTS, Tables, conform
 
 # Up to this many orders per user, one task can number the orders of any user.
 WINDOW_ORDERS = 1_000_000
@@ -133,14 +133,19 @@ def derive_lines(
     lineitem: DataFrame, part: DataFrame, products: DataFrame, orders: DataFrame, most_orders: int
 ) -> DataFrame:
     """Order lines with cart position, reorder mark and the set their order belongs to."""
-    mapping = part.select("p_partkey", _product_name().alias("product_name")).join(
-        products.select("product_name", "product_id"), "product_name"
+    mapping = (
+        part.select("p_partkey", _product_name().alias("product_name"))
+        .join(products.select("product_name", "product_id"), "product_name")
+        .select("p_partkey", "product_id")
     )
+    # Unaided, the planner overrates a join's size and would rather broadcast the lines.
+    if part.count() <= BROADCAST_PRODUCTS:
+        mapping = F.broadcast(mapping)
     # One order holds a product once, so this window is bounded by the catalogue.
     cart = Window.partitionBy("order_id").orderBy("line", "product_id")
     bought = (
         lineitem.select(F.col("l_orderkey").alias("order_id"), "l_partkey", "l_linenumber")
-        .join(mapping.select("p_partkey", "product_id"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(mapping, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("order_id", "product_id")
         .agg(F.min("l_linenumber").alias("line"))
         .withColumn("add_to_cart_order", F.row_number().over(cart))
