@@ -305,12 +305,23 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries of the text subpackage and their SQL; none where it is not installed."""
+    try:
+        import corpus_pipeline
+        from cartloom.llm import queries as llm
+    except ImportError:
+        return {}, {}
+    sql = llm.ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Query]:
     def over_folder(plan: Callable[[Tables], DataFrame]) -> Query:
         return lambda spark, folder: plan(shop_tables(spark, folder))
 
-    return {name: over_folder(plan) for name, plan in QUERIES.items()}
+    return {name: over_folder(plan) for name, plan in QUERIES.items()} | _text_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | _text_queries()[1]
