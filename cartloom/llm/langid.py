@@ -11,7 +11,8 @@ sample of about ``SAMPLE`` labelled documents per language, the first ``SAMPLE_B
 
 Defined results: ``und`` with score 0 for null texts and texts without a letter; long texts are read
 whole; equal texts give equal answers; ties go to the language first in code point order; without
-labelled documents every text is ``und``; an empty table gives no rows.
+labelled documents every text is ``und``; an empty table gives no rows; a column named like an
+output gives way to it.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cartloom.llm.shared import as_text, clear_of, hashed_sample, slices
+from cartloom.llm.shared import as_text, slices, without
 
 UNKNOWN = "und"
 SAMPLE = 150
@@ -254,11 +255,13 @@ class _Sums:
 _WORKER: dict[str, _Sums] = {}
 
 
-def identify(docs: DataFrame, network: Network | None) -> DataFrame:
-    """All columns of ``docs`` with lang_pred and score; reads the text alone."""
-    clear_of(docs, "lang_pred", "score")
+def identify(
+    docs: DataFrame, network: Network | None, label: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """All columns of ``docs`` with the language and its score; reads the text alone."""
+    docs = without(docs, label, score)
     if network is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.withColumns({label: F.lit(UNKNOWN), score: F.lit(0.0)})
     names, token = docs.columns, uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,10 +278,10 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
             scores = np.where(known, means[np.arange(len(best)), best], 0.0)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(labels, pa.string()), pa.array(np.clip(scores, 0, 1))],
-                [*names, "lang_pred", "score"],
+                [*names, label, score],
             )
 
-    schema = T.StructType([*docs.schema.fields]).add("lang_pred", "string", False).add("score", "double", False)
+    schema = T.StructType([*docs.schema.fields]).add(label, "string", False).add(score, "double", False)
     return docs.mapInArrow(run, schema)
 
 

@@ -22,7 +22,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cartloom.llm.shared import WORD, stored, word_count
+from cartloom.llm.shared import WORD, free_names, stored, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -115,23 +115,31 @@ def first_words(text: Column, count: Column) -> Column:
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The mix itself, columns as in ``docs``: a document once per epoch, the one at the cut shortened."""
-    takes = mix(docs, **settings).where(F.col("taken") > 0)
+    """The mix itself, columns as in ``docs``: a document once per epoch, the one at the cut shortened.
+
+    Rows that repeat id, source and text stand for one document there, which gets all their takes.
+    """
+    takes = stored(mix(docs, **settings).where(F.col("taken") > 0), "mixing-takes")
+    repeated = takes.groupBy("doc_id", "source", "text_hash").count().where(F.col("count") > 1)
+    own = docs.dropDuplicates(["doc_id", "source", "text"]) if repeated.limit(1).count() else docs
+    doc_id, source, text_hash, size, words = free_names(docs, "id", "of", "hash", "size", "words")
+    epochs = F.array_repeat(F.col("size"), F.expr("taken div size").cast("int"))
+    part = F.expr("taken % size")
+    lengths = F.concat(epochs, F.when(part > 0, F.array(part)).otherwise(F.array()))
     takes = takes.select(
-        F.col("doc_id").alias("k1"), F.col("text_hash").alias("k2"), F.col("source").alias("k3"), "size", "taken"
-    ).distinct()
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("k1"))
-        & (F.xxhash64("text") == F.col("k2"))
-        & F.col("source").eqNullSafe(F.col("k3"))
+        F.col("doc_id").alias(doc_id),
+        F.col("source").alias(source),
+        F.col("text_hash").alias(text_hash),
+        F.col("size").alias(size),
+        F.explode(lengths).alias(words),
     )
-    whole, part = F.expr("taken div size"), F.expr("taken % size")
-    lengths = F.concat(
-        F.array_repeat(F.col("size"), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array())
+    same = (
+        F.col("doc_id").eqNullSafe(F.col(doc_id))
+        & F.col("source").eqNullSafe(F.col(source))
+        & (F.xxhash64("text") == F.col(text_hash))
     )
-    rows = docs.join(takes, same).withColumn("words", F.explode(lengths))
-    cut = F.when(F.col("words") < F.col("size"), first_words(F.col("text"), F.col("words")))
+    cut = F.when(F.col(words) < F.col(size), first_words(F.col("text"), F.col(words)))
     out = {"text": F.coalesce(cut, F.col("text"))}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(cut.isNull(), F.col("n_chars")).otherwise(F.length(cut).cast("long"))
-    return rows.withColumns(out).select(*docs.columns)
+    return own.join(takes, same).withColumns(out).select(*docs.columns)

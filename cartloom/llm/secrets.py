@@ -9,7 +9,7 @@ patterns found nothing. The sample is a hashed one of about ``SAMPLE`` documents
 
 Positions are code points, end exclusive. Defined results: null and empty texts have no span; long
 texts are scanned whole; equal rows give equal spans; without any sample the models are equal and
-add nothing; an empty table gives no rows.
+add nothing; an empty table gives no rows; a column named like an output gives way to it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cartloom.llm.shared import hashed_sample
+from cartloom.llm.shared import free_names, hashed_sample, without
 
 # Kinds in their order, pattern, group that is measured, least length of it.
 KINDS = (
@@ -41,8 +41,10 @@ _LONG_RUN = r"[A-Za-z0-9+/_=-]{16}"
 SAMPLE = 3_000
 RATIO = 10.0
 PER_STEP = 0.5
-#: Added to every count of a model.
+#: Added to the count of every character of a model.
 PRIOR = 0.5
+#: Weight, in counts, of a character's overall share in each of its steps.
+BACKOFF = 10.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -126,19 +128,27 @@ def train(strings: DataFrame, prior: float = PRIOR) -> list[float]:
     One count per pair of characters and label goes to the driver: a fixed number at any input size.
     """
     counts = {(row["random"], row["pair"]): row["count"] for row in _pairs(strings).collect()}
+    logs = {side: _log_steps({p: n for (of, p), n in counts.items() if of is side}, prior) for side in (True, False)}
     table = [0.0] * (128 * 128)
-    size = len(ALPHABET)
     for first in ALPHABET:
-        total = {side: sum(counts.get((side, first + second), 0) for second in ALPHABET) for side in (True, False)}
         for second in ALPHABET:
-            logs = {
-                side: math.log((counts.get((side, first + second), 0) + prior) / (total[side] + prior * size))
-                for side in (True, False)
-            }
-            table[128 * ord(first) + ord(second)] = logs[True] - logs[False]
+            table[128 * ord(first) + ord(second)] = logs[True][first + second] - logs[False][first + second]
     return table
 
 
+def _log_steps(counts: dict[str, int], prior: float) -> dict[str, float]:
+    """Log-probability of every step; rare first characters lean on how common the second one is."""
+    single = {c: prior + sum(counts.get(first + c, 0) for first in ALPHABET) for c in ALPHABET}
+    total = sum(single.values())
+    out = {}
+    for first in ALPHABET:
+        seen = sum(counts.get(first + second, 0) for second in ALPHABET)
+        for second in ALPHABET:
+            own = counts.get(first + second, 0) + BACKOFF * single[second] / total
+            out[first + second] = math.log(own / (seen + BACKOFF))
+    return out
+
+
 def ratio(value: Column, table: list[float]) -> Column:
     """Log-likelihood ratio of a string, random against ordinary."""
     # A folded constant: one array for all rows.
@@ -152,11 +162,12 @@ def ratio(value: Column, table: list[float]) -> Column:
     return F.aggregate(pairs, F.lit(0.0), lambda total, step: total + F.coalesce(step, F.lit(0.0)))
 
 
-def scan(docs: DataFrame, table: list[float]) -> DataFrame:
+def scan(docs: DataFrame, table: list[float], base: str = "base", spans: str = "spans") -> DataFrame:
     """All columns of ``docs``, base (fixed patterns) and spans (all): arrays of start, kind, end."""
-    text = F.col("text")
-    based = docs.withColumn("base", F.coalesce(base_spans(text), F.array().cast(SPAN)))
-    found = based.withColumn("runs", F.coalesce(candidate_spans(text, F.col("base")), F.array().cast(SPAN)))
+    text, docs = F.col("text"), without(docs, base, spans)
+    [runs] = free_names(docs, "runs")
+    based = docs.withColumn(base, F.coalesce(base_spans(text), F.array().cast(SPAN)))
+    found = based.withColumn(runs, F.coalesce(candidate_spans(text, F.col(base)), F.array().cast(SPAN)))
 
     def secret(run: Column) -> Column:
         value = F.substring(text, run["start"] + 1, run["end"] - run["start"])
@@ -165,8 +176,7 @@ def scan(docs: DataFrame, table: list[float]) -> DataFrame:
             F.array(ratio(value, table)), lambda total: (total >= RATIO) & (total >= PER_STEP * steps)
         )[0]
 
-    spans = F.array_sort(F.concat("base", F.filter("runs", secret)))
-    return found.withColumn("spans", spans).drop("runs")
+    return found.withColumn(spans, F.array_sort(F.concat(base, F.filter(runs, secret)))).drop(runs)
 
 
 def span_text(spans: Column) -> Column:
@@ -176,9 +186,11 @@ def span_text(spans: Column) -> Column:
     )
 
 
-def redact(scanned: DataFrame, mark: str = "<secret>") -> DataFrame:
-    """Replace every span of the text by a mark; overlapping spans are one. Drops base and spans."""
-    text = F.col("text")
+def redact(docs: DataFrame, table: list[float], mark: str = "<secret>") -> DataFrame:
+    """The documents, every span of the text replaced by a mark; overlapping spans are one."""
+    base, spans = free_names(docs, "base", "spans")
+    scanned = scan(docs, table, base, spans)
+    text, found = F.col("text"), F.col(spans)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(state: Column, span: Column) -> Column:
@@ -190,11 +202,13 @@ def redact(scanned: DataFrame, mark: str = "<secret>") -> DataFrame:
     def finish(state: Column) -> Column:
         return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
 
-    clean = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, finish)).otherwise(text)
-    columns = {"text": clean}
-    if "n_chars" in scanned.columns:
-        columns["n_chars"] = F.when(F.size("spans") > 0, F.length(clean).cast("long")).otherwise(F.col("n_chars"))
-    return scanned.withColumns(columns).drop("base", "spans")
+    clean = F.when(F.size(found) > 0, F.aggregate(found, start, step, finish)).otherwise(text)
+    out = scanned.withColumn("text", clean)
+    if "n_chars" in docs.columns:
+        out = out.withColumn(
+            "n_chars", F.when(F.size(found) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        )
+    return out.drop(base, spans)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -60,11 +60,22 @@ def hashed_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(step)) == 0)
 
 
-def clear_of(df: DataFrame, *names: str) -> None:
-    """Names that an operator adds must not stand in its input already."""
-    taken = {column.lower() for column in df.columns} & {name.lower() for name in names}
-    if taken:
-        raise ValueError(f"the input already has columns named {sorted(taken)}")
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """The columns that do not have one of these names, whatever their case."""
+    taken = {name.lower() for name in names}
+    return df.select(*[F.col(f"`{column}`") for column in df.columns if column.lower() not in taken])
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has."""
+    taken = {column.lower() for column in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 def word_count(text: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from cartloom.llm.shared import as_bytes, clear_of, slices, stored
+from cartloom.llm.shared import as_bytes, free_names, slices, stored, without
 
 SHINGLE = 4
 BUDGET = 4
@@ -60,7 +60,7 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, name: str = "fp") -> DataFrame:
     """All columns without the text, and the fingerprint as a signed 64-bit number."""
-    clear_of(docs.drop("text"), name)
+    docs = without(docs, name)
     names = [column for column in docs.columns if column != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,6 +281,7 @@ def deduplicated(docs: DataFrame, size: int = 5, budget: int = 6, parts: int = 3
     kept = near.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
     found = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
     if kept.where("count > 1").limit(1).count():
+        [place] = free_names(found, "place")
         order = Window.partitionBy("doc_id").orderBy("text")
-        found = found.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+        found = found.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
     return found.select(*docs.columns).unionAll(docs.where(F.col("doc_id").isNull()))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartloom.llm import bpe, langid, mixing, secrets, simhash
 from cartloom.llm.queries import vocabulary
-from cartloom.llm.shared import stored, table
+from cartloom.llm.shared import free_names, stored, table
 
 #: A document whose best language has a smaller mean probability is rejected.
 MIN_SCORE = 0.35
@@ -18,9 +18,10 @@ MIN_SCORE = 0.35
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; ``und`` and doubtful ones go."""
-    found = langid.identify(docs, langid.train(docs))
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE))
-    return kept.drop("lang_pred", "score")
+    label, score = free_names(docs, "lang_pred", "score")
+    found = langid.identify(docs, langid.train(docs), label, score)
+    kept = found.where((F.col(label) != langid.UNKNOWN) & (F.col(score) >= MIN_SCORE))
+    return kept.drop(label, score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark."""
-    return secrets.redact(secrets.scan(docs, secrets.train(secrets.sample_strings(docs))))
+    return secrets.redact(docs, secrets.train(secrets.sample_strings(docs)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
