@@ -7,12 +7,14 @@ encoded by the library's merge model, the last one of a pre-token with the end-o
 others without, and the ids are put together again.
 
 Defined results: null and empty texts have no ids and decode to an empty text; equal rows give equal
-results; a long text is encoded whole. Other columns stay; one named like an output is an error.
+results; a long text is encoded whole; an empty table gives no rows. Other columns stay, but one named like
+an output gives way to it.
 """
 
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import models
 
 from cartloom.llm.pieces import Pieces, byte_alphabet
-from cartloom.llm.shared import Memo, as_bytes, clear_of, slices
+from cartloom.llm.shared import Memo, as_bytes, slices, without
 
 #: Chunks kept per Python worker and generation.
 MEMO = 250_000
@@ -53,7 +55,7 @@ class ForcedBoundaryBpe:
         pairs = byte_pairs(list(state["vocab"]), self.end)
         letters = byte_alphabet()
         self.joined = {letters[a] + letters[b] for a, b in zip(*map(np.ndarray.tolist, np.nonzero(pairs)))}
-        self.fragment_ids = Memo(self._merge, MEMO)
+        self.piece_ids = Memo(self._piece, MEMO)
         self.chunk_ids = Memo(self._chunk, MEMO)
         self.tokens = {v: k for k, v in state["vocab"].items()} | {v: k for k, v in self.pieces.special.items()}
 
@@ -67,22 +69,16 @@ class ForcedBoundaryBpe:
         out.append(piece[start:])
         return out
 
-    def _merge(self, key: tuple[str, bool]) -> list[int]:
-        fragment, last = key
-        model = self.closing if last else self.open
-        return [token.id for token in model.tokenize(fragment)]
-
-    def _chunk(self, chunk: bytes) -> np.ndarray:
-        ids: list[int] = []
-        for piece, special in self.pieces.parts(chunk):
-            if special is not None:
-                ids.append(special)
-                continue
-            *inner, last = self.fragments(piece)
-            for fragment in inner:
-                ids += self.fragment_ids[fragment, False]
-            ids += self.fragment_ids[last, True] if inner else self._merge((last, True))
-        return np.array(ids, np.int32).tobytes()
+    def _piece(self, piece: str | int) -> bytes:
+        if isinstance(piece, int):
+            return array("i", [piece]).tobytes()
+        *inner, last = self.fragments(piece)
+        ids = [token.id for fragment in inner for token in self.open.tokenize(fragment)]
+        ids += [token.id for token in self.closing.tokenize(last)]
+        return array("i", ids).tobytes()
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        return b"".join(map(self.piece_ids.__getitem__, self.pieces.parts(chunk)))
 
     def encode(self, text: bytes) -> bytes:
         """All ids of a text as 32-bit integers."""
@@ -104,7 +100,7 @@ def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """All columns of ``docs`` without the text, and the token ids of the whole text."""
-    clear_of(docs.drop(text), ids)
+    docs = without(docs, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
@@ -122,7 +118,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """All columns, and the text of the ids; null ids give an empty text."""
-    clear_of(encoded, text)
+    encoded = without(encoded, text)
     ids_at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # The split pattern of the file, written for plain chunks.
 _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+_ENDS = {bytes([mark]) for mark in b".,;:!?#$%&*|"}
 _SPLIT_OF_FILE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
@@ -41,17 +42,23 @@ class Pieces:
         letters = byte_alphabet()
         self._shown = {chr(b): letters[b] for b in range(256)}
 
-    def parts(self, chunk: bytes) -> list[tuple[str, int | None]]:
-        """(text, id) for a special token, (byte-level pre-token, None) otherwise."""
+    def parts(self, chunk: bytes) -> list[str | int]:
+        """Byte-level pre-tokens as text, special tokens as their ids."""
+        if self._fast:
+            low = chunk.lower()
+            if low.isalpha():  # bytes: ASCII letters alone
+                return [low.decode()]
+            if low[:-1].isalpha() and low[-1:] in _ENDS:
+                return [low[:-1].decode(), low[-1:].decode()]
         text = chunk.decode()
         if self._special is None or not self._special.search(text):
-            return [(piece, None) for piece in self.plain(text)]
-        out: list[tuple[str, int | None]] = []
+            return self.plain(text)
+        out: list[str | int] = []
         for part in self._special.split(text):
             if part in self.special:
-                out.append((part, self.special[part]))
+                out.append(self.special[part])
             elif part:
-                out += [(piece, None) for piece in self.plain(part)]
+                out += self.plain(part)
         return out
 
     def plain(self, text: str) -> list[str]:

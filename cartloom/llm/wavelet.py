@@ -2,7 +2,8 @@
 
 Documents are range-partitioned by id and written in ascending order. A partition writes shards of
 about ``SHARD_TOKENS`` ids. A shard is one binary value of the Parquet file: a header, the document
-table, and per bit of the ids (highest first) the bit plane with a rank sample every 512 bits. The
+table, the alphabet of the ids that occur, and per bit of an id's place in it (highest first) the bit
+plane with a rank sample every 512 bits. The
 sequence of the next plane is the zeros of this one followed by its ones, in order, which is what
 makes rank and select work on every plane.
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,10 +28,11 @@ from cartloom.llm.pieces import Pieces
 from cartloom.llm.shared import Memo, as_bytes, slices
 
 SHARD_TOKENS = 1 << 20
-MEMO = 400_000
+#: Chunks that a Python worker keeps per generation.
+MEMO = 800_000
 _BLOCK = 512
-_HEAD = struct.Struct("<4sQII")  # mark, ids, planes, documents
-_MARK = b"WMX1"
+_HEAD = struct.Struct("<4sQIII")  # mark, ids, planes, documents, letters
+_MARK = b"WMX2"
 
 
 class WaveletMatrix:
@@ -45,7 +48,7 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if top <= 16 else np.uint32)
         planes, ranks = [], []
         for level in range(max(1, top) - 1, -1, -1):
-            bits = (now >> level) & 1 == 1
+            bits = (now & now.dtype.type(1 << level)) != 0
             plane = np.packbits(bits, bitorder="little")
             planes.append(plane)
             ranks.append(cls._sample(plane))
@@ -135,47 +138,91 @@ class WaveletMatrix:
         return b"".join([part.tobytes() for pair in zip(self.planes, self.ranks) for part in pair])
 
 
-def pack(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray) -> bytes:
-    """A shard: header, document ids, ids per document, planes with their ranks."""
-    matrix = WaveletMatrix.build(ids)
-    head = _HEAD.pack(_MARK, len(ids), len(matrix.planes), len(doc_ids))
-    return b"".join([head, doc_ids.astype("<i8").tobytes(), lengths.astype("<u4").tobytes(), matrix.to_bytes()])
+class Shard:
+    """The ids of a run of documents: their alphabet, and a wavelet matrix of places in it."""
 
+    def __init__(self, matrix: WaveletMatrix, letters: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray):
+        self.matrix, self.letters, self.doc_ids, self.lengths = matrix, letters, doc_ids, lengths
 
-def unpack(shard: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
-    """The matrix, document ids and ids per document of a shard."""
-    mark, size, planes, docs = _HEAD.unpack_from(shard)
-    if mark != _MARK:
-        raise ValueError("not a shard")
-    at = _HEAD.size
-    doc_ids = np.frombuffer(shard, "<i8", docs, at)
-    lengths = np.frombuffer(shard, "<u4", docs, at + 8 * docs)
-    at += 12 * docs
-    width, samples = -(-size // 8), -(-size // _BLOCK) + 1
-    found, ranks = [], []
-    for _ in range(planes):
-        found.append(np.frombuffer(shard, np.uint8, width, at))
-        ranks.append(np.frombuffer(shard, "<u4", samples, at + width))
-        at += width + 4 * samples
-    return WaveletMatrix(found, ranks, size), doc_ids, lengths
+    @classmethod
+    def build(cls, ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray) -> Shard:
+        """An alphabet of the ids that occur keeps the planes few."""
+        used = np.bincount(ids) > 0 if len(ids) else np.zeros(0, bool)
+        letters = np.flatnonzero(used)
+        place = (np.cumsum(used) - 1).astype(np.uint16 if len(letters) <= 1 << 16 else np.uint32)
+        return cls(WaveletMatrix.build(place[ids]), letters, doc_ids, lengths)
+
+    def _place(self, value: int) -> int:
+        at = int(np.searchsorted(self.letters, value))
+        return at if at < len(self.letters) and self.letters[at] == value else -1
+
+    def access(self, at: int) -> int:
+        return int(self.letters[self.matrix.access(at)])
+
+    def count(self, value: int, end: int | None = None) -> int:
+        return self.matrix.count(self._place(value), end)
+
+    def locate(self, value: int, nth: int) -> int:
+        return self.matrix.locate(self._place(value), nth)
 
+    def ids(self) -> np.ndarray:
+        return self.letters.astype("<u4")[self.matrix.ids()]
 
-class LibraryEncoder:
-    """Ids of whole texts, each distinct chunk encoded once by the library's model."""
+    def to_bytes(self) -> bytes:
+        """Header, document ids, ids per document, alphabet, planes with their ranks."""
+        matrix = self.matrix
+        head = _HEAD.pack(_MARK, matrix.size, len(matrix.planes), len(self.doc_ids), len(self.letters))
+        parts = [self.doc_ids.astype("<i8"), self.lengths.astype("<u4"), self.letters.astype("<u4")]
+        return b"".join([head, *[part.tobytes() for part in parts], matrix.to_bytes()])
+
+    @classmethod
+    def from_bytes(cls, content: bytes) -> Shard:
+        mark, size, planes, docs, letters = _HEAD.unpack_from(content)
+        if mark != _MARK:
+            raise ValueError("not a shard")
+        at = _HEAD.size
+        doc_ids = np.frombuffer(content, "<i8", docs, at)
+        lengths = np.frombuffer(content, "<u4", docs, at + 8 * docs)
+        alphabet = np.frombuffer(content, "<u4", letters, at + 12 * docs)
+        at += 12 * docs + 4 * letters
+        width, samples = -(-size // 8), -(-size // _BLOCK) + 1
+        found, ranks = [], []
+        for _ in range(planes):
+            found.append(np.frombuffer(content, np.uint8, width, at))
+            ranks.append(np.frombuffer(content, "<u4", samples, at + width))
+            at += width + 4 * samples
+        return cls(WaveletMatrix(found, ranks, size), alphabet, doc_ids, lengths)
+
+
+class LibraryEncoder(dict):
+    """Ids of whole texts; every distinct chunk and pre-token is encoded once by the library's model.
+
+    Chunks are kept in two generations, like the pre-tokens: a full one is forgotten by and by.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         self.pieces = Pieces(path)
         self.model = self.pieces.library.model
-        self.chunks = Memo(self._chunk, MEMO)
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        ids: list[int] = []
-        for piece, special in self.pieces.parts(chunk):
-            ids += [special] if special is not None else [token.id for token in self.model.tokenize(piece)]
-        return np.array(ids, "<u4").tobytes()
+        self.ids = Memo(self._piece, MEMO // 2)
+        self.old: dict[bytes, bytes] = {}
+
+    def _piece(self, piece: str | int) -> bytes:
+        ids = [piece] if isinstance(piece, int) else [token.id for token in self.model.tokenize(piece)]
+        return array("I", ids).tobytes()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        value = self.old.get(chunk)
+        if value is None:
+            value = b"".join(map(self.ids.__getitem__, self.pieces.parts(chunk)))
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = value
+        return value
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
@@ -201,7 +248,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int, partition
 
         def shard() -> pa.RecordBatch:
             lengths = np.array([len(value) // 4 for value in ids])
-            content = pack(np.frombuffer(b"".join(ids), "<u4"), np.array(names, np.int64), lengths)
+            content = Shard.build(np.frombuffer(b"".join(ids), "<u4"), np.array(names, np.int64), lengths).to_bytes()
             row = [[part], [number], [first], [int(lengths.sum())], [len(names)], [content]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays(
@@ -242,8 +289,8 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 part, first, content = (batch.column(k)[row].as_py() for k in range(3))
-                matrix, doc_ids, lengths = unpack(content)
-                ids = matrix.ids().astype("<u4")
+                shard = Shard.from_bytes(content)
+                ids, doc_ids, lengths = shard.ids(), shard.doc_ids, shard.lengths
                 ends = np.cumsum(lengths, dtype=np.int64)
                 begins = ends - lengths
                 sums = [zlib.crc32(ids[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]
