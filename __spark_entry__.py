@@ -7,16 +7,20 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.fpm import FPGrowthModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cartloom.checks.oracle import ORACLE
 from cartloom.operators import profile
+from cartloom.operators.relational import item_sets
 from cartloom.plans import association, behaviour, exports, features, products, reorder, segmentation
 from cartloom.sources import staging
 from cartloom.sources.config import REORDER_FEATURES
-from cartloom.sources.readers import load_tables, sample_users, write_csv_tables
+from cartloom.sources.readers import load_tables, register_views, sample_users, write_csv_tables
 from cartloom.sources.schema import Tables
 from cartloom.sources.shop import shop_tables
+from cartloom.sources.sinks import export_csv, write_report
 
 # Settings for the fixture data, whose names and volumes differ from a grocery data set.
 TOKEN = "red"
@@ -31,13 +35,10 @@ MIN_CONFIDENCE = 0.02
 # An itemset is frequent from 7 baskets or from this share of all baskets, whichever is more.
 MIN_ITEMSET_COUNT = 7
 MIN_ITEMSET_SHARE = 0.00019
-# Small estimators: the registered runs show that the jobs work, not how well they predict.
-QUICK_MODELS = {
-    "lr": {"maxIter": 10},
-    "rf": {"numTrees": 10, "maxDepth": 5},
-    "gbt": {"maxIter": 5, "maxDepth": 3},
-}
-SWEEP_K = (2, 5)
+# Aisles bought together: few items, so that sets of three and more are frequent.
+AISLE_SUPPORT = 0.02
+AISLE_CONFIDENCE = 0.3
+K_RANGE = (2, 8)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,60 +143,95 @@ def _confusion(t: Tables) -> DataFrame:
 
 def _auc(t: Tables) -> DataFrame:
     areas = reorder.ranking_metrics(_scored(t), score="score", bins=0)
-    spark = t.orders.sparkSession
-    return spark.createDataFrame([(round(areas["auc_roc"], 6),)], "auc_roc double")
+    row = (round(areas["auc_roc"], 6), round(areas["auc_pr"], 6))
+    return t.orders.sparkSession.createDataFrame([row], "auc_roc double, auc_pr double")
 
 
 def _baskets(t: Tables) -> DataFrame:
     return features.baskets(t).select("order_id", F.array_join("items", ",").alias("items"))
 
 
+def _mined(t: Tables, name: str, baskets: Callable[[], DataFrame], support: Callable[[int], float], confidence: float):
+    """A model whose itemsets were mined once for these tables and lie in the shared folder."""
+    if name not in t.known:
+        usable = association.rule_baskets(baskets()).persist(StorageLevel.MEMORY_AND_DISK)
+        total = usable.count()
+        path = f"{staging.required_folder(t.orders.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+        association.stored_itemsets(association.fit_itemsets(usable, support(total), confidence), path)
+        usable.unpersist()
+        t.known[name] = path
+    return FPGrowthModel.load(t.known[name])
+
+
 def _itemset_model(t: Tables):
-    usable = association.rule_baskets(features.baskets(t))
-    total = usable.count()
-    least = max(float(MIN_ITEMSET_COUNT), -(-MIN_ITEMSET_SHARE * total // 1))
-    # Half a basket below the count, so that rounding of the ratio cannot shift the limit.
-    support = (least - 0.5) / max(total, 1)
-    model = association.fit_itemsets(usable, support, MIN_CONFIDENCE)
-    # Rules read the itemsets several times; kept, they are mined once.
-    model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
-    return model
+    def support(total: int) -> float:
+        least = max(float(MIN_ITEMSET_COUNT), -(-MIN_ITEMSET_SHARE * total // 1))
+        # Half a basket below the count, so that rounding of the ratio cannot shift the limit.
+        return (least - 0.5) / max(total, 1)
+
+    return _mined(t, "itemsets", lambda: features.baskets(t), support, MIN_CONFIDENCE)
+
+
+def _aisle_model(t: Tables):
+    def baskets() -> DataFrame:
+        lines = t.op_prior.join(t.products.select("product_id", "aisle_id"), "product_id")
+        return item_sets(lines, "order_id", "aisle_id", "items")
+
+    def support(total: int) -> float:
+        return (-(-AISLE_SUPPORT * total // 1) - 0.5) / max(total, 1)
+
+    return _mined(t, "aisle-itemsets", baskets, support, AISLE_CONFIDENCE)
 
 
-def _itemsets(t: Tables) -> DataFrame:
-    sets = association.frequent_itemsets(_itemset_model(t)).where(F.size("items") <= 2)
-    return sets.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+def _joined(column: str):
+    return F.array_join(F.array_sort(column), ",").alias(column)
 
 
-def _pair_rules(t: Tables) -> DataFrame:
-    return association.association_rules(_itemset_model(t)).where(F.size("antecedent") == 1)
+def _itemsets(model: Callable) -> Callable[[Tables], DataFrame]:
+    return lambda t: association.frequent_itemsets(model(t)).select(_joined("items"), "freq")
 
 
 def _rule_columns() -> list:
     return [F.round(name, 6).alias(name) for name in ("confidence", "lift", "support")]
 
 
-def _pair_rules_flat(t: Tables) -> DataFrame:
-    sides = [F.element_at(side, 1).alias(side) for side in ("antecedent", "consequent")]
-    return _pair_rules(t).select(*sides, *_rule_columns())
+def _rules(model: Callable) -> Callable[[Tables], DataFrame]:
+    def rules(t: Tables) -> DataFrame:
+        return association.rules_of(model(t)).select(_joined("antecedent"), _joined("consequent"), *_rule_columns())
+
+    return rules
 
 
 def _named_rules(t: Tables) -> DataFrame:
-    named = association.named_rules(_pair_rules(t), t.products)
+    named = association.named_rules(association.rules_of(_itemset_model(t)), t.products)
     sides = ("antecedent_names", "consequent_names")
     return named.select(*[F.array_join(side, ",").alias(side) for side in sides], *_rule_columns())
 
 
 def _basket_report(t: Tables) -> DataFrame:
-    return association.top_rules(_itemset_model(t).associationRules, t.products)
+    best = association.top_rules(association.rules_of(_itemset_model(t)), t.products)
+    sides = ("antecedent", "consequent", "antecedent_names", "consequent_names")
+    return best.select(*[F.array_join(side, ",").alias(side) for side in sides], *_rule_columns())
+
+
+def _prepared(t: Tables) -> DataFrame:
+    prepared = reorder.prepare_reorder(_train_dataset(t))
+    return _rounded(prepared.select("user_id", "product_id", "label", *REORDER_FEATURES))
+
+
+def _reorder_vector(t: Tables) -> DataFrame:
+    """Features and encoded department of every training pair, as text of rounded values."""
+    prepared = reorder.prepare_reorder(_train_dataset(t))
+    vectors = reorder.assembled_features(prepared, REORDER_FEATURES)
+    values = F.transform(vector_to_array("features"), lambda v: F.round(v, 4).cast("decimal(20,4)").cast("string"))
+    return vectors.select("user_id", "product_id", F.array_join(values, ";").alias("vector"))
 
 
 def _reorder_model(model: str) -> Callable[[Tables], DataFrame]:
     def run(t: Tables) -> DataFrame:
         data = _train_dataset(t).persist(StorageLevel.MEMORY_AND_DISK)
         train, test = reorder.split_and_weigh(data, 42, REORDER_FEATURES)
-        options = QUICK_MODELS[model]
-        _, record = reorder.fit_and_score(train, test, model, 42, REORDER_FEATURES, **options)
+        _, record = reorder.fit_and_score(train, test, model, 42, REORDER_FEATURES)
         data.unpersist()
         record.pop("elapsed_seconds")
         return t.orders.sparkSession.createDataFrame([record])
@@ -203,35 +239,90 @@ def _reorder_model(model: str) -> Callable[[Tables], DataFrame]:
     return run
 
 
-def _sweep(t: Tables):
-    scaled = segmentation.scale_rfv(_rfv(t)).persist()
-    return scaled, segmentation.kmeans_sweep(scaled, *SWEEP_K)
+def _stored_rfv(t: Tables) -> DataFrame:
+    """The RFV rows, derived once per input: scaling and every k read them several times."""
+    return staging.remembered(t, "rfv", lambda: _rfv(t))
 
 
-def _kmeans_sweep(t: Tables) -> DataFrame:
-    scaled, sweep = _sweep(t)
+def _rfv_scaled(t: Tables) -> DataFrame:
+    scaled = segmentation.scale_rfv(_stored_rfv(t))
+    values = F.transform(vector_to_array("features"), lambda v: F.round(v, 4).cast("decimal(20,4)").cast("string"))
+    return scaled.select("user_id", F.array_join(values, ";").alias("scaled"))
+
+
+def _fits(t: Tables):
+    scaled = segmentation.scale_rfv(_stored_rfv(t)).persist(StorageLevel.MEMORY_AND_DISK)
+    fits = [segmentation.fit_k(scaled, k) for k in segmentation.usable_ks(scaled.count(), *K_RANGE)]
     scaled.unpersist()
-    rows = [(s["k"], s["silhouette"], s["training_cost"]) for s in sweep.scores]
+    return scaled, fits
+
+
+def _kmeans_sweep(t: Tables) -> DataFrame:
+    rows = [(fit.k, fit.silhouette, fit.training_cost) for fit in _fits(t)[1]]
     schema = "k int, silhouette double, training_cost double"
     return t.orders.sparkSession.createDataFrame(rows, schema)
 
 
-def _assigned(t: Tables) -> DataFrame:
-    scaled, sweep = _sweep(t)
-    scaled.unpersist()
-    return sweep.best.transform(scaled)
+def _best_segments(t: Tables) -> DataFrame:
+    scaled, fits = _fits(t)
+    return segmentation.user_segments(segmentation.best_fit(fits).model.transform(scaled))
+
+
+def _by_recency(t: Tables) -> DataFrame:
+    """A fixed assignment in place of a fitted one: every thirty days of recency are a cluster."""
+    return _stored_rfv(t).withColumn("cluster", F.floor(F.col("recency") / 30).cast("int"))
 
 
 def _pair_base(t: Tables) -> DataFrame:
     return products.product_pair_base(t, **SEGMENTS)
 
 
-def _csv_round_trip(t: Tables) -> DataFrame:
-    """Write the tables as CSV files, load them again and count rows and columns."""
+def _csv_tables(t: Tables) -> Tables:
+    """The tables written as CSV files and loaded again."""
     spark = t.orders.sparkSession
-    base = f"{staging.shared_folder(spark)}/csv-{uuid.uuid4().hex[:12]}"
+    base = f"{staging.required_folder(spark)}/csv-{uuid.uuid4().hex[:12]}"
     write_csv_tables(t, base)
-    return profile.table_summary(load_tables(spark, base))
+    return load_tables(spark, base)
+
+
+def _csv_products(t: Tables) -> DataFrame:
+    """Products whose names got quotes, commas and line breaks, after a trip through CSV files."""
+    awkward = F.concat(F.lit('a "quoted", '), "product_name", F.lit(',\n"'))
+    return _csv_tables(replace(t, products=t.products.withColumn("product_name", awkward))).products
+
+
+def _exported_csv(t: Tables) -> DataFrame:
+    """The department statistics as the export job writes them, read back."""
+    path = f"{staging.required_folder(t.orders.sparkSession)}/export-{uuid.uuid4().hex[:12]}"
+    table = exports.department_stats(t)
+    export_csv(table, path)
+    return t.orders.sparkSession.read.schema(table.schema).option("header", True).csv(path)
+
+
+def _json_report(t: Tables) -> DataFrame:
+    """Class sizes and weights written as a JSON report, read back."""
+    path = f"{staging.required_folder(t.orders.sparkSession)}/report-{uuid.uuid4().hex[:12]}"
+    table = _class_weights(t)
+    write_report(table, path)
+    return t.orders.sparkSession.read.schema(table.schema).json(path)
+
+
+def _ranked_matrix(t: Tables) -> DataFrame:
+    """Departments with their place in the report's order."""
+    matrix = products.segment_sort(products.department_matrix(t, digits=4))
+    # One row per department.
+    placed = matrix.select("department_id", "department_segment", "total_unique_buyers", products.segment_rank().alias("r"))
+    order = Window.orderBy("r", F.desc("total_unique_buyers"), "department_id")
+    return placed.select("department_id", "department_segment", F.row_number().over(order).alias("place"))
+
+
+def _views(t: Tables) -> DataFrame:
+    """Prior lines and days per day of the week, asked of the registered views."""
+    register_views(t)
+    return t.orders.sparkSession.sql(
+        "SELECT o.order_dow, count(*) AS n_lines, sum(o.days_since_prior) AS days"
+        " FROM orders o JOIN order_products_prior l ON o.order_id = l.order_id GROUP BY o.order_dow"
+    )
 
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -270,9 +361,16 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         products.top_potential_products(t, **SEGMENTS), "reorder_rate", "median_reorder_rate"
     ),
     "cart_position_buckets": lambda t: behaviour.cart_position_buckets(t, digits=4),
+    "cart_position_3_cuts": lambda t: behaviour.cart_position_buckets(t, (0.25, 0.5, 0.75), 4),
+    "cart_position_6_cuts": lambda t: behaviour.cart_position_buckets(t, (0.1, 0.2, 0.35, 0.5, 0.7, 0.9), 4),
     "day_hour_matrix": behaviour.pivot_day_hour,
     "table_summary": profile.table_summary,
-    "csv_round_trip": _csv_round_trip,
+    "csv_round_trip": lambda t: profile.table_summary(_csv_tables(t)),
+    "csv_products": _csv_products,
+    "exported_csv": _exported_csv,
+    "json_report": _json_report,
+    "department_order": _ranked_matrix,
+    "views_by_day": _views,
     "null_counts": _null_counts,
     "label_distribution": _labels,
     "describe_rfv": _describe_rfv,
@@ -292,16 +390,22 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "class_weights": _class_weights,
     "confusion_metrics": _confusion,
     "auc_roc_score": _auc,
-    "frequent_itemsets_1_2": _itemsets,
-    "pair_rules": _pair_rules_flat,
+    "frequent_itemsets": _itemsets(_itemset_model),
+    "association_rules": _rules(_itemset_model),
+    "aisle_itemsets": _itemsets(_aisle_model),
+    "aisle_rules": _rules(_aisle_model),
     "named_rules": _named_rules,
     "basket_report": _basket_report,
+    "reorder_prepared": _prepared,
+    "reorder_vector": _reorder_vector,
     "reorder_lr": _reorder_model("lr"),
     "reorder_rf": _reorder_model("rf"),
     "reorder_gbt": _reorder_model("gbt"),
+    "rfv_scaled": _rfv_scaled,
     "kmeans_sweep": _kmeans_sweep,
-    "cluster_profiles": lambda t: segmentation.cluster_profiles(_assigned(t)),
-    "user_segments": lambda t: segmentation.user_segments(_assigned(t)),
+    "cluster_profiles": lambda t: segmentation.cluster_profiles(_by_recency(t)),
+    "recency_segments": lambda t: _rounded(segmentation.user_segments(_by_recency(t))),
+    "user_segments": _best_segments,
 }
 
 

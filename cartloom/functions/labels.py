@@ -57,14 +57,25 @@ def pair_type(flag_a: Column, flag_b: Column) -> Column:
     )
 
 
-def position_bucket(position: Column, cuts: list[Column]) -> Column:
+def position_names(cuts: int) -> tuple[str, ...]:
+    """Bucket names for a number of cuts: the fixed ones for four, numbered parts otherwise."""
+    if cuts < 1:
+        raise ValueError("at least one cut is needed")
+    if cuts + 1 == len(POSITION_BUCKETS):
+        return POSITION_BUCKETS
+    return tuple(f"{place}. Part {place} of {cuts + 1}" for place in range(1, cuts + 2))
+
+
+def position_bucket(position: Column, cuts: list[Column], names: tuple[str, ...]) -> Column:
     """Label of the first cut the position does not exceed, else the open last bucket."""
-    label = None
-    for name, cut in zip(POSITION_BUCKETS, cuts):
-        text = F.concat(F.lit(f"{name} (<="), cut.cast("int").cast("string"), F.lit(")"))
-        label = F.when(position <= cut, text) if label is None else label.when(position <= cut, text)
-    last = F.concat(F.lit(f"{POSITION_BUCKETS[-1]} (>"), cuts[-1].cast("int").cast("string"), F.lit(")"))
-    return label.otherwise(last)
+    if len(names) != len(cuts) + 1:
+        raise ValueError(f"{len(cuts)} cuts make {len(cuts) + 1} buckets, not {len(names)}")
+
+    def text(name: str, sign: str, cut: Column) -> Column:
+        return F.concat(F.lit(f"{name} ({sign}"), cut.cast("int").cast("string"), F.lit(")"))
+
+    within = [F.when(position <= cut, text(name, "<=", cut)) for name, cut in zip(names, cuts)]
+    return F.coalesce(*within, text(names[-1], ">", cuts[-1]))
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

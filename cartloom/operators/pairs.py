@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartloom.operators.relational import stats_of, top_k
 
@@ -39,26 +39,36 @@ def _unfold_whole(lines: DataFrame) -> DataFrame:
     )
 
 
-def _unfold_blocks(lines: DataFrame, block: int) -> DataFrame:
-    """Pairs of orders of any size, one (order, block, block) cell at a time."""
-    parts = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("order_id")) / block)
-    own = F.pmod(F.xxhash64("product_id"), F.col("parts"))
-    cells = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1),
-        lambda other: F.struct(
-            F.least("own", other).alias("low"), F.greatest("own", other).alias("high")
-        ),
-    )
+def _large_orders(lines: DataFrame, block: int) -> DataFrame:
+    """Orders above ``block`` products and how many blocks they are cut into."""
+    sizes = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+    return sizes.select("order_id", F.ceil(F.col("n") / block).alias("parts"))
+
+
+def _cells(own: Column, cell: Callable[[Column, Column], Column]) -> Column:
+    """A cell for the block of a line with every block of its order."""
+    every = F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)
+    return F.transform(every, lambda other: cell(own, other))
+
+
+def _own_block() -> Column:
+    return F.pmod(F.xxhash64("product_id"), F.col("parts"))
+
+
+def _unfold_blocks(lines: DataFrame, large: DataFrame) -> DataFrame:
+    """Pairs of the large orders, one (order, block, block) cell at a time."""
+
+    def cell(own: Column, other: Column) -> Column:
+        return F.struct(F.least(own, other).alias("low"), F.greatest(own, other).alias("high"))
+
     routed = (
-        lines.distinct()
-        .withColumn("parts", parts)
-        .withColumn("own", own)
-        .select("order_id", "product_id", "own", F.explode(cells).alias("cell"))
-        .select("order_id", "product_id", "own", "cell.low", "cell.high")
+        lines.join(large, "order_id")
+        .withColumn("own", _own_block())
+        .select("order_id", "product_id", "own", F.inline(_cells(F.col("own"), cell)))
     )
 
     def side(name: str) -> Column:
-        return F.collect_list(F.when(F.col("own") == F.col(name), F.col("product_id")))
+        return F.collect_set(F.when(F.col("own") == F.col(name), F.col("product_id")))
 
     # Without the explicit shuffle Spark would keep all cells of an order in one task.
     grouped = routed.repartition("order_id", "low", "high").groupBy("order_id", "low", "high")
@@ -72,44 +82,31 @@ def _unfold_blocks(lines: DataFrame, block: int) -> DataFrame:
     )
 
 
+def _without(lines: DataFrame, large: DataFrame) -> DataFrame:
+    return lines.join(large.select("order_id"), "order_id", "left_anti")
+
+
+def _counted(pairs: DataFrame, *ids: str) -> DataFrame:
+    return pairs.groupBy(*ids).agg(F.count(F.lit(1)).alias("co_occurrence"))
+
+
 def pair_counts(lines: DataFrame, largest_basket: int, block: int = BLOCK) -> DataFrame:
     """Orders holding both products, for every pair with a lower first id.
 
-    ``largest_basket`` (an upper bound on distinct products per order) decides between pairing
-    whole orders and pairing blocks; the counts are the same.
+    ``largest_basket`` (an upper bound on distinct products per order) says whether there can be
+    orders above ``block`` products. Only those are paired in blocks; all others stay whole.
     """
+    ids = ("product_a_id", "product_b_id")
     lines = lines.select("order_id", "product_id")
     if largest_basket <= block:
-        unfolded = _unfold_whole(lines)
-    else:
-        unfolded = _unfold_blocks(lines, block)
-    return unfolded.groupBy("product_a_id", "product_b_id").agg(
-        F.count(F.lit(1)).alias("co_occurrence")
-    )
+        return _counted(_unfold_whole(lines), *ids)
+    large = _large_orders(lines, block)
+    whole, cut = _unfold_whole(_without(lines, large)), _unfold_blocks(lines, large)
+    return _counted(whole.unionAll(cut), *ids)
 
 
-def cross_pair_counts(sided: DataFrame, largest_basket: int, block: int = BLOCK) -> DataFrame:
-    """Orders holding both a left and a right product; ``is_left`` names the side of each line."""
-    lines = sided.select("order_id", "product_id", "is_left")
-    keys = ["order_id"]
-    if largest_basket > block:
-        # In an order too large for one array a left product goes to one row of a grid of parts
-        # and a right product to one column; every cell then holds two short arrays.
-        size = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
-        own = F.pmod(F.xxhash64("product_id"), F.col("parts"))
-        every = F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)
-        cell = F.transform(
-            every,
-            lambda other: F.struct(
-                F.when(F.col("is_left"), own).otherwise(other).alias("row"),
-                F.when(F.col("is_left"), other).otherwise(own).alias("column"),
-            ),
-        )
-        lines = lines.distinct().withColumn("parts", F.ceil(size / block))
-        lines = lines.withColumn("cell", F.explode(cell))
-        lines = lines.select("order_id", "product_id", "is_left", "cell.row", "cell.column")
-        keys = ["order_id", "row", "column"]
-        lines = lines.repartition(*keys)
+def _across(lines: DataFrame, *keys: str) -> DataFrame:
+    """Left and right products that share the keys."""
 
     def side(is_left: Column) -> Column:
         return F.collect_set(F.when(is_left, F.col("product_id")))
@@ -120,21 +117,41 @@ def cross_pair_counts(sided: DataFrame, largest_basket: int, block: int = BLOCK)
         .where((F.size("left") > 0) & (F.size("right") > 0))
         .select("right", F.explode("left").alias("left_id"))
         .select("left_id", F.explode("right").alias("right_id"))
-        .groupBy("left_id", "right_id")
-        .agg(F.count(F.lit(1)).alias("co_occurrence"))
     )
 
 
+def cross_pair_counts(sided: DataFrame, largest_basket: int, block: int = BLOCK) -> DataFrame:
+    """Orders holding both a left and a right product; ``is_left`` names the side of each line."""
+    lines = sided.select("order_id", "product_id", "is_left")
+    if largest_basket <= block:
+        return _counted(_across(lines, "order_id"), "left_id", "right_id")
+
+    # In an order too large for one array a left product goes to one row of a grid of blocks and
+    # a right product to one column; every cell then holds two short arrays.
+    def cell(own: Column, other: Column) -> Column:
+        left = F.col("is_left")
+        row, column = F.when(left, own).otherwise(other), F.when(left, other).otherwise(own)
+        return F.struct(row.alias("row"), column.alias("column"))
+
+    large = _large_orders(lines, block)
+    routed = lines.join(large, "order_id").select(
+        "order_id", "product_id", "is_left", F.inline(_cells(_own_block(), cell))
+    )
+    cut = _across(routed.repartition("order_id", "row", "column"), "order_id", "row", "column")
+    whole = _across(_without(lines, large), "order_id")
+    return _counted(whole.unionAll(cut), "left_id", "right_id")
+
+
 def top_pair_counts(
     lines: DataFrame,
     k: int,
     largest_basket: int,
     small: Callable[[DataFrame], DataFrame],
-    among: DataFrame | None = None,
+    frequency: DataFrame,
     seeds: int = SEEDS,
     block: int = BLOCK,
 ) -> DataFrame:
-    """The k most frequent pairs (of products in ``among``), counting only pairs that can be one.
+    """The k most frequent pairs of the products in ``frequency`` (product_id, lines).
 
     The pairs among the ``seeds`` most bought products give k real counts; the smallest of them
     is a floor. A pair occurs at most as often as its rarer product has lines, so products with
@@ -142,9 +159,6 @@ def top_pair_counts(
     row per product for broadcast where that is safe.
     """
     lines = lines.select("order_id", "product_id")
-    frequency = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"))
-    if among is not None:
-        frequency = frequency.join(small(among.select("product_id")), "product_id", "left_semi")
     seed = top_k(frequency, [F.desc("lines"), F.asc("product_id")], seeds).select("product_id")
     # The seeds are limited in number, so this broadcast has a fixed size.
     seed_lines = lines.join(F.broadcast(seed), "product_id", "left_semi")

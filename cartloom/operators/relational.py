@@ -41,7 +41,7 @@ def modes_per_key(
 ) -> DataFrame:
     """Most frequent value per key for several columns of small numbers (0..1023).
 
-    The smallest value wins a tie. All columns share one aggregation: rows are unfolded to
+    Values outside that range are an error, nulls are left out. The smallest value wins a tie. All columns share one aggregation: rows are unfolded to
     (column, value) and counted; count and value then form one long whose maximum is the answer,
     which keeps both steps in hash aggregates that combine before they shuffle. Plain ``sums``
     per key ride along, so that rows need not be read again for them.
@@ -63,7 +63,9 @@ def modes_per_key(
     counted = unfolded.groupBy(key, "v.kind", "v.value").agg(
         F.sum(weight).alias("n"), *[F.sum(column).alias(f"sum_{column}") for column in sums]
     )
-    ranked = F.shiftleft("n", _VALUE_BITS) + (limit - F.col("value"))
+    packed = F.shiftleft("n", _VALUE_BITS) + (limit - F.col("value"))
+    wrong = F.raise_error(F.format_string(f"%s must be 0 to {limit}, found %s", "kind", F.col("value").cast("string")))
+    ranked = F.when(F.col("value").isNull() | F.col("value").between(0, limit), packed).otherwise(wrong)
     # Each row was unfolded once per column; the sums are taken from the first of them.
     first = F.col("kind") == next(iter(values))
     found = counted.groupBy(key).agg(

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cartloom.functions.labels import day_name, has_token, percent, position_bucket, ratio
+from cartloom.functions.labels import (
+    day_name, has_token, percent, position_bucket, position_names, ratio,
+)
 from cartloom.operators.relational import stats_of, top_k
 from cartloom.sources.schema import Tables
 
+# Cart positions whose running counts one task adds up.
+POSITION_BLOCK_BITS = 12
+
 
 def _product_totals(lines: DataFrame) -> DataFrame:
     """Lines and reorders per product; dimensions are joined to this, not to the lines."""
@@ -151,20 +156,33 @@ def first_item_lifetime(t: Tables, min_users: int = 1000, digits: int = 2) -> Da
 def cart_position_buckets(
     t: Tables, probs: tuple[float, ...] = (0.2, 0.4, 0.6, 0.8), digits: int = 1
 ) -> DataFrame:
-    """Items, share and reorder rate of five ranges of cart positions.
+    """Items, share and reorder rate of ranges of cart positions, five with the usual cuts.
 
-    Everything is derived from one histogram of positions, whose size is the largest basket, so
-    the lines are read once: a cut is the smallest position at which the running count reaches
-    its share of all items.
+    Everything is derived from one histogram of positions, so the lines are read once: a cut is
+    the smallest position at which the running count reaches its share of all items. Running
+    counts are made inside blocks of positions and over the blocks, so no task sees all positions
+    of a very large order.
     """
-    histogram = t.op_all.groupBy("add_to_cart_order").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("reordered").alias("reorders")
+    if not probs or any(not 0 < p < 1 for p in probs) or list(probs) != sorted(set(probs)):
+        raise ValueError(f"shares must rise from above 0 to below 1: {probs}")
+    position = F.col("add_to_cart_order")
+    histogram = (
+        t.op_all.groupBy("add_to_cart_order")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("reordered").alias("reorders"))
+        .withColumn("block", F.shiftright("add_to_cart_order", POSITION_BLOCK_BITS))
     )
-    ordered = Window.orderBy("add_to_cart_order").rowsBetween(Window.unboundedPreceding, 0)
-    running = histogram.withColumns(
-        {"reached": F.sum("n").over(ordered), "total": F.sum("n").over(Window.partitionBy())}
+    before = (Window.unboundedPreceding, -1)
+    blocks = histogram.groupBy("block").agg(F.sum("n").alias("block_n"))
+    blocks = blocks.select(
+        "block",
+        F.coalesce(F.sum("block_n").over(Window.orderBy("block").rowsBetween(*before)), F.lit(0)).alias("earlier"),
+        F.sum("block_n").over(Window.partitionBy()).alias("total"),
+    )
+    inside = Window.partitionBy("block").orderBy("add_to_cart_order")
+    running = histogram.join(blocks, "block").withColumn(
+        "reached",
+        F.col("earlier") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
     )
-    position = F.col("add_to_cart_order")
     cuts = stats_of(
         running,
         **{
@@ -172,7 +190,8 @@ def cart_position_buckets(
             for index, p in enumerate(probs)
         },
     )
-    label = position_bucket(position, [cuts.getField(f"p{index}") for index in range(len(probs))])
+    fields = [cuts.getField(f"p{index}") for index in range(len(probs))]
+    label = position_bucket(position, fields, position_names(len(probs)))
     return (
         running.groupBy(label.alias("cart_position_bucket"))
         .agg(

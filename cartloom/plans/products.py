@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartloom.functions.labels import (
     BOOST, BOTH_FLAGGED, CORE, DEPARTMENT_SEGMENTS, MAINSTREAM, MIXED_FLAGGED, NONE_FLAGGED,
@@ -11,10 +11,21 @@ from cartloom.functions.labels import (
 from cartloom.operators.pairs import cross_pair_counts, pair_counts, pair_order, top_pair_counts
 from cartloom.operators.relational import stats_of, top_k
 from cartloom.sources.schema import Tables
+from cartloom.sources.staging import remembered
 
 
 def product_metrics(t: Tables) -> DataFrame:
-    """Purchases, distinct buyers and mean reorder mark per product."""
+    """Purchases, distinct buyers and mean reorder mark per product; derived once per input."""
+    return remembered(t, "product-metrics", lambda: _product_metrics(t))
+
+
+def product_lines(t: Tables) -> DataFrame:
+    """Lines per product; derived once per input."""
+    counts = lambda: t.op_all.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"))
+    return remembered(t, "product-lines", counts)
+
+
+def _product_metrics(t: Tables) -> DataFrame:
     return (
         t.op_all.join(t.orders.select("order_id", "user_id"), "order_id")
         .groupBy("product_id")
@@ -132,7 +143,7 @@ def product_pair_base(t: Tables, top_pairs: int | None = None, **segment_options
     segments = product_segments(t, **segment_options)
     if top_pairs is None:
         return enrich_pairs(product_pairs(t), t.per_product(segments))
-    best = top_pair_counts(t.op_all, top_pairs, t.largest_basket(), t.per_product)
+    best = top_pair_counts(t.op_all, top_pairs, t.largest_basket(), t.per_product, product_lines(t))
     return enrich_pairs(F.broadcast(best), segments)
 
 
@@ -148,8 +159,10 @@ def top_pairs(t: Tables, min_purchases: int = 50_000, k: int = 15, **segment_opt
     Lines of other products are dropped before pairing, and names are looked up for k rows only.
     """
     segments = product_segments(t, **segment_options)
-    often = segments.where(F.col("total_purchases") > min_purchases).select("product_id")
-    best = top_pair_counts(t.op_all, k, t.largest_basket(), t.per_product, among=often)
+    often = product_metrics(t).where(F.col("total_purchases") > min_purchases).select("product_id")
+    best = top_pair_counts(
+        t.op_all, k, t.largest_basket(), t.per_product, product_lines(t).join(often, "product_id", "left_semi")
+    )
     return top_k(enrich_pairs(F.broadcast(best), segments), pair_order(), k).select(
         *_TOP_PAIR_COLUMNS
     )
@@ -259,8 +272,10 @@ def top_potential_products(t: Tables, k: int = 10, **segment_options) -> DataFra
     size of each order but no pairs.
     """
     segments = product_segments(t, **segment_options).where(F.col("product_segment") == POTENTIAL)
-    lines = t.op_all.select("order_id", "product_id").distinct()
-    shared = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    potential = t.per_product(segments.select("product_id"))
+    lines = t.op_all.select("order_id", "product_id").join(potential, "product_id", "left_semi")
+    products = t.op_all.groupBy("order_id").agg(F.min("product_id").alias("low"), F.max("product_id").alias("high"))
+    shared = products.where(F.col("low") < F.col("high"))
     paired = lines.join(shared, "order_id", "left_semi").select("product_id").distinct()
     found = segments.join(t.per_product(paired), "product_id", "left_semi").select(
         "product_id",
@@ -346,21 +361,18 @@ def department_matrix(t: Tables, digits: int = 2) -> DataFrame:
         F.round(ratio(F.sum("items"), F.sum("orders")), digits).alias("avg_items_per_order"),
         F.sum("items").alias("total_purchases"),
     )
-    sold = (
-        t.op_all.join(t.orders.select("order_id"), "order_id", "left_semi")
-        .select("product_id")
-        .distinct()
-        .join(shelf, "product_id")
-        .groupBy("department_id")
-        .agg(F.count(F.lit(1)).alias("total_products"))
+    sold = product_metrics(t).join(shelf, "product_id").groupBy("department_id")
+    sold = sold.agg(F.count(F.lit(1)).alias("total_products"))
+    # A window over one row per department, so that the lines are not added up again for the medians.
+    every = Window.partitionBy()
+    metrics = metrics.withColumns(
+        {
+            "reach_median": F.percentile_approx("total_unique_buyers", 0.5).over(every),
+            "loyalty_median": F.percentile_approx("reorder_rate", 0.5).over(every),
+        }
     )
-    cut = stats_of(
-        metrics,
-        reach_median=F.percentile_approx("total_unique_buyers", 0.5),
-        loyalty_median=F.percentile_approx("reorder_rate", 0.5),
-    )
-    wide = F.col("total_unique_buyers") >= cut.getField("reach_median")
-    loyal = F.col("reorder_rate") >= cut.getField("loyalty_median")
+    wide = F.col("total_unique_buyers") >= F.col("reach_median")
+    loyal = F.col("reorder_rate") >= F.col("loyalty_median")
     return (
         metrics.join(sold, "department_id")
         .join(t.departments, "department_id")
@@ -373,16 +385,18 @@ def department_matrix(t: Tables, digits: int = 2) -> DataFrame:
             "avg_items_per_order",
             "total_products",
             "total_purchases",
-            cut.getField("reach_median").alias("reach_median"),
-            cut.getField("loyalty_median").alias("loyalty_median"),
+            "reach_median",
+            "loyalty_median",
         )
         .orderBy(F.desc("department"))
     )
 
 
+def segment_rank() -> Column:
+    """Place of a department's segment in report order."""
+    return F.array_position(F.array(*map(F.lit, DEPARTMENT_SEGMENTS)), F.col("department_segment"))
+
+
 def segment_sort(matrix: DataFrame) -> DataFrame:
     """Departments by segment in report order, widest reach first."""
-    rank = F.array_position(
-        F.array(*[F.lit(name) for name in DEPARTMENT_SEGMENTS]), F.col("department_segment")
-    )
-    return matrix.orderBy(rank, F.desc("total_unique_buyers"), F.asc("department_id"))
+    return matrix.orderBy(segment_rank(), F.desc("total_unique_buyers"), F.asc("department_id"))

@@ -64,9 +64,11 @@ def sample_users(tables: Tables, fraction: float, seed: int = 42) -> Tables:
     """Keep a share of the users with all of their orders and lines.
 
     The choice is a hash of the user id, so it needs no shuffle of users, is the same on every
-    run and does not depend on how the data is partitioned.
+    run and does not depend on how the data is partitioned. Sizes are measured anew.
     """
-    if not 0 < fraction < 1:
+    if not 0 < fraction <= 1:
+        raise ValueError(f"a share of the users is above 0 and at most 1, not {fraction}")
+    if fraction == 1:
         return tables
     orders = tables.orders.where(user_bucket("user_id", f"sample:{seed}") < int(fraction * 65536))
     ids = orders.select("order_id")
@@ -82,5 +84,4 @@ def sample_users(tables: Tables, fraction: float, seed: int = 42) -> Tables:
         products=tables.products,
         aisles=tables.aisles,
         departments=tables.departments,
-        known=tables.known,
     )

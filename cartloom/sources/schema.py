@@ -74,7 +74,8 @@ BROADCAST_PRODUCTS = 500_000
 class Tables:
     """The seven logical tables. ``op_all`` holds prior and train lines together.
 
-    ``known`` remembers the few sizes plans choose by, so each is measured at most once.
+    ``known`` remembers the few sizes plans choose by and where small derived tables were written,
+    so each is measured or derived at most once.
     """
 
     orders: DataFrame
@@ -84,7 +85,7 @@ class Tables:
     products: DataFrame
     aisles: DataFrame
     departments: DataFrame
-    known: dict[str, int] = field(default_factory=dict, repr=False, compare=False)
+    known: dict = field(default_factory=dict, repr=False, compare=False)
 
     def items(self) -> list[tuple[str, DataFrame]]:
         return [(name, getattr(self, name)) for name in VIEW_NAMES]

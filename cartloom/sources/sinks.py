@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict, dataclass, field
+
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -47,3 +49,25 @@ def validate_outputs(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame
             )
         )
     return report
+
+
+@dataclass
+class Report:
+    """What a model task says about itself: inputs, one entry per run, and the run it chose."""
+
+    task: str
+    inputs: dict
+    runs: list[dict] = field(default_factory=list)
+    choice: dict | None = None
+    skipped: str | None = None
+
+    def skip(self, reason: str) -> "Report":
+        self.skipped = reason
+        return self
+
+    def choose(self, measure: str, run: dict) -> "Report":
+        self.choice = {"by": measure, **run}
+        return self
+
+    def as_dict(self) -> dict:
+        return asdict(self)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,6 +33,14 @@ def shared_folder(spark: SparkSession) -> str | None:
     return None
 
 
+def required_folder(spark: SparkSession) -> str:
+    """The shared folder, for work that cannot do without one."""
+    folder = shared_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
+
+
 def input_state(spark: SparkSession, paths: list[str]) -> tuple[int, tuple]:
     """Total bytes and a change marker (length and time per path) of files or folders."""
     context = spark.sparkContext
@@ -52,6 +61,23 @@ def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     return int(min(MAX_BUCKETS, max(wanted, spark.sparkContext.defaultParallelism)))
 
 
+def remembered(tables: Tables, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
+    """A small derived table, written once per input and read by every later plan.
+
+    Without a shared folder it stays a lazy plan.
+    """
+    spark = tables.orders.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
+        return plan()
+    if name not in tables.known:
+        df, path = plan(), f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        tables.known[name] = (path, df.schema)
+    path, schema = tables.known[name]
+    return spark.read.schema(schema).parquet(path)
+
+
 @dataclass
 class Store:
     """A fresh folder, and a table-name prefix nobody else uses, for one set of basket tables."""

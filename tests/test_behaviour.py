@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import pytest
 from conftest import AISLES, ORDERS, as_dicts, make_tables
+from pyspark.sql import functions as F
 
+from cartloom.functions.labels import position_bucket
 from cartloom.operators import profile
 from cartloom.plans import behaviour, exports
 
@@ -93,3 +96,23 @@ def test_profiles(shop):
     described = {r["summary"]: r for r in as_dicts(
         profile.describe_cols(shop.orders, ["order_number"]))}
     assert described["max"]["order_number"] == "4"
+
+
+@pytest.mark.parametrize("shares", [(0.25, 0.5, 0.75), (0.1, 0.2, 0.35, 0.5, 0.7, 0.9), (0.5,)])
+def test_any_number_of_position_cuts(spark, shares):
+    lines = [(n, 1, 1 + n % 9_000, 0) for n in range(18_000)]
+    rows = as_dicts(behaviour.cart_position_buckets(make_tables(spark, prior=lines, train=[]), shares, 4))
+    assert len(rows) == len(shares) + 1 and sum(r["total_items"] for r in rows) == 18_000
+    bounds = [0, *[round(share * 18_000) for share in shares], 18_000]
+    assert [r["total_items"] for r in rows] == [b - a for a, b in zip(bounds, bounds[1:])]
+
+
+@pytest.mark.parametrize("shares", [(), (0.5, 0.2), (0.0, 0.5), (0.5, 0.5)])
+def test_wrong_position_cuts_are_an_error(spark, shares):
+    with pytest.raises(ValueError):
+        behaviour.cart_position_buckets(make_tables(spark), shares)
+
+
+def test_names_must_fit_the_cuts(spark):
+    with pytest.raises(ValueError):
+        position_bucket(F.lit(1), [F.lit(1), F.lit(2)], ("only", "two"))

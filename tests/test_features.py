@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 
+import pytest
 from conftest import ORDERS, as_dicts, make_tables
 
 from cartloom.operators.relational import modes_per_key
@@ -128,3 +129,15 @@ def test_partitioning_does_not_change_results(spark):
         as_dicts(build_training(spread)), key=key
     )
     assert len(ORDERS) == once.orders.count()
+
+
+@pytest.mark.parametrize("value", [-1, 1024, 2000])
+def test_modes_refuse_values_they_cannot_hold(spark, value):
+    df = spark.createDataFrame([(1, value, 1)], "k int, v int, w int")
+    with pytest.raises(Exception, match="must be 0 to 1023"):
+        modes_per_key(df, "k", {"m": "v"}, "w").collect()
+
+
+def test_modes_leave_nulls_out(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, 3, 1), (2, None, 1)], "k int, v int, w int")
+    assert {r["k"]: r["m"] for r in as_dicts(modes_per_key(df, "k", {"m": "v"}, "w"))} == {1: 3, 2: None}

@@ -6,7 +6,9 @@ import pytest
 from conftest import as_dicts, make_tables
 
 from cartloom.jobs.feature_tables import FEATURE_TABLES, export_job
-from cartloom.jobs.train_models import run, select_tasks
+import argparse
+
+from cartloom.jobs.train_models import TASKS, Settings, one_of, run
 from cartloom.operators.lookup import names_for
 from cartloom.plans import association, reorder, segmentation
 from cartloom.sources.sinks import validate_outputs
@@ -54,9 +56,10 @@ def test_confusion_without_predicted_positives(spark):
 
 
 def test_unknown_model_and_task():
-    with pytest.raises(ValueError):
-        select_tasks("basket,stars")
-    assert select_tasks("all") == ["reorder", "segmentation", "basket"]
+    with pytest.raises(argparse.ArgumentTypeError, match="stars"):
+        one_of(list(TASKS))("basket,stars")
+    assert one_of(list(TASKS))("all") == ["reorder", "segmentation", "basket"]
+    assert one_of(list(TASKS))(" Basket,reorder") == ["basket", "reorder"]
 
 
 def test_unknown_model(spark):
@@ -83,9 +86,10 @@ def test_itemsets_agree_with_counting(spark):
     assert [r["lift"] for r in rules] == sorted((r["lift"] for r in rules), reverse=True)
 
 
-def test_no_basket_of_two(spark):
+def test_no_basket_of_two(spark, tmp_path):
     baskets = spark.createDataFrame([(["1"],)], "items array<string>")
-    assert association.fit_itemsets(baskets) is None
+    report = association.train_basket_rules(baskets, baskets, str(tmp_path))
+    assert report.skipped and report.choice is None
 
 
 def test_names_keep_order_and_unknown_ids(spark, shop):
@@ -101,7 +105,7 @@ def test_names_keep_order_and_unknown_ids(spark, shop):
 def test_too_few_users_are_skipped(spark, tmp_path):
     rfv = spark.createDataFrame([(1, 1.0)], "user_id int, recency double")
     report = segmentation.train_segmentation(rfv, str(tmp_path), features=["recency"])
-    assert report["skipped"]
+    assert report.skipped
 
 
 def test_all_jobs_end_to_end(spark, tmp_path):
@@ -117,22 +121,22 @@ def test_all_jobs_end_to_end(spark, tmp_path):
                 (train if last else prior).append((order, product, position, again))
     t = make_tables(spark, orders=orders, prior=prior, train=train)
     out = str(tmp_path / "out")
-    reports = run(
-        t, out, k_max=3, min_support=0.1,
+    settings = Settings(
+        k_max=3, min_support=0.1,
         overrides={"lr": {"maxIter": 2}, "rf": {"numTrees": 2}, "gbt": {"maxIter": 1}},
     )
-    assert {r["model"] for r in reports["reorder"]["all_models"]} == {"lr", "rf", "gbt"}
-    best = reports["reorder"]["best_model"]["auc_pr"]
-    assert best == max(r["auc_pr"] for r in reports["reorder"]["all_models"])
-    metrics = reports["reorder"]["all_models"][0]
-    tested = sum(reports["reorder"]["label_counts"]["test"].values())
-    assert sum(metrics[c] for c in ("tp", "fp", "fn", "tn")) == tested
-    assert reports["segmentation"]["best_k"] in (2, 3)
-    assert reports["basket"]["rule_count"] > 0
-    assert reports["basket"]["top_rules"][0]["antecedent_names"]
+    reports = run(t, out, settings=settings)
+    fits = reports["reorder"].runs
+    assert {r["model"] for r in fits} == {"lr", "rf", "gbt"}
+    assert reports["reorder"].choice["auc_pr"] == max(r["auc_pr"] for r in fits)
+    tested = sum(r["count"] for r in reports["reorder"].inputs["rows"] if r["part"] == "test")
+    assert all(sum(r[c] for c in ("tp", "fp", "fn", "tn")) == tested for r in fits)
+    assert reports["segmentation"].choice["k"] in (2, 3)
+    assert reports["basket"].runs[0]["basket_association_rules"] > 0
+    assert reports["basket"].choice["antecedent_names"]
     found = as_dicts(validate_outputs(spark, {n: f"{out}/features/{n}" for n in FEATURE_TABLES}))
     assert all(r["row_count"] for r in found)
     assert spark.read.parquet(f"{out}/features/user_segments").count() == 40
-    assert spark.read.json(f"{out}/reports/summary").count() == 3
+    assert all(spark.read.json(f"{out}/reports/{task}").count() == 1 for task in TASKS)
     paths = export_job(t, f"{out}/exports")
     assert spark.read.option("header", True).csv(paths["top_products"]).count() == 4

@@ -25,7 +25,7 @@ def test_matches_sql(spark, connection, name):
     assert compare(result, connection, contract.ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", ["basket_report", "kmeans_sweep", "reorder_lr"])
+@pytest.mark.parametrize("name", ["kmeans_sweep", "user_segments", "reorder_lr"])
 def test_runs(spark, name):
     assert contract.queries()[name](spark, FOLDER).count() > 0
 

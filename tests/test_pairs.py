@@ -9,7 +9,7 @@ from conftest import as_dicts, make_tables
 from pyspark.sql import functions as F
 
 from cartloom.operators.pairs import (
-    _unfold_blocks, cross_pair_counts, pair_counts, top_pair_counts,
+    _large_orders, _unfold_blocks, cross_pair_counts, pair_counts, top_pair_counts,
 )
 from cartloom.plans import products
 
@@ -68,14 +68,15 @@ def test_top_pairs_are_exact_for_any_number_of_seeds(spark, seeds, k):
     lines = random_lines(3)
     df = spark.createDataFrame(lines, "order_id bigint, product_id bigint")
     best = sorted(brute_force(lines).items(), key=lambda item: (-item[1], item[0]))[:k]
-    found = top_pair_counts(df, k, 30, lambda small: small, seeds=seeds)
+    frequency = df.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"))
+    found = top_pair_counts(df, k, 30, lambda small: small, frequency, seeds=seeds)
     assert counted(found) == dict(best)
 
 
 def test_block_plans_spread_one_order(spark):
     """All cells of one large order must not end in one task."""
     df = spark.createDataFrame([(1, n) for n in range(64)], "order_id bigint, product_id bigint")
-    unfolded = _unfold_blocks(df, 4).withColumn("task", F.spark_partition_id())
+    unfolded = _unfold_blocks(df, _large_orders(df, 4)).withColumn("task", F.spark_partition_id())
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         rows = unfolded.collect()
@@ -85,6 +86,15 @@ def test_block_plans_spread_one_order(spark):
     assert len({row.task for row in rows}) > 1
 
 
+def test_one_large_order_leaves_the_small_ones_whole(spark):
+    """An order of 2,000 products among small ones: only its lines are dealt out in blocks."""
+    lines = [(0, n) for n in range(2000)] + random_lines(5, orders=40)
+    df = spark.createDataFrame(lines, "order_id bigint, product_id bigint")
+    assert counted(pair_counts(df, 2000)) == brute_force(lines)
+    large = _large_orders(df, 1024).collect()
+    assert [(row.order_id, row.parts) for row in large] == [(0, 2)]
+
+
 SALES = [
     # order, product, position, reordered: 10 core, 11 mainstream, 12 potential, 13 boost
     *[(o, 10, 1, 1) for o in (1, 2, 3, 5, 7)],

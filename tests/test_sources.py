@@ -84,6 +84,10 @@ def test_sample_keeps_whole_users(spark):
     again = sample_users(t, 0.5)
     assert rows_of(again.orders) == rows_of(sampled.orders)
     assert sample_users(t, 1.0) is t
+    assert sampled.known is not t.known
+    for wrong in (0, -0.5, 1.5):
+        with pytest.raises(ValueError):
+            sample_users(t, wrong)
 
 
 def test_sinks(spark, shop, tmp_path):
