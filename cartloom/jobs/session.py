@@ -10,7 +10,6 @@ from cartloom.sources.schema import CSV_FILES, Tables
 
 # One shuffle partition per this many input bytes; Spark merges the ones that stay small.
 BYTES_PER_PARTITION = 128 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 
 
 def open_session(name: str) -> SparkSession:
@@ -34,6 +33,6 @@ def open_tables(spark: SparkSession, data: str, fraction: float = 1.0, seed: int
     size, _ = staging.input_state(spark, paths)
     if "spark.sql.shuffle.partitions" not in dict(spark.sparkContext.getConf().getAll()):
         least = spark.sparkContext.defaultParallelism
-        partitions = min(MAX_PARTITIONS, max(least, -(-size // BYTES_PER_PARTITION)))
+        partitions = max(least, -(-size // BYTES_PER_PARTITION))
         spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return staging.store_tables(spark, tables, size)

@@ -66,8 +66,10 @@ VIEW_NAMES: dict[str, str] = {
 }
 
 
-# A relation with one row per product is sent to every task up to this many products.
-BROADCAST_PRODUCTS = 500_000
+# A relation with one row per product is sent to every task up to this many bytes.
+BROADCAST_BYTES = 64 << 20
+# Numbers and labels next to the names in such a row.
+PRODUCT_ROW_BYTES = 256
 
 
 @dataclass(frozen=True)
@@ -90,10 +92,12 @@ class Tables:
     def items(self) -> list[tuple[str, DataFrame]]:
         return [(name, getattr(self, name)) for name in VIEW_NAMES]
 
-    def product_rows(self) -> int:
-        if "product_rows" not in self.known:
-            self.known["product_rows"] = self.products.count()
-        return self.known["product_rows"]
+    def product_bytes(self) -> int:
+        """Upper bound on the size of a relation of one row per product with all its names."""
+        if "product_bytes" not in self.known:
+            names = F.coalesce(F.octet_length("product_name"), F.lit(0)) + PRODUCT_ROW_BYTES
+            self.known["product_bytes"] = self.products.agg(F.coalesce(F.sum(names), F.lit(0))).first()[0]
+        return self.known["product_bytes"]
 
     def largest_basket(self) -> int:
         """Most lines in one order: an upper bound on the distinct products of any order."""
@@ -104,13 +108,13 @@ class Tables:
         return self.known["largest_basket"]
 
     def per_product(self, df: DataFrame) -> DataFrame:
-        """Mark a relation of at most one row per product for broadcast if there are few products.
+        """Mark a relation of at most one row per product for broadcast if it is small.
 
         Spark cannot tell the size of a derived relation before it runs and would shuffle the
         lines by product, where one product may hold a large part of them. With many products the
         relation is left to a shuffled join, whose skewed partitions Spark splits at run time.
         """
-        return F.broadcast(df) if self.product_rows() <= BROADCAST_PRODUCTS else df
+        return F.broadcast(df) if self.product_bytes() <= BROADCAST_BYTES else df
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

@@ -12,11 +12,14 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cartloom.sources import staging
-from cartloom.sources.schema import BROADCAST_PRODUCTS, Tables, conform
+from cartloom.sources.schema import BROADCAST_BYTES, Tables, conform
 
 # Up to this many orders per user, one task can number the orders of any user.
 WINDOW_ORDERS = 1_000_000
 
+# Two ids and what Spark keeps with them.
+MAPPING_ROW_BYTES = 48
+
 # Beyond it, the orders of one user on one day are numbered in blocks of this many neighbouring
 # order ids, so that no task ever sorts more than one block.
 _BLOCK_BITS = 16
@@ -115,7 +118,16 @@ def derive_orders(orders: DataFrame, most_orders: int) -> DataFrame:
         F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("day"),
     )
-    numbered = _numbered(dated) if most_orders <= WINDOW_ORDERS else _numbered_in_blocks(dated)
+    if most_orders <= WINDOW_ORDERS:
+        numbered = _numbered(dated)
+    else:
+        # Only users beyond the limit are numbered in blocks.
+        sizes = dated.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+        heavy = sizes.where(F.col("n") > WINDOW_ORDERS).select("user_id")
+        columns = ["order_id", "user_id", "day", "order_number", "days_since_prior_order", "is_last"]
+        numbered = _numbered(dated.join(heavy, "user_id", "left_anti")).select(*columns).unionByName(
+            _numbered_in_blocks(dated.join(heavy, "user_id", "left_semi")).select(*columns)
+        )
     eval_set = (
         F.when(~F.col("is_last"), "prior").when(F.col("user_id") % 3 == 0, "test").otherwise("train")
     )
@@ -139,7 +151,7 @@ def derive_lines(
         .select("p_partkey", "product_id")
     )
     # Unaided, the planner overrates a join's size and would rather broadcast the lines.
-    if part.count() <= BROADCAST_PRODUCTS:
+    if part.count() * MAPPING_ROW_BYTES <= BROADCAST_BYTES:
         mapping = F.broadcast(mapping)
     # One order holds a product once, so this window is bounded by the catalogue.
     cart = Window.partitionBy("order_id").orderBy("line", "product_id")
@@ -200,9 +212,7 @@ def _stage(spark: SparkSession, sources: list[DataFrame], folder: str, input_byt
 def shop_tables(spark: SparkSession, folder: str) -> Tables:
     """Basket tables for the Parquet files in ``folder``, staged on first use."""
     paths = [f"{folder.rstrip('/')}/{name}.parquet" for name in ("orders", "lineitem", "part")]
-    shared = staging.shared_folder(spark)
-    if shared is None:
-        return derive_tables(*[spark.read.parquet(path) for path in paths])
+    shared = staging.required_folder(spark)
     input_bytes, marker = staging.input_state(spark, paths)
     key = (spark.sparkContext.applicationId, marker)
     with _lock:
@@ -214,3 +224,12 @@ def shop_tables(spark: SparkSession, folder: str) -> Tables:
             tables = staging.scan(spark, _staged[key])
             _scans[key] = (spark, tables)
         return tables
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Forget and drop all staged tables of this application."""
+    with _lock:
+        for known in (_staged, _scans):
+            for key in [key for key in known if key[0] == spark.sparkContext.applicationId]:
+                del known[key]
+        staging.drop_stores(spark)

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartloom.sources.schema import SCHEMAS, Tables, conform
+from cartloom.sources.schema import Tables, conform
 
 # One bucket per this many input bytes, so that a bucket of any of the tables fits in a task.
 BYTES_PER_BUCKET = 512 * 1024 * 1024
-MAX_BUCKETS = 50_000
+
+# Databases made for staged tables, by application.
+_made: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Where the setting is absent a single-process local session gets a folder of its own; on a
-    cluster there is no safe guess, so the answer is None and callers stay with lazy plans.
+    Where the setting is absent a single-process local session gets a folder of its own, removed
+    when the program ends; on a cluster there is no safe guess, so the answer is None.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
@@ -28,6 +33,7 @@ def shared_folder(spark: SparkSession) -> str | None:
         return folder.rstrip("/")
     if context.master == "local" or context.master.startswith("local["):
         folder = tempfile.mkdtemp(prefix="cartloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
         return folder
     return None
@@ -42,74 +48,92 @@ def required_folder(spark: SparkSession) -> str:
 
 
 def input_state(spark: SparkSession, paths: list[str]) -> tuple[int, tuple]:
-    """Total bytes and a change marker (length and time per path) of files or folders."""
-    context = spark.sparkContext
-    configuration = context._jsc.hadoopConfiguration()
-    total, marker = 0, []
-    for name in paths:
-        path = context._jvm.org.apache.hadoop.fs.Path(name)
-        system = path.getFileSystem(configuration)
-        length = system.getContentSummary(path).getLength()
-        marker.append((name, length, system.getFileStatus(path).getModificationTime()))
-        total += length
-    return total, tuple(marker)
+    """Total bytes and a change marker over every file (path, length, time) of files or folders.
+
+    Spark lists the files; their content is not read. A part replaced in place changes the marker
+    even if its length stays.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    file = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    found = files.select("length", file.alias("file")).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.sum(F.col("file").cast("decimal(38,0)"))
+    )
+    count, total, mark = found.first()
+    return total, (tuple(paths), count, total, mark)
 
 
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:
-    """Buckets grow with the data, with at least one per core and a fixed ceiling."""
-    wanted = -(-input_bytes // BYTES_PER_BUCKET)
-    return int(min(MAX_BUCKETS, max(wanted, spark.sparkContext.defaultParallelism)))
+    """Buckets grow with the data, with at least one per core."""
+    return max(-(-input_bytes // BYTES_PER_BUCKET), spark.sparkContext.defaultParallelism)
 
 
 def remembered(tables: Tables, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
     """A small derived table, written once per input and read by every later plan.
 
-    Without a shared folder it stays a lazy plan.
+    It goes to the database of the staged tables, else to the shared folder. Without a shared
+    folder it stays a lazy plan.
     """
     spark = tables.orders.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return plan()
     if name not in tables.known:
-        df, path = plan(), f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
-        df.write.parquet(path)
-        tables.known[name] = (path, df.schema)
-    path, schema = tables.known[name]
-    return spark.read.schema(schema).parquet(path)
+        if database := tables.known.get("database"):
+            table = f"{database}.{name.replace('-', '_')}"
+            plan().write.format("parquet").saveAsTable(table)
+            tables.known[name] = table
+        elif folder := shared_folder(spark):
+            df, path = plan(), f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+            df.write.parquet(path)
+            tables.known[name] = (path, df.schema)
+        else:
+            return plan()
+    place = tables.known[name]
+    return spark.table(place) if isinstance(place, str) else spark.read.schema(place[1]).parquet(place[0])
 
 
 @dataclass
 class Store:
-    """A fresh folder, and a table-name prefix nobody else uses, for one set of basket tables."""
+    """A database of its own in the shared folder, for one set of basket tables."""
 
     spark: SparkSession
-    area: str
-    prefix: str
+    database: str
     buckets: int
-    where: dict = field(default_factory=lambda: {"known": {}})
+    where: dict = field(default_factory=dict)
 
     @classmethod
     def open(cls, spark: SparkSession, folder: str, input_bytes: int) -> "Store":
-        token = uuid.uuid4().hex[:12]
-        area = f"{folder}/cartloom-{spark.sparkContext.applicationId}-{token}"
-        return cls(spark, area, f"cartloom_{token}", bucket_count(spark, input_bytes))
+        database = f"cartloom_{uuid.uuid4().hex[:12]}"
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/{database}'")
+        _made.setdefault(spark.sparkContext.applicationId, []).append(database)
+        return cls(spark, database, bucket_count(spark, input_bytes), {"known": {"database": database}})
+
+    def _saved(self, name: str, writer) -> DataFrame:
+        self.where[name] = f"{self.database}.{name}"
+        writer.mode("overwrite").saveAsTable(self.where[name])
+        return self.spark.table(self.where[name])
 
     def plain(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table as Parquet and return a scan of it."""
-        self.where[name] = f"{self.area}/{name}"
-        df.write.mode("overwrite").parquet(self.where[name])
-        return self.spark.read.schema(df.schema).parquet(self.where[name])
+        return self._saved(name, df.write.format("parquet"))
 
     def by_order(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         """Write a table bucketed by order: later joins and groupings by order need no shuffle."""
-        key, table = "order_id", f"{self.prefix}_{name}"
-        writer = df.repartition(self.buckets, key).write.format("parquet").mode("overwrite")
+        key = "order_id"
+        writer = df.repartition(self.buckets, key).write.format("parquet")
         if partition:
             writer = writer.partitionBy(partition)
-        writer = writer.bucketBy(self.buckets, key).sortBy(key)
-        writer.option("path", f"{self.area}/{name}").saveAsTable(table)
-        self.where[name] = table
-        return self.spark.table(table)
+        return self._saved(name, writer.bucketBy(self.buckets, key).sortBy(key))
+
+
+def drop_stores(spark: SparkSession) -> None:
+    """Drop the staged tables of this application, files included."""
+    for database in _made.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    session = SparkSession.getActiveSession() if SparkContext._active_spark_context else None
+    if session is not None:
+        drop_stores(session)
 
 
 def bundle(
@@ -140,15 +164,12 @@ def bundle(
 def scan(spark: SparkSession, where: dict) -> Tables:
     """Scans of a stored set of tables; lines of one set are read from their own partition."""
 
-    def dimension(name: str) -> DataFrame:
-        return spark.read.schema(SCHEMAS[name]).parquet(where[name])
-
     return bundle(
         spark.table(where["orders"]),
         spark.table(where["lines"]),
-        dimension("products"),
-        dimension("aisles"),
-        dimension("departments"),
+        spark.table(where["products"]),
+        spark.table(where["aisles"]),
+        spark.table(where["departments"]),
         where["known"],
     )
 

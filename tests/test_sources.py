@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import json
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -16,8 +17,10 @@ from cartloom.plans.products import (
 from cartloom.sources import shop as shop_module
 from cartloom.sources import sinks
 from cartloom.sources.config import FeatureConfig, REORDER_FEATURES
+from cartloom.sources import staging
 from cartloom.sources.readers import load_tables, register_views, sample_users
 from cartloom.sources.schema import CSV_FILES, SCHEMAS
+from cartloom.sources.staging import input_state
 
 
 @pytest.fixture(scope="module")
@@ -191,3 +194,31 @@ def test_staged_join_needs_no_shuffle(spark, wholesale_folder):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_replaced_file_of_equal_length_is_read_anew(spark, tmp_path):
+    path = tmp_path / "files"
+    path.mkdir()
+    (path / "a.txt").write_text("one")
+    total, before = input_state(spark, [str(path)])
+    assert total == 3
+    os.utime(path / "a.txt", (1, 1))
+    (path / "b.txt").write_text("")
+    (path / "b.txt").unlink()
+    assert input_state(spark, [str(path)])[1] != before
+    assert input_state(spark, [str(path)]) == input_state(spark, [str(path)])
+
+
+def test_dropped_stores_leave_no_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "_made", {})
+    store = staging.Store.open(spark, str(tmp_path), 1)
+    store.by_order("lines", spark.range(9).selectExpr("id AS order_id", "id % 2 AS part"), "part")
+    assert store.plain("few", spark.range(3)).count() == 3 and list(tmp_path.iterdir())
+    staging.drop_stores(spark)
+    assert not list(tmp_path.iterdir())
+
+
+def test_cluster_without_shared_folder_is_told(spark, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda spark: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shop_module.shop_tables(spark, "/nowhere")
