@@ -73,9 +73,10 @@ def mix(
     # Sizes are read several times and small; the texts are scanned once.
     sizes = stored(sized(docs), "mixing-sizes")
     largest = sizes.groupBy("source").count().agg(F.max("count")).first()[0] or 0
-    bits = max(1, math.ceil(math.log2(max(1.0, largest / RANGE_ROWS))))
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed))
-    keyed = sizes.withColumns({"key": key, "range": F.shiftright(key, 64 - bits)})
+    bits = min(32, max(1, math.ceil(math.log2(max(1.0, largest / RANGE_ROWS)))))
+    key = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed))))
+    top = F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
+    keyed = sizes.withColumns({"key": key, "range": F.shiftright(top, 32 - bits)})
     targets = source_targets(sizes, weights, share, most)
     budget = F.round("target").cast("long")
     ranges = (

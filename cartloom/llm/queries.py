@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartloom.llm import bpe, langid, line_crf, mixing, reputation, secrets, simhash, sketch, warc, wavelet
 from cartloom.llm.shared import new_folder, table
+from cartloom.llm.sql import ORACLE as ORACLE
 
 #: Appended to every document of the token files.
 END_ID = 1
@@ -48,7 +49,8 @@ def page_outcomes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
-    return reputation.judge(table(spark, folder, "pages"), page_outcomes(spark, folder))
+    judged = reputation.judge(table(spark, folder, "pages"), page_outcomes(spark, folder))
+    return judged.withColumns({name: F.round(name, 6) for name in ("share", "bound")})
 
 
 def op6_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,4 +92,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash_trie,
     )
 }
-ORACLE: dict[str, str] = {}

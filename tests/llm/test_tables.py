@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -13,7 +14,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from cartloom.checks.compare import compare, connect
 from cartloom.llm import langid, mixing, reputation, secrets, simhash, warc
+from cartloom.llm.queries import ORACLE, QUERIES
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -206,8 +209,7 @@ def test_mix_cuts_in_key_order(spark, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_ROWS", 10)
     rows = [(n, "w " * (n % 7), "a" if n % 3 else "b") for n in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    key = F.xxhash64(F.col("doc_id").cast("string"), F.lit(7))
-    keys = {row["doc_id"]: row["key"] for row in docs.select("doc_id", key.alias("key")).collect()}
+    keys = {n: hashlib.md5(f"{n}:7".encode()).hexdigest() for n, _, _ in rows}
     found = {row["doc_id"]: row for row in mixing.mix(docs).collect()}
     for source in ("a", "b"):
         own = sorted((n for n, _, s in rows if s == source), key=keys.get)
@@ -382,6 +384,16 @@ def test_deduplicated(table, request):
     assert sorted(str(row["doc_id"]) for row in out.collect()) == sorted(expected)
 
 
+# --- SQL on the given tables
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_sql(spark, name):
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    assert compare(QUERIES[name](spark, folder), connect(folder), ORACLE[name]) is None
+
+
 # --- pipeline
 
 
