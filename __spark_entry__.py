@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cartloom.checks.oracle import ORACLE
+from cartloom.jobs.feature_tables import feature_job
 from cartloom.operators import profile
 from cartloom.operators.relational import item_sets
 from cartloom.plans import association, behaviour, exports, features, products, reorder, segmentation
@@ -20,7 +21,7 @@ from cartloom.sources.config import REORDER_FEATURES
 from cartloom.sources.readers import load_tables, register_views, sample_users, write_csv_tables
 from cartloom.sources.schema import Tables
 from cartloom.sources.shop import shop_tables
-from cartloom.sources.sinks import export_csv, write_report
+from cartloom.sources.sinks import export_csv, validate_outputs, write_report
 
 # Settings for the fixture data, whose names and volumes differ from a grocery data set.
 TOKEN = "red"
@@ -273,6 +274,22 @@ def _by_recency(t: Tables) -> DataFrame:
     return _stored_rfv(t).withColumn("cluster", F.floor(F.col("recency") / 30).cast("int"))
 
 
+def _job_paths(t: Tables) -> dict[str, str]:
+    """The feature tables as the job writes them, once per input."""
+    if "features" not in t.known:
+        out = f"{staging.required_folder(t.orders.sparkSession)}/features-{uuid.uuid4().hex[:12]}"
+        t.known["features"] = feature_job(t, out, TOKEN, RATIO_DEPARTMENTS)
+    return t.known["features"]
+
+
+def _job_outputs(t: Tables) -> DataFrame:
+    return validate_outputs(t.orders.sparkSession, _job_paths(t)).select("table_name", "row_count", "column_count")
+
+
+def _job_train_dataset(t: Tables) -> DataFrame:
+    return _rounded(t.orders.sparkSession.read.parquet(_job_paths(t)["train_dataset"]))
+
+
 def _pair_base(t: Tables) -> DataFrame:
     return products.product_pair_base(t, **SEGMENTS)
 
@@ -383,6 +400,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "product_features": lambda t: _rounded(features.product_features(_fact(t))),
     "user_product_features": lambda t: _rounded(features.user_product_features(_fact(t))),
     "train_dataset": lambda t: _rounded(_train_dataset(t)),
+    "train_dataset_of_job": _job_train_dataset,
+    "feature_job_outputs": _job_outputs,
     "rfv_features": lambda t: _rounded(_rfv(t)),
     "baskets": _baskets,
     "user_sample": _user_sample,
