@@ -25,24 +25,35 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
-from cartloom.llm.shared import as_bytes, free_names, slices, stored, without
+from cartloom.llm.shared import as_bytes, free_names, slices, stored
 
 SHINGLE = 4
 BUDGET = 4
 #: Fingerprints that a top node of a trie is meant to hold; the levels above it follow from their number.
-NODE = 4_096
+NODE = 16_384
 SEED = 42
 #: Node pairs that a task expands at a time, and leaf pairs that a node pair may have to be compared at once.
 FRONT = 200_000
 SMALL = 16
 
 
-def fingerprint(text: bytes, size: int = SHINGLE) -> int:
+def _majority(hashes: np.ndarray) -> int:
+    """Bits that more than half of the hashes have."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 8192):
+        part = hashes[at : at + 8192].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    bits = np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little")
+    return int(bits.view("<u8")[0])
+
+
+def fingerprint(text: bytes, size: int = SHINGLE, more: bool = False) -> tuple[int, int]:
+    """The fingerprint, and 64 more bits (from the same hashes, spread again) if asked for."""
     words = text.lower().split()
     if not words:
-        return 0
+        return 0, 0
     count = max(1, len(words) - size + 1)
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
@@ -50,27 +61,27 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     starts = np.concatenate([[0], ends[: count - 1]]).tolist()
     stops = (ends[min(size, len(words)) - 1 :][:count] - 1).tolist()
     hashes = np.fromiter([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], np.uint64, count)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, count, 8192):
-        part = hashes[at : at + 8192].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = np.packbits((2 * ones > count).astype(np.uint8), bitorder="little")
-    return int(bits.view("<u8")[0])
+    return _majority(hashes), _majority(_spread(hashes)) if more else 0
+
 
+def _spread(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE, name: str = "fp") -> DataFrame:
-    """All columns without the text, and the fingerprint as a signed 64-bit number."""
-    docs = without(docs, name)
-    names = [column for column in docs.columns if column != "text"]
+
+def fingerprints(docs: DataFrame, size: int = SHINGLE, more: bool = False) -> DataFrame:
+    """doc_id, the fingerprint (fp) and its further bits (tail) as signed 64-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = np.array([fingerprint(text, size) for text in as_bytes(batch.column("text"))], np.uint64)
-            kept = [batch.column(column) for column in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(found.view(np.int64))], [*names, name])
+            found = [fingerprint(text, size, more) for text in as_bytes(batch.column("text"))]
+            fp, tail = (np.array(column, np.uint64).view(np.int64) for column in zip(*found))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(fp), pa.array(tail)], ["doc_id", "fp", "tail"]
+            )
 
-    schema = T.StructType([*docs.drop("text").schema.fields]).add(name, "long", False)
-    return docs.mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long, tail long")
 
 
 # --- in a task: one top node against itself and its guests
@@ -103,11 +114,21 @@ class _Sets:
                 self.label = shorter
 
 
-def trie_links(values: np.ndarray, own: np.ndarray, top: int, inner: int, budget: int, start: int) -> np.ndarray:
+def trie_links(
+    values: np.ndarray,
+    tails: np.ndarray,
+    own: np.ndarray,
+    top: int,
+    inner: int,
+    budget: int,
+    whole: int,
+    start: int,
+) -> np.ndarray:
     """Class label per item after joining own items with one another and with guests.
 
-    ``values``: sorted distinct fingerprints, group bits on top; ``own``: whether an item belongs to
-    this node. ``top``: bits of the group, ``inner``: budget in them; ``start``: levels that all own
+    ``values``: sorted fingerprints, group bits on top; ``tails``: their further bits; ``own``:
+    whether an item belongs to this node. ``top``: bits of the group, ``inner``: budget in them;
+    ``whole``: budget of fingerprint and further bits together; ``start``: levels that all own
     items share. A node is a range of the sorted items; guests and own items are never in one node
     at level ``start``, as guests have other prefixes.
     """
@@ -135,7 +156,7 @@ def trie_links(values: np.ndarray, own: np.ndarray, top: int, inner: int, budget
         # Small node pairs: compare their leaves. Classes that are one already need no comparing.
         small = (b - a) * (d - c) <= SMALL if level < 64 else np.ones(len(a), bool)
         if small.any():
-            _compare_leaves(values, sets, a[small], b[small], c[small], d[small], budget)
+            _compare_leaves(values, tails, sets, a[small], b[small], c[small], d[small], budget, whole)
             keep = ~small
             a, b, c, d, spent = a[keep], b[keep], c[keep], d[keep], spent[keep]
         if not len(a):
@@ -169,7 +190,7 @@ def trie_links(values: np.ndarray, own: np.ndarray, top: int, inner: int, budget
     return sets.label
 
 
-def _compare_leaves(values, sets, a, b, c, d, budget) -> None:
+def _compare_leaves(values, tails, sets, a, b, c, d, budget, whole) -> None:
     wide = d - c
     counts = (b - a) * wide
     for at in range(0, len(a), FRONT // SMALL + 1):
@@ -179,7 +200,10 @@ def _compare_leaves(values, sets, a, b, c, d, budget) -> None:
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         left = a[part][pair] + place // wide[part][pair]
         right = c[part][pair] + place % wide[part][pair]
-        near = (left != right) & (np.bitwise_count(values[left] ^ values[right]) <= budget)
+        apart = np.bitwise_count(values[left] ^ values[right])
+        near = (left != right) & (apart <= budget)
+        left, right, apart = left[near], right[near], apart[near]
+        near = apart + np.bitwise_count(tails[left] ^ tails[right]) <= whole
         sets.link(left[near], right[near])
 
 
@@ -188,8 +212,11 @@ def near_prefixes(levels: int, inner: int) -> list[int]:
     return [value for value in range(1 << levels) if value.bit_count() <= inner]
 
 
-def links(distinct: DataFrame, budget: int = BUDGET, parts: int = 2, levels: int | None = None) -> DataFrame:
-    """(fp, root): fingerprints linked within the budget, each with its class's smallest in some task."""
+def links(
+    distinct: DataFrame, budget: int = BUDGET, parts: int = 2, whole: int = 64, levels: int | None = None
+) -> DataFrame:
+    """(key, root): fingerprints (fp, tail) linked within both budgets, named by their hex digits,
+    each with a member of its class in some task."""
     inner = budget // parts
     bounds = [round(64 * part / parts) for part in range(parts + 1)]
     if levels is None:
@@ -200,47 +227,55 @@ def links(distinct: DataFrame, budget: int = BUDGET, parts: int = 2, levels: int
     for number in range(parts):
         by = bounds[number]
         turned = F.col("fp") if not by else F.shiftleft("fp", by).bitwiseOR(F.shiftrightunsigned("fp", 64 - by))
-        tries.append(F.struct(F.lit(number).alias("trie"), F.shiftrightunsigned(turned, 64 - levels).cast("int").alias("node")))
-    homes = distinct.select("fp", F.explode(F.array(*tries)).alias("home")).select("fp", "home.*")
+        node = F.shiftrightunsigned(turned, 64 - levels).cast("int")
+        tries.append(F.struct(F.lit(number).alias("trie"), node.alias("node")))
+    homes = distinct.select("fp", "tail", F.inline(F.array(*tries)))
     # To its own node, and to every lower node whose prefix fits: each pair of nodes meets once.
     targets = F.filter(
         F.transform(F.array(*map(F.lit, masks)), lambda mask: F.col("node").bitwiseXOR(mask)),
         lambda target: target <= F.col("node"),
     )
     dealt = homes.withColumn("task", F.explode(targets))
-    dealt = dealt.select("trie", "task", "fp", (F.col("task") == F.col("node")).alias("own"))
+    dealt = dealt.select("trie", "task", "fp", "tail", (F.col("task") == F.col("node")).alias("own"))
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         number = key[0].as_py()
-        own = group.column("own").to_numpy()
-        fps = group.column("fp").to_numpy().view(np.uint64)
-        empty = pa.table({"fp": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+        own, fps, tails = (group.column(name).to_numpy() for name in ("own", "fp", "tail"))
+        fps, tails = fps.view(np.uint64), tails.view(np.uint64)
+        names = pa.schema([("key", pa.string()), ("root", pa.string())])
         if not own.any() or len(fps) < 2:
-            return empty
-        turned = _rotated(fps, bounds[number])
-        order = np.argsort(turned)
-        group_bits = bounds[number + 1] - bounds[number]
-        label = trie_links(turned[order], own[order], group_bits, inner, budget, levels)
+            return names.empty_table()
+        order = np.lexsort((tails, _rotated(fps, bounds[number])))
+        fps, tails = fps[order], tails[order]
+        bits = bounds[number + 1] - bounds[number]
+        label = trie_links(
+            _rotated(fps, bounds[number]), tails, own[order], bits, inner, budget, whole, levels
+        )
         linked = np.nonzero(label != np.arange(len(label)))[0]
-        fps = fps[order].view(np.int64)
-        return pa.table({"fp": fps[linked], "root": fps[label[linked]]})
 
-    return dealt.groupBy("trie", "task").applyInArrow(run, "fp long, root long")
+        def named(at: np.ndarray) -> pa.Array:
+            pairs = zip(fps[at].tolist(), tails[at].tolist())
+            return pa.array([f"{fp:016x}{tail:016x}" for fp, tail in pairs], pa.string())
+
+        return pa.Table.from_arrays([named(linked), named(label[linked])], schema=names)
+
+    return dealt.groupBy("trie", "task").applyInArrow(run, "key string, root string")
 
 
 # --- classes from links
 
 
 def classes(edges: DataFrame) -> DataFrame:
-    """(fp, root) for every fingerprint with a link; root is one name per class.
+    """(key, root) for every key with a link but each class's smallest, which is its root.
 
-    Each round hooks the larger root of every edge onto the smaller one and lets labels jump, and
-    writes its result to the shared folder. Rounds grow with the logarithm of a chain's length.
+    Each round joins every node's larger neighbours to its smallest one (large star), then its
+    smaller ones (small star), and writes its result to the shared folder. Rounds grow with the
+    logarithm of a chain's length.
     """
-    edges = stored(edges.select(F.greatest("fp", "root").alias("a"), F.least("fp", "root").alias("b")).distinct(), "links")
+    edges = edges.select(F.greatest("key", "root").alias("a"), F.least("key", "root").alias("b"))
+    edges = stored(edges.distinct(), "links")
     before = None
     while True:
-        # Large star: all larger neighbours of a node go to its smallest one. Small star: the rest.
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -249,20 +284,28 @@ def classes(edges: DataFrame) -> DataFrame:
         edges = stored(small.unionAll(down.select("a", F.col("m").alias("b"))).distinct(), "links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            return edges.select(F.col("a").alias("fp"), F.col("b").alias("root"))
+            return edges.select(F.col("a").alias("key"), F.col("b").alias("root"))
         before = now
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, budget: int = BUDGET, parts: int = 2) -> DataFrame:
-    """doc_id, fp, component_id of every row of ``docs`` (doc_id, text)."""
-    found = stored(fingerprints(docs.select("doc_id", "text"), size), "fingerprints")
-    distinct = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    joined = classes(links(distinct.select("fp"), budget, parts))
-    members = joined.unionAll(joined.select(F.col("root").alias("fp"), "root").distinct())
-    named = members.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("component"))
-    own = distinct.join(members, "fp", "left").join(named, "root", "left")
-    own = own.select("fp", F.coalesce("component", "least").alias("component_id"))
-    return found.join(own, "fp").select("doc_id", "fp", "component_id")
+def near_duplicates(
+    docs: DataFrame, size: int = SHINGLE, budget: int = BUDGET, parts: int = 2, whole: int | None = None
+) -> DataFrame:
+    """doc_id, fp, component_id of every row of ``docs`` (doc_id, text).
+
+    ``whole``: budget over 128 bits, where the fingerprint alone would link too much; None: no
+    further bits are made.
+    """
+    found = stored(fingerprints(docs, size, whole is not None), "fingerprints")
+    hexes = F.lower(F.concat(F.lpad(F.hex("fp"), 16, "0"), F.lpad(F.hex("tail"), 16, "0")))
+    distinct = found.groupBy("fp", "tail").agg(F.min("doc_id").alias("least"))
+    distinct = stored(distinct.withColumn("key", hexes), "distinct")
+    joined = classes(links(distinct, budget, parts, 128 if whole is None else whole))
+    members = joined.unionAll(joined.select(F.col("root").alias("key"), "root").distinct())
+    named = members.join(distinct, "key").groupBy("root").agg(F.min("least").alias("component"))
+    own = distinct.join(members, "key", "left").join(named, "root", "left")
+    own = own.select("fp", "tail", F.coalesce("component", "least").alias("component_id"))
+    return found.join(own, ["fp", "tail"]).select("doc_id", "fp", "component_id")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -272,12 +315,15 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, size: int = 5, budget: int = 6, parts: int = 3) -> DataFrame:
+def deduplicated(docs: DataFrame, size: int = 5, budget: int = 11, parts: int = 3, whole: int = 19) -> DataFrame:
     """The document with the smallest doc_id of every class; columns as in ``docs``.
 
+    Two texts are linked at 19 of 128 differing bits, which stands for a resemblance of 0.8 (the
+    angle's cosine c gives c / (2 - c)), if at most ``budget`` of them are in the first 64.
+
     Of rows that repeat a doc_id the one with the smallest text stays; rows without doc_id all do.
     """
-    near = near_duplicates(docs, size, budget, parts)
+    near = near_duplicates(docs, size, budget, parts, whole)
     kept = near.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
     found = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
     if kept.where("count > 1").limit(1).count():

@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word SimHashes differ in at most six of 64 bits."""
+    """One document of each group of five-word SimHashes with an estimated resemblance of 0.8 or more."""
     return simhash.deduplicated(docs)
 
 

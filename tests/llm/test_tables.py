@@ -316,11 +316,15 @@ def plain_fingerprint(text, size):
     return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
 
 
-def plain_classes(values, budget):
+def plain_classes(values, linked):
+    """Smallest member of each value's class; ``linked``: a budget of bits, or a test of two values."""
+    if isinstance(linked, int):
+        budget = linked
+        linked = lambda a, b: (a ^ b).bit_count() <= budget
     label = list(range(len(values)))
     for a in range(len(values)):
         for b in range(a):
-            if (values[a] ^ values[b]).bit_count() <= budget:
+            if linked(values[a], values[b]):
                 one, other = label[a], label[b]
                 if one != other:
                     label = [min(one, other) if x in (one, other) else x for x in label]
@@ -352,9 +356,9 @@ def test_trie_join_finds_every_link(spark, budget, parts, levels):
             values.append(value ^ sum(1 << int(b) for b in rng.choice(64, distance, replace=False)))
     values += [values[0] ^ sum(1 << int(b) for b in rng.choice(64, 3, replace=False)) for _ in range(300)]
     values = sorted(set(values))
-    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
-    found = simhash.classes(simhash.links(spark.createDataFrame(signed, "fp long"), budget, parts, levels))
-    root = {row["fp"] % (1 << 64): row["root"] % (1 << 64) for row in found.collect()}
+    signed = [(v - (1 << 64) if v >> 63 else v, 0) for v in values]
+    links = simhash.links(spark.createDataFrame(signed, "fp long, tail long"), budget, parts, 128, levels)
+    root = {int(row["key"][:16], 16): int(row["root"][:16], 16) for row in simhash.classes(links).collect()}
     label = plain_classes(values, budget)
     groups, expected = defaultdict(set), defaultdict(set)
     for value, name in zip(values, label):
@@ -364,9 +368,42 @@ def test_trie_join_finds_every_link(spark, budget, parts, levels):
 
 
 def test_long_chain_is_one_class(spark):
-    chain = [(n, n + 1) for n in range(300)]
-    found = simhash.classes(spark.createDataFrame(chain, "fp long, root long")).collect()
-    assert {row["root"] for row in found} == {0} and len(found) == 300
+    chain = [(f"{n:04}", f"{n + 1:04}") for n in range(300)]
+    found = simhash.classes(spark.createDataFrame(chain, "key string, root string")).collect()
+    assert {row["root"] for row in found} == {"0000"} and len(found) == 300
+
+
+def test_further_bits_decide(spark):
+    """Equal and near fingerprints whose further bits differ too much are not linked."""
+    rows = [(5, 0), (5, (1 << 20) - 1), (4, 7), (4, 1 << 40)]
+    found = simhash.classes(simhash.links(spark.createDataFrame(rows, "fp long, tail long"), 11, 3, 19)).collect()
+    classes = {row["root"] for row in found} | {row["key"] for row in found}
+    assert classes == {f"{5:016x}{0:016x}", f"{4:016x}{7:016x}", f"{4:016x}{1 << 40:016x}"} | (
+        {f"{5:016x}{(1 << 20) - 1:016x}"}
+    )
+
+
+def plain_pair(text):
+    """Both fingerprints of the pipeline's stage."""
+    words = WORDS.findall((text or "").translate(LOWER))
+    if not words:
+        return 0, 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[k : k + 5]), 42) for k in range(max(1, len(words) - 4))]
+
+    def spread(v):
+        v = (v ^ v >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+        v = (v ^ v >> 27) * 0x94D049BB133111EB % (1 << 64)
+        return v ^ v >> 31
+
+    def bits(values):
+        return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in values) > len(values))
+
+    return bits(hashes), bits([spread(h) for h in hashes])
+
+
+def near(a, b):
+    first = (a[0] ^ b[0]).bit_count()
+    return first <= 11 and first + (a[1] ^ b[1]).bit_count() <= 19
 
 
 @pytest.mark.parametrize("table", ["docs", "repeated", "empty", "clashing"])
@@ -375,9 +412,9 @@ def test_deduplicated(table, request):
     rows = df.collect()
     out = simhash.deduplicated(df)
     assert out.columns == df.columns
-    values = [plain_fingerprint(row["text"], 5) for row in rows]
+    values = [plain_pair(row["text"]) for row in rows]
     least = {}
-    for row, name in zip(rows, plain_classes(values, 6)):
+    for row, name in zip(rows, plain_classes(values, near)):
         if row["doc_id"] is not None:
             least[name] = min(least.get(name, row["doc_id"]), row["doc_id"])
     expected = [str(value) for value in least.values()] + ["None" for row in rows if row["doc_id"] is None]
@@ -417,8 +454,8 @@ def test_pipeline(table, request, spark, tmp_path, monkeypatch, vocabulary):
     letters = {row["doc_id"] for row in df.collect() if any(ch.isalpha() for ch in row["text"] or "")}
     assert {row["doc_id"] for row in seen["language"].collect()} == letters
     kept = seen["near_duplicates"].collect()
-    values = [plain_fingerprint(row["text"], 5) for row in kept if row["doc_id"] is not None]
-    assert all((a ^ b).bit_count() > 6 for n, a in enumerate(values) for b in values[:n])
+    values = [plain_pair(row["text"]) for row in kept if row["doc_id"] is not None]
+    assert not any(near(a, b) for n, a in enumerate(values) for b in values[:n])
     assert all(not plain_spans(row["text"]) for row in seen["secret_scan"].collect())
     assert seen["secret_scan"].count() == len(kept)
     sizes = sum(len(WORDS.findall(row["text"])) for row in seen["secret_scan"].collect())
