@@ -41,13 +41,16 @@ def base32(hex_digest: Column) -> Column:
 
 
 def payloads(pages: DataFrame) -> DataFrame:
-    """Page, url, payload, its length and digest."""
+    """Page, url, payload, its length and hex digest.
+
+    The base 32 form names the digest 32 times; it is made where the digest is a column already.
+    """
     html = F.coalesce(F.col("html"), F.lit(""))
     found = pages.select("page_id", "url", html.alias("payload"))
     return found.withColumns(
         {
             "payload_bytes": F.octet_length("payload").cast("long"),
-            "payload_digest": base32(F.sha1(F.col("payload").cast("binary"))),
+            "payload_sha1": F.sha1(F.col("payload").cast("binary")),
         }
     )
 
@@ -58,19 +61,19 @@ def resolve_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     Only payloads found more than once take part in the join; headers travel, payloads do not.
     """
     headers = records.where(F.col("payload_bytes") >= min_bytes)
-    shared = headers.groupBy("payload_digest", "payload_bytes").agg(
+    shared = headers.groupBy("payload_sha1", "payload_bytes").agg(
         F.min("page_id").alias("original"), F.count(F.lit(1)).alias("copies")
     )
     shared = shared.where(F.col("copies") > 1).drop("copies")
     revisits = (
-        headers.select("page_id", "payload_digest", "payload_bytes")
-        .join(shared, ["payload_digest", "payload_bytes"])
+        headers.select("page_id", "payload_sha1", "payload_bytes")
+        .join(shared, ["payload_sha1", "payload_bytes"])
         .where(~F.col("page_id").eqNullSafe(F.col("original")) & F.col("original").isNotNull())
-        .select("page_id", "payload_digest", "original")
+        .select("page_id", "payload_sha1", "original")
         .distinct()
     )
     keys = (records["page_id"].eqNullSafe(revisits["page_id"])) & (
-        records["payload_digest"] == revisits["payload_digest"]
+        records["payload_sha1"] == revisits["payload_sha1"]
     )
     return records.join(revisits, keys, "left").select(records["*"], revisits["original"])
 
@@ -101,7 +104,7 @@ def record_text(resolved: DataFrame, min_bytes: int = 0) -> DataFrame:
             header("WARC-Record-ID", _id(F.col("page_id"))),
             header("WARC-Date", _DATE),
             header("WARC-Target-URI", uri, uri.isNotNull()),
-            header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
+            header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("payload_sha1")))),
             header("WARC-Profile", _PROFILE, revisit),
             header("WARC-Refers-To", _id(F.col("original")), revisit),
             header("Content-Type", "application/http; msgtype=response"),
