@@ -131,6 +131,22 @@ def test_forced_boundary_ids(table, request, vocabulary):
     assert by_id(found, "n_tokens", "ids_sha256", "decoded_sha256") == sorted(expected, key=str)
 
 
+def test_encoders_on_random_texts(vocabulary):
+    """Both encoders against the library on texts of awkward characters."""
+    rng, tokenizer = np.random.default_rng(3), library(vocabulary)
+    parts = [
+        *"abcXYZ012.,'!?<|>_-\t\n\r\x0b\x0c \x00\x1c\x1f\x7f\x85\xa0", "'s", "'LL", "'Re", "the", "ing", "é", "É", "ß", "ÿ", "×", "ª", "µ",
+        "e\u0301", "\u0301", "İ", "ı", "ſ", "K", "ﬁ", "½", "²", "٣", "日本", "한", "\u1100\u1161", "🙂", "\u200b", "\u2028", "\u3000", "Σ", "ς",
+        "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "\ufeff", "\u0130x", "ǅ", "qzj",
+    ]
+    forced, whole = bpe.codec(vocabulary), wavelet.encoder(vocabulary)
+    for _ in range(3000):
+        text = "".join(rng.choice(parts, rng.integers(0, 30)))
+        expected = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(forced.encode(text.encode()), np.int32).tolist() == expected, repr(text)
+        assert np.frombuffer(whole.encode(text.encode()), np.uint32).tolist() == expected, repr(text)
+
+
 def test_cuts_are_forced(vocabulary):
     codec = bpe.ForcedBoundaryBpe(vocabulary)
     pieces = ["qzjxq", "strengthsqj", "éèçàü", "aaaa", "x"]
@@ -139,7 +155,7 @@ def test_cuts_are_forced(vocabulary):
         parts = codec.fragments(piece)
         assert "".join(parts) == piece
         for left, right in zip(parts, parts[1:]):
-            assert not any(left[-1] + right[0] in token for token in codec.tokens.values())
+            assert not any(left[-1] + right[0] in token for token in bpe.token_texts(vocabulary).values())
     assert any(len(codec.fragments("".join(letters[b] for b in text.encode()))) > 1 for text in pieces)
 
 
