@@ -72,7 +72,7 @@ def test_no_query_crosses_relations(spark, folder, name):
 def test_filters_and_columns_reach_the_scan(spark, folder):
     plan = plan_of(contract.queries()["top_first_in_cart"](spark, folder))
     assert "PushedFilters: [IsNotNull(add_to_cart_order), EqualTo(add_to_cart_order,1)" in plan
-    lines = [line for line in plan.splitlines() if "_lines[" in line]
+    lines = [line for line in plan.splitlines() if ".lines[" in line]
     assert lines and "reordered" not in lines[0]
 
 
