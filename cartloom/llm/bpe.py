@@ -21,13 +21,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
-from tokenizers import models
+from tokenizers import Tokenizer, models
 
 from cartloom.llm.pieces import Pieces, byte_alphabet
 from cartloom.llm.shared import Memo, as_bytes, slices, without
 
 #: Chunks kept per Python worker and generation.
-MEMO = 250_000
+MEMO = 120_000
 
 
 def byte_pairs(vocabulary: list[str], end: str) -> np.ndarray:
@@ -57,7 +57,6 @@ class ForcedBoundaryBpe:
         self.joined = {letters[a] + letters[b] for a, b in zip(*map(np.ndarray.tolist, np.nonzero(pairs)))}
         self.piece_ids = Memo(self._piece, MEMO)
         self.chunk_ids = Memo(self._chunk, MEMO)
-        self.tokens = {v: k for k, v in state["vocab"].items()} | {v: k for k, v in self.pieces.special.items()}
 
     def fragments(self, piece: str) -> list[str]:
         """The piece cut between any two bytes that no token holds side by side."""
@@ -84,9 +83,11 @@ class ForcedBoundaryBpe:
         """All ids of a text as 32-bit integers."""
         return b"".join(map(self.chunk_ids.__getitem__, text.split()))
 
-    def decode(self, ids: list[int]) -> str:
-        """As the library does for a file without a decoder: tokens, special ones too, with spaces between."""
-        return " ".join(map(self.tokens.__getitem__, ids))
+
+@lru_cache(maxsize=2)
+def token_texts(path: str) -> dict[int, str]:
+    """Token of every id, special ones too."""
+    return {value: token for token, value in Tokenizer.from_file(path).get_vocab().items()}
 
 
 @lru_cache(maxsize=2)
@@ -117,16 +118,19 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """All columns, and the text of the ids; null ids give an empty text."""
+    """All columns, and the text of the ids; null ids give an empty text.
+
+    As the library does for a file without a decoder: tokens with spaces between.
+    """
     encoded = without(encoded, text)
     ids_at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(path)
+        token = token_texts(path).__getitem__
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                found = [bpe.decode(value or []) for value in part.column(ids_at).to_pylist()]
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                found = [" ".join(map(token, value or [])) for value in part.column(ids_at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], [*names, text])
 
     names = encoded.columns
