@@ -6,6 +6,9 @@ within ``budget`` bits of each other have, among ``parts`` groups of bits, one g
 nodes go down together, their differing bits add up, and a pair ends when it exceeds the smaller
 budget within the group or the whole one below it. Every linked pair is found by one of the tries.
 
+The pipeline's stage takes close fingerprints as candidates only and links texts by the exact Jaccard
+of their sets of shingles (``deduplicated``).
+
 The trie is the sorted list of distinct fingerprints: a node is a range of it. Its top levels
 (as many as bring a node to about ``NODE`` fingerprints) deal the work out: a task gets one top node with its own fingerprints and those of the higher nodes
 whose prefixes fit the budget. Tasks return for each of their classes links to its smallest member
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from cartloom.llm.shared import as_bytes, free_names, slices, stored
 
@@ -37,6 +40,8 @@ SEED = 42
 #: Node pairs that a task expands at a time, and leaf pairs that a node pair may have to be compared at once.
 FRONT = 200_000
 SMALL = 16
+#: Rounds that compare the rest of each group of close fingerprints with one member of it.
+ROUNDS = 3
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -49,18 +54,28 @@ def _majority(hashes: np.ndarray) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprint(text: bytes, size: int = SHINGLE, more: bool = False) -> tuple[int, int]:
-    """The fingerprint, and 64 more bits (from the same hashes, spread again) if asked for."""
+def shingles(text: bytes, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` words; of the whole sequence if that is shorter."""
     words = text.lower().split()
     if not words:
-        return 0, 0
+        return np.zeros(0, np.uint64)
     count = max(1, len(words) - size + 1)
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[: count - 1]]).tolist()
     stops = (ends[min(size, len(words)) - 1 :][:count] - 1).tolist()
-    hashes = np.fromiter([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], np.uint64, count)
+    return np.fromiter([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], np.uint64, count)
+
+
+def fingerprint(text: bytes, size: int = SHINGLE, more: bool = False) -> tuple[int, int]:
+    """The fingerprint, and 64 more bits (from the same hashes, spread again) if asked for."""
+    return _bits(shingles(text, size), more)
+
+
+def _bits(hashes: np.ndarray, more: bool) -> tuple[int, int]:
+    if not len(hashes):
+        return 0, 0
     return _majority(hashes), _majority(_spread(hashes)) if more else 0
 
 
@@ -114,6 +129,32 @@ class _Sets:
                 self.label = shorter
 
 
+class _Pairs:
+    """Pairs of items that are in different classes and whose numbers of shingles allow a Jaccard of 0.8.
+
+    A pair belongs to the first trie whose group (``masks``, the last one is this trie's) has at most
+    ``inner`` bits of difference. The classes stay as they are.
+    """
+
+    def __init__(self, label: np.ndarray, counts: np.ndarray, values: np.ndarray, masks: list[np.uint64], inner: int):
+        self.label, self.counts, self.values, self.masks, self.inner = label, counts, values, masks, inner
+        self.found: list[np.ndarray] = []
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        few, many = np.minimum(self.counts[a], self.counts[b]), np.maximum(self.counts[a], self.counts[b])
+        use = (self.label[a] != self.label[b]) & (5 * few >= 4 * many)
+        a, b = a[use], b[use]
+        for number, mask in enumerate(self.masks, 1):
+            near = np.bitwise_count((self.values[a] ^ self.values[b]) & mask) <= self.inner
+            use = near if number == len(self.masks) else ~near
+            a, b = a[use], b[use]
+        if len(a):
+            self.found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+
+    def pairs(self) -> np.ndarray:
+        return np.unique(np.concatenate([np.zeros((2, 0), np.int64), *self.found], 1), axis=1)
+
+
 def trie_links(
     values: np.ndarray,
     tails: np.ndarray,
@@ -123,6 +164,7 @@ def trie_links(
     budget: int,
     whole: int,
     start: int,
+    sets: _Sets | _Pairs | None = None,
 ) -> np.ndarray:
     """Class label per item after joining own items with one another and with guests.
 
@@ -130,10 +172,10 @@ def trie_links(
     whether an item belongs to this node. ``top``: bits of the group, ``inner``: budget in them;
     ``whole``: budget of fingerprint and further bits together; ``start``: levels that all own
     items share. A node is a range of the sorted items; guests and own items are never in one node
-    at level ``start``, as guests have other prefixes.
+    at level ``start``, as guests have other prefixes. ``sets`` takes the links.
     """
     size = len(values)
-    sets = _Sets(size)
+    sets = sets or _Sets(size)
     edges = np.nonzero(np.diff(values >> np.uint64(64 - start)))[0] + 1 if start else np.array([], int)
     lows = np.concatenate([[0], edges]).astype(np.int64)
     highs = np.concatenate([edges, [size]]).astype(np.int64)
@@ -154,6 +196,8 @@ def trie_links(
     while stack:
         level, a, b, c, d, spent = stack.pop()
         # Small node pairs: compare their leaves. Classes that are one already need no comparing.
+        if level == 64:  # equal fingerprints: nodes of any size
+            a, b, c, d, spent = _apart(sets.label, a, b, c, d, spent)
         small = (b - a) * (d - c) <= SMALL if level < 64 else np.ones(len(a), bool)
         if small.any():
             _compare_leaves(values, tails, sets, a[small], b[small], c[small], d[small], budget, whole)
@@ -162,9 +206,7 @@ def trie_links(
         if not len(a):
             continue
         if level % 4 == 0 and len(a) > 1000:
-            ends = np.concatenate([[0], np.cumsum(np.diff(sets.label) != 0)])
-            one = (ends[b - 1] == ends[a]) & (ends[d - 1] == ends[c]) & (sets.label[a] == sets.label[c])
-            a, b, c, d, spent = (part[~one] for part in (a, b, c, d, spent))
+            a, b, c, d, spent = _apart(sets.label, a, b, c, d, spent)
         ones = ones_before(level)
         middle, centre = b - (ones[b] - ones[a]), d - (ones[d] - ones[c])
         same = (a == c) & (b == d)
@@ -190,16 +232,23 @@ def trie_links(
     return sets.label
 
 
+def _apart(label: np.ndarray, a, b, c, d, spent) -> tuple[np.ndarray, ...]:
+    """The node pairs that are not of one class."""
+    ends = np.concatenate([[0], np.cumsum(np.diff(label) != 0)])
+    one = (ends[b - 1] == ends[a]) & (ends[d - 1] == ends[c]) & (label[a] == label[c])
+    return tuple(part[~one] for part in (a, b, c, d, spent))
+
+
 def _compare_leaves(values, tails, sets, a, b, c, d, budget, whole) -> None:
     wide = d - c
-    counts = (b - a) * wide
-    for at in range(0, len(a), FRONT // SMALL + 1):
-        part = slice(at, at + FRONT // SMALL + 1)
-        n = counts[part]
-        pair = np.repeat(np.arange(len(n)), n)
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        left = a[part][pair] + place // wide[part][pair]
-        right = c[part][pair] + place % wide[part][pair]
+    stops = np.cumsum((b - a) * wide)
+    starts = stops - (b - a) * wide
+    for at in range(0, int(stops[-1]) if len(stops) else 0, FRONT):
+        place = np.arange(at, min(at + FRONT, stops[-1]))
+        pair = np.searchsorted(stops, place, side="right")
+        place -= starts[pair]
+        left = a[pair] + place // wide[pair]
+        right = c[pair] + place % wide[pair]
         apart = np.bitwise_count(values[left] ^ values[right])
         near = (left != right) & (apart <= budget)
         left, right, apart = left[near], right[near], apart[near]
@@ -218,6 +267,36 @@ def links(
     """(key, root): fingerprints (fp, tail) linked within both budgets, named by their hex digits,
     each with a member of its class in some task."""
     inner = budget // parts
+    dealt, bounds, levels = _dealt(distinct, parts, inner, levels)
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        number = key[0].as_py()
+        own, fps, tails = (group.column(name).to_numpy() for name in ("own", "fp", "tail"))
+        fps, tails = fps.view(np.uint64), tails.view(np.uint64)
+        names = pa.schema([("key", pa.string()), ("root", pa.string())])
+        if not own.any() or len(fps) < 2:
+            return names.empty_table()
+        order = np.lexsort((tails, _rotated(fps, bounds[number])))
+        fps, tails = fps[order], tails[order]
+        bits = bounds[number + 1] - bounds[number]
+        label = trie_links(
+            _rotated(fps, bounds[number]), tails, own[order], bits, inner, budget, whole, levels
+        )
+        linked = np.nonzero(label != np.arange(len(label)))[0]
+
+        def named(at: np.ndarray) -> pa.Array:
+            pairs = zip(fps[at].tolist(), tails[at].tolist())
+            return pa.array([f"{fp:016x}{tail:016x}" for fp, tail in pairs], pa.string())
+
+        return pa.Table.from_arrays([named(linked), named(label[linked])], schema=names)
+
+    return dealt.groupBy("trie", "task").applyInArrow(run, "key string, root string")
+
+
+def _dealt(
+    distinct: DataFrame, parts: int, inner: int, levels: int | None = None, more: tuple[str, ...] = ()
+) -> tuple[DataFrame, list[int], int]:
+    """Rows of trie, task, fp, tail, own and ``more``; first bits of the groups; levels above a task's node."""
     bounds = [round(64 * part / parts) for part in range(parts + 1)]
     if levels is None:
         levels = max(4, math.ceil(math.log2(max(1, distinct.count()) / NODE)))
@@ -229,37 +308,44 @@ def links(
         turned = F.col("fp") if not by else F.shiftleft("fp", by).bitwiseOR(F.shiftrightunsigned("fp", 64 - by))
         node = F.shiftrightunsigned(turned, 64 - levels).cast("int")
         tries.append(F.struct(F.lit(number).alias("trie"), node.alias("node")))
-    homes = distinct.select("fp", "tail", F.inline(F.array(*tries)))
+    homes = distinct.select("fp", "tail", *more, F.inline(F.array(*tries)))
     # To its own node, and to every lower node whose prefix fits: each pair of nodes meets once.
     targets = F.filter(
         F.transform(F.array(*map(F.lit, masks)), lambda mask: F.col("node").bitwiseXOR(mask)),
         lambda target: target <= F.col("node"),
     )
     dealt = homes.withColumn("task", F.explode(targets))
-    dealt = dealt.select("trie", "task", "fp", "tail", (F.col("task") == F.col("node")).alias("own"))
+    own = (F.col("task") == F.col("node")).alias("own")
+    return dealt.select("trie", "task", "fp", "tail", *more, own), bounds, levels
+
+
+def candidates(items: DataFrame, budget: int, parts: int, inner: int, whole: int) -> DataFrame:
+    """(a, b): keys of items (fp, tail, shape, shingles, class) of different classes that are within
+    ``whole`` of 128 and ``budget`` of 64 bits, and within ``inner`` bits in one of the groups."""
+    dealt, bounds, levels = _dealt(items, parts, inner, None, ("shape", "shingles", "class"))
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         number = key[0].as_py()
-        own, fps, tails = (group.column(name).to_numpy() for name in ("own", "fp", "tail"))
-        fps, tails = fps.view(np.uint64), tails.view(np.uint64)
-        names = pa.schema([("key", pa.string()), ("root", pa.string())])
-        if not own.any() or len(fps) < 2:
-            return names.empty_table()
-        order = np.lexsort((tails, _rotated(fps, bounds[number])))
-        fps, tails = fps[order], tails[order]
-        bits = bounds[number + 1] - bounds[number]
-        label = trie_links(
-            _rotated(fps, bounds[number]), tails, own[order], bits, inner, budget, whole, levels
-        )
-        linked = np.nonzero(label != np.arange(len(label)))[0]
+        columns = [group.column(name).to_numpy() for name in ("fp", "tail", "shape", "shingles", "class", "own")]
+        columns[:3] = [column.view(np.uint64) for column in columns[:3]]
+        by = bounds[number]
+        order = np.lexsort((columns[2], columns[1], _rotated(columns[0], by)))
+        fps, tails, shapes, counts, label, own = (column[order] for column in columns)
+        masks = [np.uint64(((1 << end - start) - 1) << 64 - end) for start, end in zip(bounds, bounds[1 : number + 2])]
+        pairs = _Pairs(np.unique(label, return_inverse=True)[1], counts, fps, masks, inner)
+        if own.any() and len(fps) > 1:
+            bits = bounds[number + 1] - by
+            trie_links(_rotated(fps, by), tails, own, bits, inner, budget, whole, levels, pairs)
 
         def named(at: np.ndarray) -> pa.Array:
-            pairs = zip(fps[at].tolist(), tails[at].tolist())
-            return pa.array([f"{fp:016x}{tail:016x}" for fp, tail in pairs], pa.string())
+            rows = zip(fps[at].tolist(), tails[at].tolist(), shapes[at].tolist())
+            return pa.array([f"{fp:016x}{tail:016x}{shape:016x}" for fp, tail, shape in rows], pa.string())
 
-        return pa.Table.from_arrays([named(linked), named(label[linked])], schema=names)
+        a, b = pairs.pairs()
+        return pa.Table.from_arrays([named(a), named(b)], ["a", "b"])
+
+    return dealt.groupBy("trie", "task").applyInArrow(run, "a string, b string")
 
-    return dealt.groupBy("trie", "task").applyInArrow(run, "key string, root string")
 
 
 # --- classes from links
@@ -315,16 +401,118 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, size: int = 5, budget: int = 14, parts: int = 3, whole: int = 24) -> DataFrame:
+# --- verified classes
+
+
+def _marked(docs: DataFrame, size: int, row: str, names: list[str]) -> DataFrame:
+    """All columns of ``docs``, a row number, and the fingerprint, its further bits, a hash and the
+    size of the set of shingles."""
+    docs = docs.withColumn(row, F.monotonically_increasing_id())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            made = []
+            for text in as_bytes(batch.column("text")):
+                hashes = shingles(text, size)
+                own = np.unique(hashes)
+                made.append((*_bits(hashes, True), xxhash.xxh64_intdigest(own.tobytes(), SEED), len(own)))
+            more = [pa.array(np.array(column, np.uint64).view(np.int64)) for column in zip(*made)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *names])
+
+    schema = T.StructType([*docs.schema.fields])
+    for name in names:
+        schema = schema.add(name, "long")
+    return docs.mapInArrow(run, schema)
+
+
+def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
+    """(key, hashes) of rows of (key, text); hashes in order, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=1 << 20):
+            sets = [np.unique(shingles(text, size)).view(np.int64) for text in as_bytes(batch.column("text"))]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), hashes], ["key", "hashes"])
+
+    return rows.select("key", "text").mapInArrow(run, "key string, hashes array<long>")
+
+
+def resembling(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard of 0.8 or more; ``texts``: (key, text).
+
+    ``a`` may be a key of very many pairs: it is joined first, while rows are small.
+    """
+    wanted = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
+    sets = stored(_shingle_sets(texts.join(wanted, "key"), size), "shingles")
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("left")), "a")
+    both = both.join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("right")), "b")
+    common = F.size(F.array_intersect("left", "right"))
+    # In whole numbers: common / (left + right - common) >= 4 / 5.
+    return both.where(9 * common >= 4 * (F.size("left") + F.size("right"))).select("a", "b")
+
+
+def _pivots(items: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Verified links (key, root) of items with a member of their group of close fingerprints.
+
+    They spare the trie the pairs within dense groups, which grow with the square of their size;
+    what they leave out is found there.
+    """
+    pair = F.substring("key", 1, 32)
+    roots = classes(links(items.select("fp", "tail").distinct(), BUDGET, 2, 12))
+    roots = roots.unionAll(roots.select(F.col("root").alias("key"), "root").distinct())
+    roots = roots.select(F.col("key").alias("pair"), "root")
+    rest = items.select("key", "shingles", pair.alias("pair")).join(roots, "pair", "left")
+    rest = stored(rest.select("key", "shingles", F.coalesce("root", "pair").alias("near")), "groups")
+    linked = None
+    for _ in range(ROUNDS):
+        middle = rest.groupBy("near").agg(F.min(F.struct("key", "shingles")).alias("pivot"), F.count(F.lit(1)).alias("n"))
+        middle = middle.where("n > 1").select("near", F.col("pivot.key").alias("a"), F.col("pivot.shingles").alias("own"))
+        pairs = rest.join(middle, "near").where("key <> a")
+        pairs = stored(pairs.select("a", F.col("key").alias("b"), "shingles", "own", "near"), "pivots")
+        fit = pairs.where("5 * least(shingles, own) >= 4 * greatest(shingles, own)").select("a", "b")
+        found = stored(resembling(fit, texts, size), "verified")
+        linked = found if linked is None else linked.unionAll(found)
+        rest = pairs.join(found.select("b"), "b", "left_anti").select(F.col("b").alias("key"), "shingles", "near")
+        rest = stored(rest, "groups")
+        if not found.limit(1).count():
+            break
+    return linked.select(F.col("b").alias("key"), F.col("a").alias("root"))
+
+
+def _with_class(items: DataFrame, edges: DataFrame) -> DataFrame:
+    """Items with the key of their class's root."""
+    roots = classes(edges)
+    return items.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
+def deduplicated(
+    docs: DataFrame, size: int = 5, budget: int = 17, parts: int = 3, inner: int = 4, whole: int = 30
+) -> DataFrame:
     """The document with the smallest doc_id of every class; columns as in ``docs``.
 
-    Two texts are linked at ``whole`` of 128 differing bits, if at most ``budget`` of them are in
-    the first 64. A resemblance of 0.8 stands for 19 bits (the angle's cosine c gives c / (2 - c)),
-    with an error of four; 24 bits find nine of ten pairs at 0.8.
+    A class is a connected component of texts whose sets of ``size``-word shingles have a Jaccard of
+    0.8 or more. Fingerprints only name the pairs that are compared: those within ``whole`` of 128
+    bits, ``budget`` of the first 64 and ``inner`` of one group of these. A resemblance of 0.8 stands
+    for 19 bits (the angle's cosine c gives c / (2 - c)), with an error of four.
 
     Of rows that repeat a doc_id the one with the smallest text stays; rows without doc_id all do.
     """
-    near = near_duplicates(docs, size, budget, parts, whole)
+    row, *names = free_names(docs, "row", "fp", "tail", "shape", "shingles")
+    marked = stored(_marked(docs, size, row, names), "marked")
+    slim = marked.select("doc_id", *[F.col(own).alias(name) for own, name in zip(names, ("fp", "tail", "shape", "shingles"))], F.col(row).alias("row"))
+    key = F.lower(F.concat(*[F.lpad(F.hex(name), 16, "0") for name in ("fp", "tail", "shape")])).alias("key")
+    items = slim.groupBy("fp", "tail", "shape", "shingles").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"))
+    items = stored(items.select("*", key), "items")
+    texts = marked.select(F.col(row).alias("row"), "text").join(items.select("key", "row"), "row").select("key", "text")
+    edges = stored(_pivots(items, texts, size), "verified")
+    known = stored(_with_class(items, edges).withColumn("class", F.xxhash64("root")), "known")
+    pairs = stored(candidates(known, budget, parts, inner, whole), "candidates")
+    more = resembling(pairs, texts, size).select(F.col("a").alias("key"), F.col("b").alias("root"))
+    classed = stored(_with_class(items, stored(edges.unionAll(more), "verified")), "classed")
+    least = classed.groupBy("root").agg(F.min("least").alias("component"))
+    named = classed.join(least, "root").select("fp", "tail", "shape", F.coalesce("component", "least").alias("component_id"))
+    near = slim.join(named, ["fp", "tail", "shape"])
     kept = near.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
     found = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
     if kept.where("count > 1").limit(1).count():

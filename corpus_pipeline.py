@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word SimHashes with an estimated resemblance of 0.8 or more."""
+    """One document of each group linked by five-word resemblances of 0.8 or more; SimHash finds the pairs."""
     return simhash.deduplicated(docs)
 
 

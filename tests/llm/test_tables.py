@@ -421,6 +421,64 @@ def test_deduplicated(table, request):
     assert sorted(str(row["doc_id"]) for row in out.collect()) == sorted(expected)
 
 
+def shingle_set(text):
+    words = WORDS.findall((text or "").translate(LOWER))
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def resemble(a, b):
+    return a == b or len(a & b) / len(a | b) >= 0.8
+
+
+def test_links_are_checked_by_resemblance(spark):
+    """A family that shares a passage, and near-copies about a resemblance of 0.8: against all pairs."""
+    rng = np.random.default_rng(5)
+
+    def words(n):
+        return [f"w{k}" for k in rng.integers(0, 1 << 40, n)]
+
+    passage = words(70)
+    texts = [passage + words(34) for _ in range(150)]
+    for _ in range(8):
+        base = words(100)
+        texts += [base, base[:]]
+        for changes in (1, 1, 1, 2, 2, 3):  # five shingles each
+            copy = base[:]
+            for at in rng.choice(20, changes, replace=False):
+                copy[5 * at + 2] = "changed"
+            texts.append(copy)
+    texts = [" ".join(text) for text in texts]
+    sets = [shingle_set(text) for text in texts]
+    label = plain_classes(sets, resemble)
+    out = simhash.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(row["doc_id"] for row in out.collect()) == sorted(set(label))
+    assert set(range(150)) <= set(label)
+
+
+def test_candidates_are_all_near_pairs_of_two_classes(spark):
+    """Many equal fingerprints, whole classes and close ones: every pair once, by one of the tries."""
+    rng = np.random.default_rng(6)
+    rows = [(int(a), int(b), n, 100 + n % 40, n) for n, (a, b) in enumerate(rng.integers(-(1 << 63), 1 << 63, (40, 2)))]
+    for fp, tail, *_ in rows[:40]:
+        for distance in (0, 0, 3, 9, 14):
+            flips = sum(1 << int(b) for b in rng.choice(63, distance, replace=False))
+            rows.append((fp ^ flips, tail ^ (flips >> 3), len(rows), 100 + len(rows) % 40, len(rows) % 7))
+    rows += [(rows[0][0], rows[0][1], 1000 + n, 100, 5) for n in range(60)]
+    schema = "fp long, tail long, shape long, shingles long, class long"
+    found = simhash.candidates(spark.createDataFrame(rows, schema), 14, 3, 4, 24).collect()
+
+    def name(row):
+        return "".join(f"{v % (1 << 64):016x}" for v in row[:3])
+
+    def fits(a, b):
+        first = ((a[0] ^ b[0]) % (1 << 64)).bit_count()
+        whole = first + ((a[1] ^ b[1]) % (1 << 64)).bit_count()
+        return first <= 14 and whole <= 24 and a[4] != b[4] and 5 * min(a[3], b[3]) >= 4 * max(a[3], b[3])
+
+    expected = sorted(tuple(sorted((name(a), name(b)))) for n, a in enumerate(rows) for b in rows[:n] if fits(a, b))
+    assert sorted(tuple(sorted(row)) for row in found) == expected
+
+
 # --- SQL on the given tables
 
 
