@@ -30,8 +30,10 @@ from cartloom.llm.shared import as_text, slices, without
 UNKNOWN = "und"
 SAMPLE = 150
 SAMPLE_BYTES = 2_000
-#: Languages with the most labelled documents; a network of a byte cannot tell more than this apart.
-MAX_LANGUAGES = 64
+#: Drawn words per language. Above so many languages steps grow with their number, and draws, memo
+#: and batches shrink with it.
+DRAWN = 20_000
+MANY = 64
 HIDDEN = 16
 SEGMENT = 32
 STEPS = 700
@@ -128,8 +130,9 @@ class Network:
         out = np.zeros((len(words), len(self.languages)), np.float32)
         parts = [(k, word[at : at + SEGMENT]) for k, word in enumerate(words) for at in range(0, len(word), SEGMENT)]
         parts.sort(key=lambda part: -len(part[1]))
-        for start in range(0, len(parts), 4 * BATCH):
-            own = parts[start : start + 4 * BATCH]
+        size = max(1, 4 * BATCH * MANY // max(MANY, len(self.languages)))
+        for start in range(0, len(parts), size):
+            own = parts[start : start + size]
             codes, lengths = self.padded([word for _, word in own])
             found = self.probabilities(self.states(codes, lengths))
             found *= (np.arange(codes.shape[1])[:, None] < lengths)[..., None]
@@ -192,29 +195,31 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     labelled = labelled.where(~held_out(F.col("doc_id")))
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().collect()
     steps = {row["lang"]: -(-row["count"] // sample) for row in sizes}
     if not steps:
         return None
-    chosen = F.lit(False)
-    for lang, step in steps.items():
-        place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(step))
-        chosen = chosen | ((F.col("lang") == lang) & (place == 0))
+    # A constant, one lookup per row at any number of languages.
+    step = F.element_at(F.create_map(*[F.lit(value) for pair in steps.items() for value in pair]), F.col("lang"))
+    chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), step) == 0
     rows = labelled.where(chosen).select("doc_id", "lang", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
-    rows = sorted((row["lang"], row["doc_id"], row["text"]) for row in rows.collect())
-    languages = sorted(steps)
+    texts: dict[str, list[str]] = {lang: [] for lang in sorted(steps)}
+    for lang, _, text in sorted((row["lang"], row["doc_id"], row["text"]) for row in rows.collect()):
+        texts[lang].append(text)
+    languages = list(texts)
+    drawn = -(-DRAWN * MANY // max(MANY, len(languages)))
     words: list[bytes] = []
     targets: list[int] = []
     for number, lang in enumerate(languages):
-        own = [word[:SEGMENT] for name, _, text in rows if name == lang for word in text_words(text.encode())]
+        own = [word[:SEGMENT] for text in texts[lang] for word in text_words(text.encode())]
         # Languages count alike, whatever their number of words in the sample.
-        own = [own[k] for k in np.random.default_rng(number).integers(0, len(own), 20_000)] if own else []
+        own = [own[k] for k in np.random.default_rng(number).integers(0, len(own), drawn)] if own else []
         words += own
         targets += [number] * len(own)
     if not words:
         return None
     network = Network(languages)
-    network.train(words, np.array(targets))
+    network.train(words, np.array(targets), -(-STEPS * max(MANY, len(languages)) // MANY))
     return network
 
 
@@ -232,7 +237,7 @@ class _Sums:
 
     def pooled(self, texts: list[bytes]) -> np.ndarray:
         """Mean probabilities of every text; zeros for a text without words."""
-        if len(self.place) > MEMO:
+        if len(self.place) > MEMO * MANY // max(MANY, self.table.shape[1]):
             self.clear()
         get, place = self.place.setdefault, self.place
         known = len(place)

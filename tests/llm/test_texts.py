@@ -341,3 +341,13 @@ def test_identify_without_network_and_edges(table, request):
     assert found.count() == df.count()
     assert found.where((F.col("lang_pred") != "und") | (F.col("score") != 0)).count() == 0
     assert langid.report(df.where("doc_id < 0")).count() == 0
+
+
+def test_every_label_is_an_output(spark, monkeypatch):
+    """More labelled languages than one network of few outputs would have: none is left out."""
+    monkeypatch.setattr(langid, "STEPS", 30)
+    rows = [(n, f"alpha{n % 70} beta{n % 70} gamma{n % 70} " * 20, f"l{n % 70:02}", "a", 1) for n in range(420)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    network = langid.train(spark.createDataFrame(rows, schema))
+    assert network.languages == [f"l{n:02}" for n in range(70)]
+    assert network.word_sums([b" alpha1", b" beta69"]).shape == (2, 70)
