@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cartloom.llm.shared import as_bytes, free_names, slices, stored
 
@@ -404,10 +404,10 @@ def report(docs: DataFrame) -> DataFrame:
 # --- verified classes
 
 
-def _marked(docs: DataFrame, size: int, row: str, names: list[str]) -> DataFrame:
-    """All columns of ``docs``, a row number, and the fingerprint, its further bits, a hash and the
-    size of the set of shingles."""
-    docs = docs.withColumn(row, F.monotonically_increasing_id())
+def _marked(docs: DataFrame, size: int, row: str, hashed: str, names: list[str]) -> DataFrame:
+    """All columns of ``docs``, a row number, the text's hash, and the fingerprint, its further bits,
+    a hash and the size of the set of shingles."""
+    docs = docs.withColumns({row: F.monotonically_increasing_id(), hashed: F.xxhash64("text")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -489,34 +489,31 @@ def _with_class(items: DataFrame, edges: DataFrame) -> DataFrame:
 def deduplicated(
     docs: DataFrame, size: int = 5, budget: int = 17, parts: int = 3, inner: int = 4, whole: int = 30
 ) -> DataFrame:
-    """The document with the smallest doc_id of every class; columns as in ``docs``.
+    """The row with the smallest doc_id of every class, then by the hash of its text; columns as in ``docs``.
 
     A class is a connected component of texts whose sets of ``size``-word shingles have a Jaccard of
     0.8 or more. Fingerprints only name the pairs that are compared: those within ``whole`` of 128
     bits, ``budget`` of the first 64 and ``inner`` of one group of these. A resemblance of 0.8 stands
     for 19 bits (the angle's cosine c gives c / (2 - c)), with an error of four.
 
-    Of rows that repeat a doc_id the one with the smallest text stays; rows without doc_id all do.
+    Rows that repeat a doc_id count one by one; rows without doc_id all stay.
     """
-    row, *names = free_names(docs, "row", "fp", "tail", "shape", "shingles")
-    marked = stored(_marked(docs, size, row, names), "marked")
-    slim = marked.select("doc_id", *[F.col(own).alias(name) for own, name in zip(names, ("fp", "tail", "shape", "shingles"))], F.col(row).alias("row"))
+    row, hashed, *names = free_names(docs, "row", "hash", "fp", "tail", "shape", "shingles")
+    marked = stored(_marked(docs, size, row, hashed, names), "marked")
+    wanted = zip((row, hashed, *names), ("row", "hash", "fp", "tail", "shape", "shingles"))
+    slim = marked.select("doc_id", *[F.col(own).alias(name) for own, name in wanted])
     key = F.lower(F.concat(*[F.lpad(F.hex(name), 16, "0") for name in ("fp", "tail", "shape")])).alias("key")
-    items = slim.groupBy("fp", "tail", "shape", "shingles").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"))
+    items = slim.groupBy("fp", "tail", "shape", "shingles").agg(F.min("row").alias("row"))
     items = stored(items.select("*", key), "items")
     texts = marked.select(F.col(row).alias("row"), "text").join(items.select("key", "row"), "row").select("key", "text")
     edges = stored(_pivots(items, texts, size), "verified")
     known = stored(_with_class(items, edges).withColumn("class", F.xxhash64("root")), "known")
     pairs = stored(candidates(known, budget, parts, inner, whole), "candidates")
     more = resembling(pairs, texts, size).select(F.col("a").alias("key"), F.col("b").alias("root"))
-    classed = stored(_with_class(items, stored(edges.unionAll(more), "verified")), "classed")
-    least = classed.groupBy("root").agg(F.min("least").alias("component"))
-    named = classed.join(least, "root").select("fp", "tail", "shape", F.coalesce("component", "least").alias("component_id"))
-    near = slim.join(named, ["fp", "tail", "shape"])
-    kept = near.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
-    found = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    if kept.where("count > 1").limit(1).count():
-        [place] = free_names(found, "place")
-        order = Window.partitionBy("doc_id").orderBy("text")
-        found = found.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
-    return found.select(*docs.columns).unionAll(docs.where(F.col("doc_id").isNull()))
+    classed = _with_class(items, stored(edges.unionAll(more), "verified")).select("fp", "tail", "shape", "root")
+    near = slim.where(F.col("doc_id").isNotNull()).join(classed, ["fp", "tail", "shape"])
+    kept = near.groupBy("root").agg(F.min(F.struct("doc_id", "hash", "row")).alias("least"))
+    kept = kept.select(F.col("least.row").alias(row))
+    columns = [F.col(f"`{column}`") for column in docs.columns]
+    found = marked.join(kept, row, "left_semi").select(*columns)
+    return found.unionAll(marked.where(F.col("doc_id").isNull()).select(*columns))

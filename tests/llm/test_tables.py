@@ -479,6 +479,14 @@ def test_candidates_are_all_near_pairs_of_two_classes(spark):
     assert sorted(tuple(sorted(row)) for row in found) == expected
 
 
+def test_one_row_per_class_when_ids_repeat(spark):
+    """Two texts of one doc_id both stay; a near-copy does not come back with its doc_id."""
+    first, second, third = (" ".join(f"{name}{n}" for n in range(60)) for name in "abc")
+    rows = [(1, first), (1, second), (3, third), (5, third + " end"), (5, "something of its own")]
+    found = simhash.deduplicated(spark.createDataFrame(rows + rows[:1], "doc_id long, text string")).collect()
+    assert sorted(tuple(row) for row in found) == sorted([rows[0], rows[1], rows[2], rows[4]])
+
+
 # --- SQL on the given tables
 
 
