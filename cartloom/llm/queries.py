@@ -7,7 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartloom.llm import bpe, langid, line_crf, mixing, reputation, secrets, simhash, sketch, warc, wavelet
+from cartloom.llm import (
+    bpe,
+    langid,
+    line_crf,
+    merkle,
+    mixing,
+    prefix_trie,
+    reputation,
+    secrets,
+    simhash,
+    sketch,
+    warc,
+    wavelet,
+)
 from cartloom.llm.shared import new_folder, table
 from cartloom.llm.sql import ORACLE as ORACLE
 
@@ -77,6 +90,14 @@ def op10_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.report(table(spark, folder, "documents"))
 
 
+def op12_merkle_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.report(table(spark, folder, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -90,5 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_markov_secrets,
         op9_bigru_language,
         op10_simhash_trie,
+        op12_merkle_descent,
+        op13_prefix_trie,
     )
 }
