@@ -79,7 +79,7 @@ def rebuilt(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = stored(found.groupBy("conv_id").agg(F.first("total").alias("total")), "sizes")
     of_base = sizes.select(F.col("conv_id").alias("base"), F.col("total").alias("n_base"))
     convs = sizes.withColumns({"h": taken(F.col("conv_id")), "base": base}).join(of_base, "base", "left")
-    convs = convs.withColumn("start", F.coalesce(F.least("h", "n_base"), F.lit(0)))
+    convs = convs.withColumn("start", F.least("h", F.coalesce("n_base", F.lit(0))))
     convs = stored(convs.select("conv_id", "base", "h", "start", "total"), "convs")
     heads = found.where(F.col("at") < BORROWED - 1).select(F.col("conv_id").alias("base"), "at", "id", "bytes")
     borrowed = convs.where("h > 0").join(heads, "base").where("at < h").select("conv_id", "at", "id", "bytes")

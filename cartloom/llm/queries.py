@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartloom.llm import (
     bpe,
+    cap_filters,
     langid,
     line_crf,
     merkle,
@@ -90,6 +91,10 @@ def op10_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.report(table(spark, folder, "documents"))
 
 
+def op11_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return cap_filters.report(table(spark, folder, "embeddings"))
+
+
 def op12_merkle_descent(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.report(table(spark, folder, "documents"))
 
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_markov_secrets,
         op9_bigru_language,
         op10_simhash_trie,
+        op11_cap_filters,
         op12_merkle_descent,
         op13_prefix_trie,
     )

@@ -128,8 +128,164 @@ SELECT doc_id, size, source_size, target,
            + greatest(0, least(size, budget % source_size - earlier)) AS BIGINT) END AS taken
 FROM placed"""
 
+# --- Merkle manifest
+
+_CRC = """crc AS (
+    SELECT list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0],
+                            lambda c, _ : CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)
+                ORDER BY k) AS steps
+    FROM (SELECT unnest(range(256)) AS k)
+)"""
+
+
+def _crc32(value: str) -> str:
+    """CRC-32 of a short ASCII string; needs the relation ``crc``."""
+    codes = f"list_transform(string_split({value}, ''), lambda letter : ascii(letter)::BIGINT)"
+    step = "xor(crc.steps[1 + (xor(c, b) & 255)], c >> 8)"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b : {step}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars")
+    parts = [f"coalesce(strlen({f}::VARCHAR) || ':' || {f}, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)} || coalesce(strlen({text}) || ':' || {text}, '-'))"
+
+
+#: Heights that the SQL goes through: 16 ** 5 documents of a source, and as many sources.
+_HEIGHTS = 5
+
+
+def _forest(name: str, group: str) -> str:
+    """Relations of the runs (children, digest) at all heights over ``name``_0 (group, rank, total, digest)."""
+    keys = f"{group}, " if group else ""
+    return "".join(
+        f""",
+{name}_run_{k} AS (
+    SELECT {keys}rank // 16 AS rank, (total + 15) // 16 AS total,
+           string_agg(digest, '' ORDER BY rank) AS children, total > 1 AS joined
+    FROM {name}_{k} GROUP BY {keys}rank // 16, total
+),
+{name}_{k + 1} AS (
+    SELECT {keys}rank, total, CASE WHEN joined THEN sha256(children) ELSE children END AS digest FROM {name}_run_{k}
+)"""
+        for k in range(_HEIGHTS)
+    )
+
+
+def _merkle() -> str:
+    path, joins = [], ""
+    for name, rank, group in (("tree", "doc.rank", " AND {}.source IS NOT DISTINCT FROM doc.source"), ("top", "place", "")):
+        for k in range(_HEIGHTS):
+            run, at = f"{name}_run_{k}", f"(64 * (({rank} // {16**k}) % 16))::INT"
+            path.append(
+                f"{{'before': CASE WHEN {run}.joined THEN left({run}.children, {at}) ELSE '' END, "
+                f"'after': CASE WHEN {run}.joined THEN substr({run}.children, {at} + 65) ELSE '' END, "
+                f"'joined': {run}.joined}}"
+            )
+            joins += f" JOIN {run} ON {run}.rank = {rank} // {16 ** (k + 1)}{group.format(run)}"
+    proof = "list_transform(path, lambda step : step.before || step.after)"
+    start = "{'before': coalesce(altered, leaf), 'after': '', 'joined': false}"
+    step = "{'before': sha256(s.before || n.before || s.after), 'after': '', 'joined': false}"
+    fold = f"list_reduce(list_concat([{start}], path), lambda n, s : CASE WHEN s.joined THEN {step} ELSE n END).before"
+    return f"""
+WITH {_CRC},
+doc AS (
+    SELECT doc_id, source, leaf, altered, count(*) OVER (PARTITION BY source) AS total,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank
+    FROM (
+        SELECT doc_id, source, {_leaf("text")} AS leaf,
+               CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id::VARCHAR")} % 5 = 0
+                    THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+               END AS altered
+        FROM documents, crc
+    )
+),
+tree_0 AS (SELECT source, rank, total, leaf AS digest FROM doc){_forest("tree", "source")},
+subroots AS (
+    SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+           count(*) OVER () AS total
+    FROM tree_{_HEIGHTS}
+),
+top_0 AS (SELECT place AS rank, total, subroot AS digest FROM subroots){_forest("top", "")},
+asked AS (
+    SELECT doc_id, leaf, altered, subroot, (SELECT digest FROM top_{_HEIGHTS}) AS root, [{", ".join(path)}] AS path
+    FROM doc JOIN subroots ON subroots.source IS NOT DISTINCT FROM doc.source{joins}
+),
+found AS (
+    SELECT doc_id, leaf, subroot, root, sha256(array_to_string({proof}, '')) AS proof_sha256, {fold} AS folded_root
+    FROM asked
+)
+SELECT *, folded_root = root AS verified FROM found"""
+
+
+_TRIE = f"""
+WITH {_CRC},
+turn_of AS (
+    SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+listed AS (
+    SELECT conv_id, list({{'id': id, 'bytes': bytes}} ORDER BY turn NULLS FIRST, id) AS turns
+    FROM turn_of GROUP BY conv_id
+),
+started AS (SELECT conv_id, turns, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM listed, crc),
+rebuilt AS (
+    SELECT own.conv_id, list_concat(coalesce(base.turns[1:own.h], []), own.turns[own.h + 1:]) AS turns
+    FROM started own LEFT JOIN listed base ON base.conv_id = own.conv_id - own.conv_id % 5
+),
+path AS (
+    SELECT conv_id, depth, len(turns) = depth AS ends, coalesce(turns[depth].bytes, 0) AS bytes,
+           array_to_string(list_transform(turns[1:depth], lambda turn : turn.id), '') AS key
+    FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM rebuilt)
+),
+node AS (
+    SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes, count(*) FILTER (ends) AS n_ends,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM path GROUP BY key, depth
+),
+below AS (
+    SELECT up.key, up.depth, sum((down.n_convs - 1) * down.bytes)::BIGINT AS saved_tokens,
+           count(*) FILTER (down.n_convs = down.n_ends) AS n_leaves,
+           count(*) FILTER (down.depth = up.depth + 1) AS n_children
+    FROM (SELECT key, unnest(range(depth + 1)) AS high, depth, n_convs, bytes, n_ends FROM node) down
+    JOIN node up ON up.depth = down.high AND up.key = left(down.key, (64 * down.high)::INT)
+    GROUP BY up.key, up.depth
+)
+SELECT node.conv_id, node.depth, parent.conv_id AS parent_conv_id, node.n_convs, n_children, n_leaves, saved_tokens,
+       node.ends_sha256
+FROM node JOIN below USING (key, depth)
+LEFT JOIN node parent ON parent.depth = node.depth - 1 AND parent.key = left(node.key, (64 * parent.depth)::INT)"""
+
+# Vectors with a direction, all pairs of them: small tables only.
+_CAPS = """
+WITH RECURSIVE vector AS (
+    SELECT vec_id, row_number() OVER () AS row, embedding::DOUBLE[] AS v FROM embeddings
+),
+pair AS (
+    SELECT a.row AS a, b.row AS b
+    FROM vector a JOIN vector b ON a.row <> b.row AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) >= 0.95 * sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v))
+      AND list_dot_product(a.v, a.v) > 0 AND list_dot_product(b.v, b.v) > 0
+),
+reach AS (
+    SELECT row AS a, row AS b FROM vector
+    UNION SELECT reach.a, pair.b FROM reach JOIN pair ON pair.a = reach.b
+),
+named AS (
+    SELECT reach.a AS row, min(vector.vec_id) AS component_id
+    FROM reach JOIN vector ON vector.row = reach.b GROUP BY reach.a
+)
+SELECT vec_id, (SELECT count(*) FROM pair WHERE a = row) AS n_links, component_id,
+       vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM vector JOIN named USING (row)"""
+
+
 ORACLE: dict[str, str] = {
     "op2_warc_revisits": _WARC,
     "op5_host_reputation": _REPUTATION,
     "op7_source_mix": _MIX,
+    "op11_cap_filters": _CAPS,
+    "op12_merkle_descent": _merkle(),
+    "op13_prefix_trie": _TRIE,
 }
