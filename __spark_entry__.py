@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark import StorageLevel
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.fpm import FPGrowthModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cartloom.checks.oracle import ORACLE
 from cartloom.jobs.feature_tables import feature_job
+from cartloom.functions.labels import flag, has_token
 from cartloom.operators import profile
+from cartloom.operators.quantiles import quantile_table
 from cartloom.operators.relational import item_sets
-from cartloom.plans import association, behaviour, exports, features, products, reorder, segmentation
+from cartloom.plans import association, behaviour, explain, exports, features, products, reorder, segmentation
 from cartloom.sources import staging
 from cartloom.sources.config import REORDER_FEATURES
 from cartloom.sources.readers import load_tables, register_views, sample_users, write_csv_tables
 from cartloom.sources.schema import Tables
 from cartloom.sources.shop import shop_tables
-from cartloom.sources.sinks import export_csv, validate_outputs, write_report
+from cartloom.sources.sinks import export_csv, save_model, validate_outputs, write_report
 
 # Settings for the fixture data, whose names and volumes differ from a grocery data set.
 TOKEN = "red"
@@ -40,6 +44,9 @@ MIN_ITEMSET_SHARE = 0.00019
 AISLE_SUPPORT = 0.02
 AISLE_CONFIDENCE = 0.3
 K_RANGE = (2, 8)
+# Inputs of the small models whose optimum SQL can follow.
+LR_FEATURES = ("up_reorder_rate", "u_avg_basket_size", "p_reorder_rate")
+FEW_VALUES = ("u_preferred_dow", "u_preferred_hour", "p_is_organic", "up_order_count")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +78,11 @@ def _train_dataset(t: Tables) -> DataFrame:
     return features.train_dataset_of(t, _fact(t), _train_fact(t), RATIO_DEPARTMENTS)
 
 
+def _training(t: Tables) -> DataFrame:
+    """The training set, derived once per input: every model starts from it."""
+    return staging.remembered(t, "training", lambda: _train_dataset(t))
+
+
 def _rfv(t: Tables) -> DataFrame:
     return features.rfv_features(t, _users(t))
 
@@ -216,13 +228,13 @@ def _basket_report(t: Tables) -> DataFrame:
 
 
 def _prepared(t: Tables) -> DataFrame:
-    prepared = reorder.prepare_reorder(_train_dataset(t))
+    prepared = reorder.prepare_reorder(_training(t))
     return _rounded(prepared.select("user_id", "product_id", "label", *REORDER_FEATURES))
 
 
 def _reorder_vector(t: Tables) -> DataFrame:
     """Features and encoded department of every training pair, as text of rounded values."""
-    prepared = reorder.prepare_reorder(_train_dataset(t))
+    prepared = reorder.prepare_reorder(_training(t))
     vectors = reorder.assembled_features(prepared, REORDER_FEATURES)
     values = F.transform(vector_to_array("features"), lambda v: F.round(v, 4).cast("decimal(20,4)").cast("string"))
     return vectors.select("user_id", "product_id", F.array_join(values, ";").alias("vector"))
@@ -230,10 +242,10 @@ def _reorder_vector(t: Tables) -> DataFrame:
 
 def _reorder_model(model: str) -> Callable[[Tables], DataFrame]:
     def run(t: Tables) -> DataFrame:
-        data = _train_dataset(t).persist(StorageLevel.MEMORY_AND_DISK)
-        train, test = reorder.split_and_weigh(data, 42, REORDER_FEATURES)
+        train, test = reorder.split_and_weigh(_training(t), 42, REORDER_FEATURES)
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
         _, record = reorder.fit_and_score(train, test, model, 42, REORDER_FEATURES)
-        data.unpersist()
+        train.unpersist()
         record.pop("elapsed_seconds")
         return t.orders.sparkSession.createDataFrame([record])
 
@@ -251,22 +263,96 @@ def _rfv_scaled(t: Tables) -> DataFrame:
     return scaled.select("user_id", F.array_join(values, ";").alias("scaled"))
 
 
-def _fits(t: Tables):
-    scaled = segmentation.scale_rfv(_stored_rfv(t)).persist(StorageLevel.MEMORY_AND_DISK)
-    fits = [segmentation.fit_k(scaled, k) for k in segmentation.usable_ks(scaled.count(), *K_RANGE)]
-    scaled.unpersist()
-    return scaled, fits
+def _weighed(t: Tables) -> DataFrame:
+    """All training pairs with class weights."""
+    return reorder.add_class_weights(reorder.prepare_reorder(_training(t)))
+
+
+def _lr_optimum(t: Tables) -> DataFrame:
+    """Terms of the linear model over three features, fitted until nothing changes."""
+    pipeline = reorder.build_reorder_pipeline("lr", features=LR_FEATURES, departments=False, maxIter=500, tol=1e-13)
+    terms = explain.linear_terms(pipeline.fit(_weighed(t)), LR_FEATURES)
+    return terms.withColumn("coefficient", F.round("coefficient", 4))
+
+
+def _splits(t: Tables, model: str, **overrides) -> DataFrame:
+    """Trees of depth one over features of few values and the departments, fitted to all rows."""
+    pipeline = reorder.build_reorder_pipeline(
+        model, features=FEW_VALUES, maxDepth=1, subsamplingRate=1.0, maxBins=1024, **overrides
+    )
+    return _rounded(explain.tree_splits(pipeline.fit(_weighed(t)), FEW_VALUES).drop("node"))
+
+
+def _fits(t: Tables) -> list[dict]:
+    """Scores and stored models of every k, fitted once per input."""
+    if "kmeans" not in t.known:
+        out = f"{staging.required_folder(t.orders.sparkSession)}/kmeans-{uuid.uuid4().hex[:12]}"
+        scaled = segmentation.scale_rfv(_stored_rfv(t)).persist(StorageLevel.MEMORY_AND_DISK)
+        fits = [segmentation.fit_k(scaled, k) for k in segmentation.usable_ks(scaled.count(), *K_RANGE)]
+        scaled.unpersist()
+        for fit in fits:
+            save_model(fit.model, f"{out}/{fit.k}")
+        best = segmentation.best_fit(fits).k if fits else None
+        t.known["kmeans"] = [
+            {**fit.row().asDict(), "path": f"{out}/{fit.k}", "best": fit.k == best, "iterations": fit.iterations}
+            for fit in fits
+        ]
+    return t.known["kmeans"]
 
 
 def _kmeans_sweep(t: Tables) -> DataFrame:
-    rows = [(fit.k, fit.silhouette, fit.training_cost) for fit in _fits(t)[1]]
+    rows = [(fit["k"], fit["silhouette"], fit["training_cost"]) for fit in _fits(t)]
     schema = "k int, silhouette double, training_cost double"
     return t.orders.sparkSession.createDataFrame(rows, schema)
 
 
 def _best_segments(t: Tables) -> DataFrame:
-    scaled, fits = _fits(t)
-    return segmentation.user_segments(segmentation.best_fit(fits).model.transform(scaled))
+    best = next(fit for fit in _fits(t) if fit["best"])
+    model = KMeansModel.load(best["path"])
+    return segmentation.user_segments(model.transform(segmentation.scale_rfv(_stored_rfv(t))))
+
+
+def _settled(t: Tables) -> DataFrame:
+    """Whether the models come to rest: every user with its nearest centre, centres at their users' mean.
+
+    Stored models that ended by themselves are taken as they are; one that was cut off goes on until it ends.
+    """
+    scaled = segmentation.scale_rfv(_stored_rfv(t)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def at_rest(fit: dict) -> KMeansModel:
+        if fit["iterations"] < segmentation.ITERATIONS:
+            return KMeansModel.load(fit["path"])
+        return segmentation.fit_k(scaled, fit["k"], iterations=20 * segmentation.ITERATIONS).model
+
+    rows = functools.reduce(DataFrame.unionAll, [explain.settled(at_rest(fit), scaled) for fit in _fits(t)])
+    # Fits end when no centre moves by a ten-thousandth any more.
+    return rows.select("k", "moved", F.round("drift", 2).alias("drift"))
+
+
+def _recency_silhouette(t: Tables) -> DataFrame:
+    scaled = segmentation.scale_rfv(_stored_rfv(t))
+    assigned = scaled.withColumn("cluster", F.floor(F.col("recency") / 30).cast("int"))
+    score = round(segmentation.silhouette_of(assigned), 6)
+    return assigned.agg(F.count_distinct("cluster").alias("clusters")).withColumn("silhouette", F.lit(score))
+
+
+def _case_flags(t: Tables) -> DataFrame:
+    """Products by a token in capitals, in small letters, and without regard to case."""
+    name = F.col("product_name")
+    capitals, small = DEPARTMENT, DEPARTMENT.lower()
+    flags = {
+        "capitals": flag(has_token(name, capitals, case=True)),
+        "small": flag(has_token(name, small, case=True)),
+        "any_case": flag(has_token(name, small)),
+    }
+    flagged = t.products.select(*[column.alias(alias) for alias, column in flags.items()])
+    return flagged.groupBy(*flags).agg(F.count(F.lit(1)).alias("products"))
+
+
+def _product_quantiles(t: Tables) -> DataFrame:
+    return _rounded(
+        quantile_table(products.product_metrics(t), ["total_unique_buyers", "reorder_rate"], [0.05, 0.25, 0.5, 0.75, 0.95])
+    )
 
 
 def _by_recency(t: Tables) -> DataFrame:
@@ -425,6 +511,15 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "cluster_profiles": lambda t: segmentation.cluster_profiles(_by_recency(t)),
     "recency_segments": lambda t: _rounded(segmentation.user_segments(_by_recency(t))),
     "user_segments": _best_segments,
+    "kmeans_settled": _settled,
+    "recency_silhouette": _recency_silhouette,
+    "reorder_lr_optimum": _lr_optimum,
+    "reorder_stump": lambda t: _splits(
+        t, "rf", numTrees=1, featureSubsetStrategy="all", bootstrap=False
+    ),
+    "reorder_gbt_steps": lambda t: _splits(t, "gbt", maxIter=2),
+    "case_flags": _case_flags,
+    "product_quantiles": _product_quantiles,
 }
 
 

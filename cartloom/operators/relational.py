@@ -28,10 +28,6 @@ def with_ratios(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFra
     return df.withColumns({name: ratio(F.col(a), F.col(b)) for name, (a, b) in ratios.items()})
 
 
-# Bits that hold the value next to its count in ``modes_per_key``.
-_VALUE_BITS = 10
-
-
 def modes_per_key(
     df: DataFrame,
     key: str,
@@ -39,41 +35,48 @@ def modes_per_key(
     weight: str,
     sums: Sequence[str] = (),
 ) -> DataFrame:
-    """Most frequent value per key for several columns of small numbers (0..1023).
+    """Most frequent value per key for several columns of any orderable types.
 
-    Values outside that range are an error, nulls are left out. The smallest value wins a tie. All columns share one aggregation: rows are unfolded to
-    (column, value) and counted; count and value then form one long whose maximum is the answer,
-    which keeps both steps in hash aggregates that combine before they shuffle. Plain ``sums``
-    per key ride along, so that rows need not be read again for them.
+    The smallest value wins a tie, nulls are left out. All columns share one aggregation: rows are
+    unfolded to (column, value) and counted. Of the values that a key has equally often the smallest
+    stays, then the one with the highest count; both steps run on rows that are dealt out by key
+    already, as plain minima and maxima. Sums per key (``sums``) ride along, so that rows need not
+    be read again for them.
     """
-    limit = (1 << _VALUE_BITS) - 1
+    names = list(values)
+
+    def entry(kind: str) -> Column:
+        own = [(F.col(values[n]) if n == kind else F.lit(None).cast(df.schema[values[n]].dataType)) for n in names]
+        return F.struct(F.lit(kind).alias("kind"), *[column.alias(f"value_{n}") for n, column in zip(names, own)])
+
+    slots = [f"value_{name}" for name in names]
     unfolded = df.select(
         key,
         weight,
         *[column for column in sums if column != weight],
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("kind"), F.col(column).alias("value"))
-                    for name, column in values.items()
-                ]
-            )
-        ).alias("v"),
-    )
-    counted = unfolded.groupBy(key, "v.kind", "v.value").agg(
+        F.explode(F.array(*map(entry, names))).alias("v"),
+    ).select("*", "v.*")
+    counted = unfolded.groupBy(key, "kind", *slots).agg(
         F.sum(weight).alias("n"), *[F.sum(column).alias(f"sum_{column}") for column in sums]
     )
-    packed = F.shiftleft("n", _VALUE_BITS) + (limit - F.col("value"))
-    wrong = F.raise_error(F.format_string(f"%s must be 0 to {limit}, found %s", "kind", F.col("value").cast("string")))
-    ranked = F.when(F.col("value").isNull() | F.col("value").between(0, limit), packed).otherwise(wrong)
+    alike = (
+        counted.repartition(key)
+        .groupBy(key, "kind", "n")
+        .agg(
+            *[F.min(slot).alias(slot) for slot in slots],
+            *[F.sum(f"sum_{column}").alias(f"sum_{column}") for column in sums],
+        )
+    )
+
+    def mode(name: str) -> Column:
+        own = (F.col("kind") == name) & F.col(f"value_{name}").isNotNull()
+        return F.max_by(f"value_{name}", F.when(own, F.col("n"))).alias(name)
+
     # Each row was unfolded once per column; the sums are taken from the first of them.
-    first = F.col("kind") == next(iter(values))
-    found = counted.groupBy(key).agg(
-        *[F.max(F.when(F.col("kind") == name, ranked)).alias(name) for name in values],
-        *[F.sum(F.when(first, F.col(f"sum_{column}"))).alias(column) for column in sums],
+    first = F.col("kind") == names[0]
+    return alike.groupBy(key).agg(
+        *map(mode, names), *[F.sum(F.when(first, F.col(f"sum_{column}"))).alias(column) for column in sums]
     )
-    decoded = [(limit - F.col(n).bitwiseAND(limit)).cast("int").alias(n) for n in values]
-    return found.select(key, *decoded, *sums)
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, column: str, name: str) -> DataFrame:

@@ -9,7 +9,8 @@ from cartloom.functions.labels import (
     POTENTIAL, flag, has_token, pair_type, percent, quadrant, ratio,
 )
 from cartloom.operators.pairs import cross_pair_counts, pair_counts, pair_order, top_pair_counts
-from cartloom.operators.relational import stats_of, top_k
+from cartloom.operators.quantiles import exact_quantiles
+from cartloom.operators.relational import top_k
 from cartloom.sources.schema import Tables
 from cartloom.sources.staging import remembered
 
@@ -39,10 +40,9 @@ def _product_metrics(t: Tables) -> DataFrame:
 
 def product_thresholds(metrics: DataFrame, min_purchases: int = 100) -> Column:
     """Median reach and loyalty of the products bought often enough, as one struct value."""
-    return stats_of(
-        metrics.where(F.col("total_purchases") >= min_purchases),
-        reach_median=F.percentile_approx("total_unique_buyers", 0.5),
-        loyalty_median=F.percentile_approx("reorder_rate", 0.5),
+    often = metrics.where(F.col("total_purchases") >= min_purchases)
+    return exact_quantiles(
+        often, {"reach_median": ("total_unique_buyers", 0.5), "loyalty_median": ("reorder_rate", 0.5)}
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -17,9 +18,15 @@ from cartloom.sources.schema import Tables, conform
 # One bucket per this many input bytes, so that a bucket of any of the tables fits in a task.
 BYTES_PER_BUCKET = 512 * 1024 * 1024
 
+# So many input files are listed by the driver itself, without a job.
+FEW_FILES = 256
+
 # Databases made for staged tables, by application.
 _made: dict[str, list[str]] = {}
 
+# A derived table may read another one while it is written.
+_writing = threading.RLock()
+
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder named in ``spark.checkpoint.dir``.
@@ -47,12 +54,31 @@ def required_folder(spark: SparkSession) -> str:
     return folder
 
 
-def input_state(spark: SparkSession, paths: list[str]) -> tuple[int, tuple]:
+def _listed(spark: SparkSession, paths: list[str], most: int) -> tuple[int, tuple] | None:
+    """The state of a few files in a few folders, asked of their file system; None if there are more than ``most``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total, marks, left = 0, [], [jvm.org.apache.hadoop.fs.Path(path) for path in paths]
+    while left:
+        path = left.pop()
+        for file in path.getFileSystem(conf).listStatus(path):
+            if len(marks) + len(left) > most:
+                return None
+            if file.isDirectory():
+                left.append(file.getPath())
+                continue
+            total += file.getLen()
+            marks.append((str(file.getPath()), file.getLen(), file.getModificationTime()))
+    return total, (tuple(paths), *sorted(marks))
+
+
+def input_state(spark: SparkSession, paths: list[str], few: int = FEW_FILES) -> tuple[int, tuple]:
     """Total bytes and a change marker over every file (path, length, time) of files or folders.
 
-    Spark lists the files; their content is not read. A part replaced in place changes the marker
-    even if its length stays.
+    Few files are listed by the driver, more by a Spark job; their content is not read. A part
+    replaced in place changes the marker even if its length stays.
     """
+    if (state := _listed(spark, paths, few)) is not None:
+        return state
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     file = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
     found = files.select("length", file.alias("file")).agg(
@@ -63,28 +89,35 @@ def input_state(spark: SparkSession, paths: list[str]) -> tuple[int, tuple]:
 
 
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:
-    """Buckets grow with the data, with at least one per core."""
-    return max(-(-input_bytes // BYTES_PER_BUCKET), spark.sparkContext.defaultParallelism)
+    """Buckets grow with the data, with at least one per core and at most as many as Spark allows.
+
+    Beyond that limit they hold more bytes each; a bucket's sort and joins spill.
+    """
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(-(-input_bytes // BYTES_PER_BUCKET), spark.sparkContext.defaultParallelism))
 
 
 def remembered(tables: Tables, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
     """A small derived table, written once per input and read by every later plan.
 
     It goes to the database of the staged tables, else to the shared folder. Without a shared
-    folder it stays a lazy plan.
+    folder it stays a lazy plan. Every attempt writes to a place of its own and is known only when it is
+    whole, so a failed one can be repeated; plans that run at the same time write it once.
     """
     spark = tables.orders.sparkSession
-    if name not in tables.known:
-        if database := tables.known.get("database"):
-            table = f"{database}.{name.replace('-', '_')}"
-            plan().write.format("parquet").saveAsTable(table)
-            tables.known[name] = table
-        elif folder := shared_folder(spark):
-            df, path = plan(), f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
-            df.write.parquet(path)
-            tables.known[name] = (path, df.schema)
-        else:
-            return plan()
+    with _writing:
+        if name not in tables.known:
+            mark = uuid.uuid4().hex[:12]
+            if database := tables.known.get("database"):
+                table = f"{database}.{name.replace('-', '_')}_{mark}"
+                plan().write.format("parquet").saveAsTable(table)
+                tables.known[name] = table
+            elif folder := shared_folder(spark):
+                df, path = plan(), f"{folder}/{name}-{mark}"
+                df.write.parquet(path)
+                tables.known[name] = (path, df.schema)
+            else:
+                return plan()
     place = tables.known[name]
     return spark.table(place) if isinstance(place, str) else spark.read.schema(place[1]).parquet(place[0])
 

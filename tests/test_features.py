@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import math
 
+import datetime
+import random
+
 import pytest
 from conftest import ORDERS, as_dicts, make_tables
 
@@ -131,11 +134,39 @@ def test_partitioning_does_not_change_results(spark):
     assert len(ORDERS) == once.orders.count()
 
 
-@pytest.mark.parametrize("value", [-1, 1024, 2000])
-def test_modes_refuse_values_they_cannot_hold(spark, value):
-    df = spark.createDataFrame([(1, value, 1)], "k int, v int, w int")
-    with pytest.raises(Exception, match="must be 0 to 1023"):
-        modes_per_key(df, "k", {"m": "v"}, "w").collect()
+@pytest.mark.parametrize("value", [-1, 1024, 2000, 1 << 40])
+def test_modes_of_any_number(spark, value):
+    df = spark.createDataFrame([(1, value, 1)], "k int, v long, w int")
+    assert as_dicts(modes_per_key(df, "k", {"m": "v"}, "w")) == [{"k": 1, "m": value}]
+
+
+def test_modes_of_mixed_types_against_counting(spark):
+    """Texts, negative numbers, dates and a hot key, ties and sums, against plain counting."""
+    draw = random.Random(7)
+    rows = []
+    for n in range(1500):
+        key = "hot" if n % 3 == 0 else f"k{n % 40}"
+        day = None if n % 11 == 0 else datetime.date(2020, 1, draw.randint(1, 4))
+        text = draw.choice(["", "é", "Z", "a b", None])
+        rows.append((key, text, draw.randint(-3, 3) * 10**10, day, draw.randint(1, 3), n))
+    df = spark.createDataFrame(rows, "k string, t string, v long, d date, w int, s long")
+    found = modes_per_key(df, "k", {"text": "t", "value": "v", "day": "d"}, "w", sums=("w", "s"))
+    by_key: dict = {}
+    for row in rows:
+        by_key.setdefault(row[0], []).append(row)
+
+    def mode(held, column):
+        counts: dict = {}
+        for row in held:
+            if row[column] is not None:
+                counts[row[column]] = counts.get(row[column], 0) + row[4]
+        return min(counts, key=lambda value: (-counts[value], value)) if counts else None
+
+    wanted = {
+        key: (mode(held, 1), mode(held, 2), mode(held, 3), sum(row[4] for row in held), sum(row[5] for row in held))
+        for key, held in by_key.items()
+    }
+    assert {r.k: (r.text, r.value, r.day, r.w, r.s) for r in found.collect()} == wanted
 
 
 def test_modes_leave_nulls_out(spark):
