@@ -32,14 +32,21 @@ def linear_terms(fitted: PipelineModel, features: Sequence[str]) -> DataFrame:
 def _walk(node, tree: int, place: int, names: list[str], rates: bool) -> Iterator[tuple]:
     if node.subtreeDepth() == 0:
         return
-    split = node.split()
+    split, children = node.split(), [node.leftChild(), node.rightChild()]
+    if split.getClass().getSimpleName() == "CategoricalSplit":
+        # A department's slot holds 0 or 1; the side of the zeros is called left.
+        threshold = 0.5
+        if 0.0 not in list(split.leftCategories()):
+            children.reverse()
+    else:
+        threshold = float(split.threshold())
     sides = []
-    for child in (node.leftChild(), node.rightChild()):
+    for child in children:
         counts = list(child.impurityStats().stats())
         sides.append(float(counts[1] / sum(counts[:2])) if rates else float(child.prediction()))
-    yield tree, place, names[split.featureIndex()], float(split.threshold()), *sides
-    yield from _walk(node.leftChild(), tree, 2 * place, names, rates)
-    yield from _walk(node.rightChild(), tree, 2 * place + 1, names, rates)
+    yield tree, place, names[split.featureIndex()], threshold, *sides
+    for side, child in enumerate(children):
+        yield from _walk(child, tree, 2 * place + side, names, rates)
 
 
 def tree_splits(fitted: PipelineModel, features: Sequence[str]) -> DataFrame:

@@ -74,6 +74,18 @@ def test_splits_of_a_stump(spark):
         assert split[side] == pytest.approx(sum(row[0] * row[4] for row in own) / sum(row[4] for row in own))
 
 
+def test_split_by_department(spark):
+    """Departments are categories to the trees; the rows outside are left, whichever side is richer."""
+    for rich in (10, 11):
+        rows = [(float(n % 3 + 10 == rich), 1.0, 1.0, n % 3 + 10, 1.0) for n in range(90)]
+        df = spark.createDataFrame(rows, "label double, a double, b double, p_department_id int, class_weight double")
+        settings = dict(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", subsamplingRate=1.0)
+        model = reorder.build_reorder_pipeline("rf", features=("a", "b"), **settings).fit(df)
+        [split] = as_dicts(explain.tree_splits(model, ("a", "b")))
+        assert split["feature"] == f"p_department_id={rich}" and split["threshold"] == 0.5
+        assert (split["left"], split["right"]) == (0.0, 1.0)
+
+
 def test_splits_of_deeper_trees_are_numbered(spark):
     _, model = fitted(spark, "rf", numTrees=3, maxDepth=3, featureSubsetStrategy="all")
     splits = as_dicts(explain.tree_splits(model, ("a", "b")))
