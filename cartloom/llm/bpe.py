@@ -20,12 +20,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer, models
 
 from cartloom.llm.pieces import Pieces, byte_alphabet
 from cartloom.llm.shared import Memo, as_bytes, slices, without
 
+#: Ids that are decoded at a time.
+SLICE_IDS = 1 << 18
 #: Chunks kept per Python worker and generation.
 MEMO = 120_000
 
@@ -84,10 +87,32 @@ class ForcedBoundaryBpe:
         return b"".join(map(self.chunk_ids.__getitem__, text.split()))
 
 
-@lru_cache(maxsize=2)
 def token_texts(path: str) -> dict[int, str]:
     """Token of every id, special ones too."""
-    return {value: token for token, value in Tokenizer.from_file(path).get_vocab().items()}
+    library = Tokenizer.from_file(path)
+    if library.decoder is not None:
+        raise ValueError("a file without a decoder is needed: its ids are joined by spaces")
+    return {value: token for token, value in library.get_vocab().items()}
+
+
+@lru_cache(maxsize=2)
+def token_array(path: str) -> pa.Array:
+    """Token at the place of every id; null at a number that is no id."""
+    by_id = token_texts(path)
+    return pa.array([by_id.get(number) for number in range(max(by_id) + 1)], pa.large_string())
+
+
+def id_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_IDS) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the lists of a column have about ``limit`` values at most; a longer one stands alone."""
+    for batch in batches:
+        start = held = 0
+        for row, length in enumerate(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_pylist()):
+            if held and held + length > limit:
+                yield batch.slice(start, row - start)
+                start, held = row, 0
+            held += length
+        if batch.num_rows:
+            yield batch.slice(start)
 
 
 @lru_cache(maxsize=2)
@@ -123,15 +148,16 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     As the library does for a file without a decoder: tokens with spaces between.
     """
     encoded = without(encoded, text)
-    ids_at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = token_texts(path).__getitem__
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                found = [" ".join(map(token, value or [])) for value in part.column(ids_at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], [*names, text])
+        tokens = token_array(path)
+        for part in id_slices(batches, ids):
+            lists = part.column(ids)
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
+            held = pa.LargeListArray.from_arrays(ends, tokens.take(pc.list_flatten(lists)))
+            found = pc.binary_join(held, pa.scalar(" ", pa.large_string())).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns, found], [*names, text])
 
     names = encoded.columns
     return encoded.mapInArrow(run, _with(encoded.schema, text, T.StringType()))

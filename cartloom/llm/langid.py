@@ -7,7 +7,7 @@ the states start anew at every word, equal words give equal sums and are compute
 and a sequence is bounded: words over ``SEGMENT`` bytes are read in segments.
 
 The network is trained here in numpy, by backpropagation through time, on the words of a hashed
-sample of about ``SAMPLE`` labelled documents per language, the first ``SAMPLE_BYTES`` bytes of each.
+sample of about ``SAMPLE`` labelled documents per language, ``SAMPLE_CHARS`` characters of each.
 
 Defined results: ``und`` with score 0 for null texts and texts without a letter; long texts are read
 whole; equal texts give equal answers; ties go to the language first in code point order; without
@@ -29,7 +29,8 @@ from cartloom.llm.shared import as_text, slices, without
 
 UNKNOWN = "und"
 SAMPLE = 150
-SAMPLE_BYTES = 2_000
+#: Characters of a sampled document that are learned from, at a place that its number draws.
+SAMPLE_CHARS = 2_000
 #: Drawn words per language. Above so many languages steps grow with their number, and draws, memo
 #: and batches shrink with it.
 DRAWN = 20_000
@@ -40,6 +41,7 @@ STEPS = 700
 BATCH = 512
 #: Distinct words whose sums a Python worker keeps.
 MEMO = 300_000
+# A superset of letters that is quick to find: numerals like a half are in it too.
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -128,7 +130,7 @@ class Network:
     def word_sums(self, words: list[bytes]) -> np.ndarray:
         """Sum of the byte probabilities of every word."""
         out = np.zeros((len(words), len(self.languages)), np.float32)
-        parts = [(k, word[at : at + SEGMENT]) for k, word in enumerate(words) for at in range(0, len(word), SEGMENT)]
+        parts = [(k, part) for k, word in enumerate(words) for part in segments(word)]
         parts.sort(key=lambda part: -len(part[1]))
         size = max(1, 4 * BATCH * MANY // max(MANY, len(self.languages)))
         for start in range(0, len(parts), size):
@@ -184,6 +186,24 @@ def text_words(text: bytes) -> list[bytes]:
     return [b" " + word for word in text.lower().split()]
 
 
+def segments(word: bytes) -> list[bytes]:
+    """A word in parts of at most ``SEGMENT`` bytes, cut before whole characters where it is UTF-8."""
+    parts, start = [], 0
+    while len(word) - start > SEGMENT:
+        end = start + SEGMENT
+        while end > start + SEGMENT - 4 and word[end] & 0xC0 == 0x80:
+            end -= 1
+        parts.append(word[start:end])
+        start = end
+    return [*parts, word[start:]]
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, _LETTER.findall(text[:64]))) or any(
+        found[0].isalpha() for found in _LETTER.finditer(text)
+    )
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -201,8 +221,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
         return None
     # A constant, one lookup per row at any number of languages.
     step = F.element_at(F.create_map(*[F.lit(value) for pair in steps.items() for value in pair]), F.col("lang"))
-    chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), step) == 0
-    rows = labelled.where(chosen).select("doc_id", "lang", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    # Row by row: a doc_id that many rows share does not bring them all.
+    chosen = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), step) == 0
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
+    part = F.substring("text", 1 + F.pmod(F.xxhash64("doc_id"), spare + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    rows = labelled.where(chosen).select("doc_id", "lang", part.alias("text"))
     texts: dict[str, list[str]] = {lang: [] for lang in sorted(steps)}
     for lang, _, text in sorted((row["lang"], row["doc_id"], row["text"]) for row in rows.collect()):
         texts[lang].append(text)
@@ -211,7 +234,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     words: list[bytes] = []
     targets: list[int] = []
     for number, lang in enumerate(languages):
-        own = [word[:SEGMENT] for text in texts[lang] for word in text_words(text.encode())]
+        own = [part for text in texts[lang] for word in text_words(text.encode()) for part in segments(word)]
         # Languages count alike, whatever their number of words in the sample.
         own = [own[k] for k in np.random.default_rng(number).integers(0, len(own), drawn)] if own else []
         words += own
@@ -278,7 +301,7 @@ def identify(
             texts = as_text(batch.column("text"))
             means = sums.pooled([text.encode() for text in texts])
             best = means.argmax(1)
-            known = np.array([bool(_LETTER.search(text)) for text in texts])
+            known = np.array([has_letter(text) for text in texts])
             labels = [network.languages[k] if ok else UNKNOWN for k, ok in zip(best, known)]
             scores = np.where(known, means[np.arange(len(best)), best], 0.0)
             yield pa.RecordBatch.from_arrays(

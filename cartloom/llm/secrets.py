@@ -5,7 +5,7 @@ first-order Markov models over characters, one of random strings and one of ordi
 give it a log-likelihood ratio; it is a secret if that reaches ``RATIO`` in all and ``PER_STEP`` per
 step. Both models are counted from labelled samples: random are the values that the fixed patterns
 found and encoded digests (made from the same rows); ordinary are the words of documents in which the
-patterns found nothing. The sample is a hashed one of about ``SAMPLE`` documents at most.
+patterns found nothing. All documents are counted, before anything is shuffled.
 
 Positions are code points, end exclusive. Defined results: null and empty texts have no span; long
 texts are scanned whole; equal rows give equal spans; without any sample the models are equal and
@@ -18,7 +18,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cartloom.llm.shared import free_names, hashed_sample, without
+from cartloom.llm.shared import free_names, without
 
 # Kinds in their order, pattern, group that is measured, least length of it.
 KINDS = (
@@ -37,8 +37,6 @@ MARKOV = "markov"
 LEAST = 16
 _RUN = r"[A-Za-z0-9+/_=-]+"
 _LONG_RUN = r"[A-Za-z0-9+/_=-]{16}"
-#: Documents of the sample that the models are counted from.
-SAMPLE = 3_000
 RATIO = 10.0
 PER_STEP = 0.5
 #: Added to the count of every character of a model.
@@ -85,13 +83,25 @@ def base_spans(text: Column) -> Column:
 
 
 def candidate_spans(text: Column, base: Column) -> Column:
-    """Long runs that touch no base span."""
+    """Long runs, and what base spans leave of them: every rest of ``LEAST`` or more."""
     runs = F.when(text.rlike(_LONG_RUN), matches(text, f"({_RUN})", 1, LEAST, len(KINDS)))
 
-    def free(run: Column) -> Column:
-        return ~F.exists(base, lambda span: (span["start"] < run["end"]) & (run["start"] < span["end"]))
+    def rests(run: Column) -> Column:
+        # Base spans come by their start; what lies between the end of all before and the next start is a rest.
+        inside = F.filter(base, lambda span: (span["start"] < run["end"]) & (run["start"] < span["end"]))
+        start = F.struct(run["start"].alias("at"), F.array().cast(SPAN).alias("spans"))
 
-    return F.filter(F.coalesce(runs, F.array().cast(SPAN)), free)
+        def part(first: Column, end: Column) -> Column:
+            own = F.struct(first.alias("start"), run["kind"].alias("kind"), end.alias("end"))
+            return F.when(end - first >= LEAST, F.array(own)).otherwise(F.array().cast(SPAN))
+
+        def cut(state: Column, span: Column) -> Column:
+            spans = F.concat(state["spans"], part(state["at"], span["start"]))
+            return F.struct(F.greatest(state["at"], span["end"]).alias("at"), spans.alias("spans"))
+
+        return F.aggregate(inside, start, cut, lambda state: F.concat(state["spans"], part(state["at"], run["end"])))
+
+    return F.flatten(F.transform(F.coalesce(runs, F.array().cast(SPAN)), rests))
 
 
 def _pairs(strings: DataFrame) -> DataFrame:
@@ -101,15 +111,20 @@ def _pairs(strings: DataFrame) -> DataFrame:
     return pairs.groupBy("random", F.expr("substring(value, at, 2)").alias("pair")).count()
 
 
-def sample_strings(docs: DataFrame, bound: int = SAMPLE) -> DataFrame:
-    """Labelled strings (value, random) of a hashed sample of about ``bound`` documents at most."""
+def _as_long_as(least: int):
+    return lambda value: F.length(value) >= least
+
+
+def labelled_strings(docs: DataFrame) -> DataFrame:
+    """Labelled strings (value, random) of all documents."""
     any_hint = F.lit(False)
     values = F.array().cast("array<string>")
     for (_, pattern, group, least), hint in zip(KINDS, _HINTS):
         any_hint = any_hint | F.col("text").rlike(hint)
         found = F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
-        values = F.concat(values, F.filter(found, lambda v, n=least: F.length(v) >= n))
-    texts = hashed_sample(docs.select("doc_id", "text"), "doc_id", bound).where(F.col("text").isNotNull())
+        # Not as a default of the function: Spark would take a second parameter for the position.
+        values = F.concat(values, F.filter(found, _as_long_as(least)))
+    texts = docs.select("text").where(F.col("text").isNotNull())
     digest = F.unhex(F.sha2("text", 256))
     made = F.array(F.base64(digest), F.upper(F.sha2("text", 256)), F.sha1("text"))
     words = F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))
@@ -213,7 +228,7 @@ def redact(docs: DataFrame, table: list[float], mark: str = "<secret>") -> DataF
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: counts per kind, digest of the base spans, all spans."""
-    scanned = scan(docs.select("doc_id", "text"), train(sample_strings(docs)))
+    scanned = scan(docs.select("doc_id", "text"), train(labelled_strings(docs)))
 
     def of(kind: int) -> Column:
         return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long")

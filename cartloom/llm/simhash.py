@@ -6,14 +6,14 @@ within ``budget`` bits of each other have, among ``parts`` groups of bits, one g
 nodes go down together, their differing bits add up, and a pair ends when it exceeds the smaller
 budget within the group or the whole one below it. Every linked pair is found by one of the tries.
 
-The pipeline's stage takes close fingerprints as candidates only and links texts by the exact Jaccard
-of their sets of shingles (``deduplicated``).
+The pipeline's stage takes close fingerprints as hints only: texts connected by them are a family, and
+within a family texts are linked by the exact Jaccard of their sets of shingles (``deduplicated``).
 
 The trie is the sorted list of distinct fingerprints: a node is a range of it. Its top levels
 (as many as bring a node to about ``NODE`` fingerprints) deal the work out: a task gets one top node with its own fingerprints and those of the higher nodes
 whose prefixes fit the budget. Tasks return for each of their classes links to its smallest member
-only, so a dense group of n fingerprints costs n links. Links are joined to classes by repeatedly
-taking the smallest label of the neighbours and of its own label.
+only, so a dense group of n fingerprints costs n links. Links are joined to classes by star rounds
+(``components``).
 
 Defined results: null texts and texts without words have fingerprint zero and are linked like any
 other; shorter texts have one shingle, the whole sequence; rows of equal text share a class; a null
@@ -27,9 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from cartloom.llm.components import components as classes
 from cartloom.llm.shared import as_bytes, free_names, slices, stored
 
 SHINGLE = 4
@@ -40,8 +42,8 @@ SEED = 42
 #: Node pairs that a task expands at a time, and leaf pairs that a node pair may have to be compared at once.
 FRONT = 200_000
 SMALL = 16
-#: Rounds that compare the rest of each group of close fingerprints with one member of it.
-ROUNDS = 3
+#: Shingles of the texts that a task compares with one another, or of each of two blocks of a larger family.
+BLOCK = 1 << 20
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -129,32 +131,6 @@ class _Sets:
                 self.label = shorter
 
 
-class _Pairs:
-    """Pairs of items that are in different classes and whose numbers of shingles allow a Jaccard of 0.8.
-
-    A pair belongs to the first trie whose group (``masks``, the last one is this trie's) has at most
-    ``inner`` bits of difference. The classes stay as they are.
-    """
-
-    def __init__(self, label: np.ndarray, counts: np.ndarray, values: np.ndarray, masks: list[np.uint64], inner: int):
-        self.label, self.counts, self.values, self.masks, self.inner = label, counts, values, masks, inner
-        self.found: list[np.ndarray] = []
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        few, many = np.minimum(self.counts[a], self.counts[b]), np.maximum(self.counts[a], self.counts[b])
-        use = (self.label[a] != self.label[b]) & (5 * few >= 4 * many)
-        a, b = a[use], b[use]
-        for number, mask in enumerate(self.masks, 1):
-            near = np.bitwise_count((self.values[a] ^ self.values[b]) & mask) <= self.inner
-            use = near if number == len(self.masks) else ~near
-            a, b = a[use], b[use]
-        if len(a):
-            self.found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
-
-    def pairs(self) -> np.ndarray:
-        return np.unique(np.concatenate([np.zeros((2, 0), np.int64), *self.found], 1), axis=1)
-
-
 def trie_links(
     values: np.ndarray,
     tails: np.ndarray,
@@ -164,7 +140,6 @@ def trie_links(
     budget: int,
     whole: int,
     start: int,
-    sets: _Sets | _Pairs | None = None,
 ) -> np.ndarray:
     """Class label per item after joining own items with one another and with guests.
 
@@ -172,10 +147,10 @@ def trie_links(
     whether an item belongs to this node. ``top``: bits of the group, ``inner``: budget in them;
     ``whole``: budget of fingerprint and further bits together; ``start``: levels that all own
     items share. A node is a range of the sorted items; guests and own items are never in one node
-    at level ``start``, as guests have other prefixes. ``sets`` takes the links.
+    at level ``start``, as guests have other prefixes.
     """
     size = len(values)
-    sets = sets or _Sets(size)
+    sets = _Sets(size)
     edges = np.nonzero(np.diff(values >> np.uint64(64 - start)))[0] + 1 if start else np.array([], int)
     lows = np.concatenate([[0], edges]).astype(np.int64)
     highs = np.concatenate([edges, [size]]).astype(np.int64)
@@ -262,11 +237,19 @@ def near_prefixes(levels: int, inner: int) -> list[int]:
 
 
 def links(
-    distinct: DataFrame, budget: int = BUDGET, parts: int = 2, whole: int = 64, levels: int | None = None
+    distinct: DataFrame,
+    budget: int = BUDGET,
+    parts: int = 2,
+    whole: int = 64,
+    levels: int | None = None,
+    inner: int | None = None,
 ) -> DataFrame:
     """(key, root): fingerprints (fp, tail) linked within both budgets, named by their hex digits,
-    each with a member of its class in some task."""
-    inner = budget // parts
+    each with a member of its class in some task.
+
+    ``inner``: budget within one of the groups; as it is, no link can be without such a group.
+    """
+    inner = budget // parts if inner is None else inner
     dealt, bounds, levels = _dealt(distinct, parts, inner, levels)
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
@@ -294,9 +277,9 @@ def links(
 
 
 def _dealt(
-    distinct: DataFrame, parts: int, inner: int, levels: int | None = None, more: tuple[str, ...] = ()
+    distinct: DataFrame, parts: int, inner: int, levels: int | None = None
 ) -> tuple[DataFrame, list[int], int]:
-    """Rows of trie, task, fp, tail, own and ``more``; first bits of the groups; levels above a task's node."""
+    """Rows of trie, task, fp, tail and own; first bits of the groups; levels above a task's node."""
     bounds = [round(64 * part / parts) for part in range(parts + 1)]
     if levels is None:
         levels = max(4, math.ceil(math.log2(max(1, distinct.count()) / NODE)))
@@ -308,7 +291,7 @@ def _dealt(
         turned = F.col("fp") if not by else F.shiftleft("fp", by).bitwiseOR(F.shiftrightunsigned("fp", 64 - by))
         node = F.shiftrightunsigned(turned, 64 - levels).cast("int")
         tries.append(F.struct(F.lit(number).alias("trie"), node.alias("node")))
-    homes = distinct.select("fp", "tail", *more, F.inline(F.array(*tries)))
+    homes = distinct.select("fp", "tail", F.inline(F.array(*tries)))
     # To its own node, and to every lower node whose prefix fits: each pair of nodes meets once.
     targets = F.filter(
         F.transform(F.array(*map(F.lit, masks)), lambda mask: F.col("node").bitwiseXOR(mask)),
@@ -316,62 +299,7 @@ def _dealt(
     )
     dealt = homes.withColumn("task", F.explode(targets))
     own = (F.col("task") == F.col("node")).alias("own")
-    return dealt.select("trie", "task", "fp", "tail", *more, own), bounds, levels
-
-
-def candidates(items: DataFrame, budget: int, parts: int, inner: int, whole: int) -> DataFrame:
-    """(a, b): keys of items (fp, tail, shape, shingles, class) of different classes that are within
-    ``whole`` of 128 and ``budget`` of 64 bits, and within ``inner`` bits in one of the groups."""
-    dealt, bounds, levels = _dealt(items, parts, inner, None, ("shape", "shingles", "class"))
-
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        number = key[0].as_py()
-        columns = [group.column(name).to_numpy() for name in ("fp", "tail", "shape", "shingles", "class", "own")]
-        columns[:3] = [column.view(np.uint64) for column in columns[:3]]
-        by = bounds[number]
-        order = np.lexsort((columns[2], columns[1], _rotated(columns[0], by)))
-        fps, tails, shapes, counts, label, own = (column[order] for column in columns)
-        masks = [np.uint64(((1 << end - start) - 1) << 64 - end) for start, end in zip(bounds, bounds[1 : number + 2])]
-        pairs = _Pairs(np.unique(label, return_inverse=True)[1], counts, fps, masks, inner)
-        if own.any() and len(fps) > 1:
-            bits = bounds[number + 1] - by
-            trie_links(_rotated(fps, by), tails, own, bits, inner, budget, whole, levels, pairs)
-
-        def named(at: np.ndarray) -> pa.Array:
-            rows = zip(fps[at].tolist(), tails[at].tolist(), shapes[at].tolist())
-            return pa.array([f"{fp:016x}{tail:016x}{shape:016x}" for fp, tail, shape in rows], pa.string())
-
-        a, b = pairs.pairs()
-        return pa.Table.from_arrays([named(a), named(b)], ["a", "b"])
-
-    return dealt.groupBy("trie", "task").applyInArrow(run, "a string, b string")
-
-
-
-# --- classes from links
-
-
-def classes(edges: DataFrame) -> DataFrame:
-    """(key, root) for every key with a link but each class's smallest, which is its root.
-
-    Each round joins every node's larger neighbours to its smallest one (large star), then its
-    smaller ones (small star), and writes its result to the shared folder. Rounds grow with the
-    logarithm of a chain's length.
-    """
-    edges = edges.select(F.greatest("key", "root").alias("a"), F.least("key", "root").alias("b"))
-    edges = stored(edges.distinct(), "links")
-    before = None
-    while True:
-        both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = stored(small.unionAll(down.select("a", F.col("m").alias("b"))).distinct(), "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("a").alias("key"), F.col("b").alias("root"))
-        before = now
+    return dealt.select("trie", "task", "fp", "tail", own), bounds, levels
 
 
 def near_duplicates(
@@ -438,52 +366,89 @@ def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("key", "text").mapInArrow(run, "key string, hashes array<long>")
 
 
-def resembling(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have a Jaccard of 0.8 or more; ``texts``: (key, text).
+def _alike(values: np.ndarray, ends: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Labels of sets of shingles (``values`` cut at ``ends``) linked by a Jaccard of 0.8 or more.
 
-    ``a`` may be a key of very many pairs: it is joined first, while rows are small.
+    Sets of different sides are compared where there are two sides, else all. What a set shares with
+    all others is counted at once, from lists of the sets that hold each of its shingles; sets that
+    are in one class already are not told apart again.
     """
-    wanted = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = stored(_shingle_sets(texts.join(wanted, "key"), size), "shingles")
-    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("left")), "a")
-    both = both.join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("right")), "b")
-    common = F.size(F.array_intersect("left", "right"))
-    # In whole numbers: common / (left + right - common) >= 4 / 5.
-    return both.where(9 * common >= 4 * (F.size("left") + F.size("right"))).select("a", "b")
+    count = len(ends) - 1
+    owner, sizes = np.repeat(np.arange(count), np.diff(ends)), np.diff(ends)
+    sets, both = _Sets(count), side.min() != side.max()
+    order = np.argsort(values, kind="stable")
+    held = values[order]
+    starts = np.concatenate([[0], np.nonzero(np.diff(held))[0] + 1]) if len(held) else np.zeros(0, np.int64)
+    stops = np.append(starts[1:], len(held))
+    rank = np.empty(len(held), np.int64)
+    rank[order] = np.repeat(np.arange(len(starts)), stops - starts)
+    holders = owner[order]
+    for own in range(count):
+        lists = rank[ends[own] : ends[own + 1]]
+        lists = lists[stops[lists] - starts[lists] > 1]
+        if not len(lists):
+            continue
+        found = np.concatenate([holders[a:b] for a, b in zip(starts[lists].tolist(), stops[lists].tolist())])
+        common = np.bincount(found, minlength=count)
+        # In whole numbers: common / (left + right - common) >= 4 / 5.
+        near = (9 * common >= 4 * (sizes + sizes[own])) & (sets.label != sets.label[own])
+        if both:
+            near &= side != side[own]
+        others = np.nonzero(near)[0]
+        sets.link(np.full(len(others), own), others)
+    return sets.label
 
 
-def _pivots(items: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """Verified links (key, root) of items with a member of their group of close fingerprints.
+def verified(families: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(key, root): links of Jaccard 0.8 or more between members of a family; ``families``: (key, root, shingles).
 
-    They spare the trie the pairs within dense groups, which grow with the square of their size;
-    what they leave out is found there.
+    Small families share tasks. A family of more than ``block`` shingles is cut into blocks, and every
+    pair of them is a task; each returns links to the smallest member of its classes only.
     """
-    pair = F.substring("key", 1, 32)
-    roots = classes(links(items.select("fp", "tail").distinct(), BUDGET, 2, 12))
-    roots = roots.unionAll(roots.select(F.col("root").alias("key"), "root").distinct())
-    roots = roots.select(F.col("key").alias("pair"), "root")
-    rest = items.select("key", "shingles", pair.alias("pair")).join(roots, "pair", "left")
-    rest = stored(rest.select("key", "shingles", F.coalesce("root", "pair").alias("near")), "groups")
-    linked = None
-    for _ in range(ROUNDS):
-        middle = rest.groupBy("near").agg(F.min(F.struct("key", "shingles")).alias("pivot"), F.count(F.lit(1)).alias("n"))
-        middle = middle.where("n > 1").select("near", F.col("pivot.key").alias("a"), F.col("pivot.shingles").alias("own"))
-        pairs = rest.join(middle, "near").where("key <> a")
-        pairs = stored(pairs.select("a", F.col("key").alias("b"), "shingles", "own", "near"), "pivots")
-        fit = pairs.where("5 * least(shingles, own) >= 4 * greatest(shingles, own)").select("a", "b")
-        found = stored(resembling(fit, texts, size), "verified")
-        linked = found if linked is None else linked.unionAll(found)
-        rest = pairs.join(found.select("b"), "b", "left_anti").select(F.col("b").alias("key"), "shingles", "near")
-        rest = stored(rest, "groups")
-        if not found.limit(1).count():
-            break
-    return linked.select(F.col("b").alias("key"), F.col("a").alias("root"))
-
-
-def _with_class(items: DataFrame, edges: DataFrame) -> DataFrame:
-    """Items with the key of their class's root."""
+    sizes = families.groupBy("root").agg(F.greatest(F.sum("shingles"), F.lit(1)).alias("all"))
+    sizes = stored(sizes.withColumn("blocks", F.ceil(F.col("all") / block)), "sizes")
+    tasks = sizes.where("blocks = 1").agg(F.coalesce(F.ceil(F.sum("all") / block), F.lit(1))).first()[0]
+    place = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(tasks)))
+    alone = F.when(F.col("blocks") > 1, F.col("root"))
+    dealt = families.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "key",
+        "root",
+        "own",
+        place.alias("place"),
+        alone.alias("alone"),
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+    ).join(sets, "key")
+    dealt = dealt.select("key", "root", "own", "hashes", "place", "alone", "low", "high")
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        out: list[tuple[str, str]] = []
+        group = group.combine_chunks()
+        names, roots = group.column("key").to_pylist(), np.array(group.column("root").to_pylist(), object)
+        order = np.argsort(roots, kind="stable")
+        cuts = np.nonzero(roots[order][1:] != roots[order][:-1])[0] + 1
+        hashes = group.column("hashes").chunk(0) if group.num_rows else None
+        side = group.column("own").to_numpy()
+        for rows in np.split(order, cuts):
+            if len(rows) < 2:
+                continue
+            held = hashes.take(pa.array(rows))
+            values = held.flatten().to_numpy(zero_copy_only=False)
+            label = _alike(values, np.concatenate([[0], np.cumsum(pc.list_value_length(held).to_numpy())]), side[rows])
+            for at in np.nonzero(label != np.arange(len(label)))[0].tolist():
+                out.append((names[rows[at]], names[rows[label[at]]]))
+        columns = list(zip(*out)) or [[], []]
+        return pa.Table.from_arrays([pa.array(column, pa.string()) for column in columns], ["key", "root"])
+
+    return dealt.groupBy("place", "alone", "low", "high").applyInArrow(run, "key string, root string")
+
+
+def _with_roots(edges: DataFrame) -> DataFrame:
+    """(key, root) of all keys with a link, roots among them."""
     roots = classes(edges)
-    return items.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return stored(roots.unionAll(roots.select(F.col("root").alias("key"), "root").distinct()), "roots")
 
 
 def deduplicated(
@@ -492,11 +457,14 @@ def deduplicated(
     """The row with the smallest doc_id of every class, then by the hash of its text; columns as in ``docs``.
 
     A class is a connected component of texts whose sets of ``size``-word shingles have a Jaccard of
-    0.8 or more. Fingerprints only name the pairs that are compared: those within ``whole`` of 128
-    bits, ``budget`` of the first 64 and ``inner`` of one group of these. A resemblance of 0.8 stands
-    for 19 bits (the angle's cosine c gives c / (2 - c)), with an error of four.
-
-    Rows that repeat a doc_id count one by one; rows without doc_id all stay.
+    0.8 or more. Fingerprints only name the families within which texts are compared: those connected
+    by steps within ``whole`` of 128 bits, ``budget`` of the first 64 and ``inner`` of one group of
+    these. A resemblance of 0.8 stands for 19 bits (the angle's cosine c gives c / (2 - c)), with an
+    error of four.
+
+    Rows that repeat a doc_id count one by one; rows without doc_id are members like others, after
+    those with one. Nulls and texts without words are one class; a long text is one set; ties go by
+    the hash of the text, then by place; an empty table gives no rows; clashing names stay.
     """
     row, hashed, *names = free_names(docs, "row", "hash", "fp", "tail", "shape", "shingles")
     marked = stored(_marked(docs, size, row, hashed, names), "marked")
@@ -505,15 +473,21 @@ def deduplicated(
     key = F.lower(F.concat(*[F.lpad(F.hex(name), 16, "0") for name in ("fp", "tail", "shape")])).alias("key")
     items = slim.groupBy("fp", "tail", "shape", "shingles").agg(F.min("row").alias("row"))
     items = stored(items.select("*", key), "items")
-    texts = marked.select(F.col(row).alias("row"), "text").join(items.select("key", "row"), "row").select("key", "text")
-    edges = stored(_pivots(items, texts, size), "verified")
-    known = stored(_with_class(items, edges).withColumn("class", F.xxhash64("root")), "known")
-    pairs = stored(candidates(known, budget, parts, inner, whole), "candidates")
-    more = resembling(pairs, texts, size).select(F.col("a").alias("key"), F.col("b").alias("root"))
-    classed = _with_class(items, stored(edges.unionAll(more), "verified")).select("fp", "tail", "shape", "root")
-    near = slim.where(F.col("doc_id").isNotNull()).join(classed, ["fp", "tail", "shape"])
-    kept = near.groupBy("root").agg(F.min(F.struct("doc_id", "hash", "row")).alias("least"))
-    kept = kept.select(F.col("least.row").alias(row))
+    pair = F.substring("key", 1, 32)
+    near = _with_roots(links(items.select("fp", "tail").distinct(), budget, parts, whole, inner=inner))
+    near = near.select(F.col("key").alias("pair"), "root")
+    # Texts of equal fingerprints are a family too, where nothing else is near.
+    families = items.select("key", "row", "shingles", pair.alias("pair")).join(near, "pair", "left")
+    families = families.select("key", "row", "shingles", F.coalesce("root", "pair").alias("root"))
+    several = families.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
+    families = stored(families.join(several, "root"), "families")
+    texts = marked.select(F.col(row).alias("row"), "text").join(families.select("key", "row"), "row")
+    sets = stored(_shingle_sets(texts, size), "shingles")
+    linked = _with_roots(stored(verified(families.select("key", "root", "shingles"), sets), "verified"))
+    named = items.select("fp", "tail", "shape", "key").join(linked, "key", "left")
+    named = named.select("fp", "tail", "shape", F.coalesce("root", "key").alias("root"))
+    found = slim.join(named, ["fp", "tail", "shape"])
+    first = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "hash", "row")
+    kept = found.groupBy("root").agg(F.min(first).alias("least")).select(F.col("least.row").alias(row))
     columns = [F.col(f"`{column}`") for column in docs.columns]
-    found = marked.join(kept, row, "left_semi").select(*columns)
-    return found.unionAll(marked.where(F.col("doc_id").isNull()).select(*columns))
+    return marked.join(kept, row, "left_semi").select(*columns)

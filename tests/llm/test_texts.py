@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -351,3 +352,53 @@ def test_every_label_is_an_output(spark, monkeypatch):
     network = langid.train(spark.createDataFrame(rows, schema))
     assert network.languages == [f"l{n:02}" for n in range(70)]
     assert network.word_sums([b" alpha1", b" beta69"]).shape == (2, 70)
+
+
+# --- letters, segments and decoding in parts
+
+
+def test_letters_and_numerals():
+    for text in ("½ ² ①", "Ⅷ ३ 12", "", "... !", "\u2153 " * 40):
+        assert not langid.has_letter(text), text
+    for text in ("½ é", "日", "① " * 50 + "x", "ª"):
+        assert langid.has_letter(text), text
+
+
+def test_numerals_are_no_language(spark):
+    rows = [(n, text, lang) for n, (text, lang) in enumerate([("the house and the tree", "en"), ("das haus und der baum", "de")] * 6)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = langid.Network(["de", "en"])
+    docs = spark.createDataFrame([(1, "½ ² ①"), (2, "Ⅷ"), (3, "the ½")], "doc_id long, text string")
+    found = {row["doc_id"]: (row["lang_pred"], row["score"]) for row in langid.identify(docs, network).collect()}
+    assert found[1] == found[2] == ("und", 0.0) and found[3][0] in ("de", "en")
+    assert train.count() == 12
+
+
+def test_segments_are_whole_characters():
+    for word in (" 日本語の長い単語" * 9, "x" * 100, " é" * 40, "🙂" * 30, "", "a"):
+        parts = langid.segments(word.encode())
+        assert b"".join(parts) == word.encode() and all(len(part) <= langid.SEGMENT for part in parts)
+        assert "".join(part.decode() for part in parts) == word
+
+
+def test_segments_of_broken_bytes():
+    assert b"".join(langid.segments(b"\x80" * 100)) == b"\x80" * 100
+
+
+@pytest.mark.parametrize("limit", [1, 3, 1000])
+def test_slices_of_ids(limit):
+    lists = [[1, 2], None, [], [3] * 5, [4], [5, 6, 7]]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["ids"])
+    parts = [part.column("ids").to_pylist() for part in bpe.id_slices(iter([batch]), "ids", limit)]
+    assert [value for part in parts for value in part] == lists
+    assert all(sum(len(v or []) for v in part) <= max(limit, 5) for part in parts)
+
+
+def test_a_file_with_a_decoder_is_refused(tmp_path):
+    from tokenizers import Tokenizer, decoders, models
+
+    tokenizer = Tokenizer(models.BPE({"a": 0, "b": 1}, []))
+    tokenizer.decoder = decoders.BPEDecoder()
+    tokenizer.save(str(tmp_path / "file.json"))
+    with pytest.raises(ValueError, match="decoder"):
+        bpe.token_texts(str(tmp_path / "file.json"))
