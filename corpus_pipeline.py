@@ -12,20 +12,22 @@ from cartloom.llm import bpe, langid, mixing, secrets, simhash
 from cartloom.llm.queries import vocabulary
 from cartloom.llm.shared import free_names, stored, table
 
-#: A document whose best language has a smaller mean probability is rejected.
-MIN_SCORE = 0.35
+#: A document is rejected if its best language is not so many times as probable as an even guess.
+LEAST_GAIN = 1.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; ``und`` and doubtful ones go."""
     label, score = free_names(docs, "lang_pred", "score")
-    found = langid.identify(docs, langid.train(docs), label, score)
-    kept = found.where((F.col(label) != langid.UNKNOWN) & (F.col(score) >= MIN_SCORE))
+    network = langid.train(docs)
+    found = langid.identify(docs, network, label, score)
+    least = LEAST_GAIN / len(network.languages) if network and len(network.languages) > 1 else 0.0
+    kept = found.where((F.col(label) != langid.UNKNOWN) & (F.col(score) >= least))
     return kept.drop(label, score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word resemblances of 0.8 or more; SimHash finds the pairs."""
+    """One document of each group linked by five-word resemblances of 0.8 or more; SimHash finds the families."""
     return simhash.deduplicated(docs)
 
 
