@@ -23,7 +23,7 @@ doc_id is never a class's name unless the class has no other; an empty table giv
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -353,17 +353,19 @@ def _marked(docs: DataFrame, size: int, row: str, hashed: str, names: list[str])
     return docs.mapInArrow(run, schema)
 
 
-def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
-    """(key, hashes) of rows of (key, text); hashes in order, each once."""
+def _with_sets(rows: DataFrame, size: int) -> DataFrame:
+    """The rows with ``hashes``, the sorted set of shingles, in place of their text."""
+    names = [name for name in rows.columns if name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=1 << 20):
             sets = [np.unique(shingles(text, size)).view(np.int64) for text in as_bytes(batch.column("text"))]
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), hashes], ["key", "hashes"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), hashes], [*names, "hashes"])
 
-    return rows.select("key", "text").mapInArrow(run, "key string, hashes array<long>")
+    schema = T.StructType([rows.schema[name] for name in names]).add("hashes", T.ArrayType(T.LongType()))
+    return rows.mapInArrow(run, schema)
 
 
 def _alike(values: np.ndarray, ends: np.ndarray, side: np.ndarray) -> np.ndarray:
@@ -399,9 +401,12 @@ def _alike(values: np.ndarray, ends: np.ndarray, side: np.ndarray) -> np.ndarray
     return sets.label
 
 
-def verified(families: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(key, root): links of Jaccard 0.8 or more between members of a family; ``families``: (key, root, shingles).
+def verified(
+    families: DataFrame, with_sets: Callable[[DataFrame], DataFrame], block: int = BLOCK
+) -> DataFrame:
+    """(key, root): links of Jaccard 0.8 or more between members of a family; ``families``: (key, root, shingles, ...).
 
+    ``with_sets`` adds the sets (hashes) to the rows, which know their task by then: sets are moved once.
     Small families share tasks. A family of more than ``block`` shingles is cut into blocks, and every
     pair of them is a task; each returns links to the smallest member of its classes only.
     """
@@ -410,18 +415,14 @@ def verified(families: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFr
     tasks = sizes.where("blocks = 1").agg(F.coalesce(F.ceil(F.sum("all") / block), F.lit(1))).first()[0]
     place = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(tasks)))
     alone = F.when(F.col("blocks") > 1, F.col("root"))
-    dealt = families.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key",
-        "root",
-        "own",
-        place.alias("place"),
-        alone.alias("alone"),
-        F.least("own", "other").alias("low"),
-        F.greatest("own", "other").alias("high"),
-    ).join(sets, "key")
-    dealt = dealt.select("key", "root", "own", "hashes", "place", "alone", "low", "high")
+    placed = families.join(sizes, "root").withColumns(
+        {"own": F.pmod(F.xxhash64("key"), F.col("blocks")), "place": place, "alone": alone}
+    )
+    placed = with_sets(stored(placed.drop("all", "shingles"), "families"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    dealt = placed.select("key", "root", "own", "hashes", "place", "alone", other).select(
+        "*", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    )
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         out: list[tuple[str, str]] = []
@@ -480,10 +481,9 @@ def deduplicated(
     families = items.select("key", "row", "shingles", pair.alias("pair")).join(near, "pair", "left")
     families = families.select("key", "row", "shingles", F.coalesce("root", "pair").alias("root"))
     several = families.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
-    families = stored(families.join(several, "root"), "families")
-    texts = marked.select(F.col(row).alias("row"), "text").join(families.select("key", "row"), "row")
-    sets = stored(_shingle_sets(texts, size), "shingles")
-    linked = _with_roots(stored(verified(families.select("key", "root", "shingles"), sets), "verified"))
+    families = families.join(several, "root")
+    texts = marked.select(F.col(row).alias("row"), "text")
+    linked = _with_roots(stored(verified(families, lambda placed: _with_sets(placed.join(texts, "row"), size)), "verified"))
     named = items.select("fp", "tail", "shape", "key").join(linked, "key", "left")
     named = named.select("fp", "tail", "shape", F.coalesce("root", "key").alias("root"))
     found = slim.join(named, ["fp", "tail", "shape"])

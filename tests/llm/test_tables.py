@@ -524,7 +524,7 @@ def test_families_are_linked_by_all_pairs(spark, block):
     rows += [("e1", "none", 0), ("e2", "none", 0)]
     families = spark.createDataFrame(rows, "key string, root string, shingles long")
     held = spark.createDataFrame(sets + [("e1", []), ("e2", [])], "key string, hashes array<long>")
-    found = simhash.verified(families, held, block)
+    found = simhash.verified(families, lambda placed: placed.join(held, "key"), block)
     assert found.count() <= len(rows) * 30
     names = dict(simhash.classes(found).collect())
     label = plain_classes([set(own) | {root} for (_, own), (_, root, _) in zip(sets, rows)], lambda a, b: (
