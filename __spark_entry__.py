@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cartloom.checks.oracle import ORACLE
+from cartloom.jobs import train_models
 from cartloom.jobs.feature_tables import feature_job
 from cartloom.functions.labels import flag, has_token
 from cartloom.operators import profile
@@ -21,7 +22,7 @@ from cartloom.operators.quantiles import quantile_table
 from cartloom.operators.relational import item_sets
 from cartloom.plans import association, behaviour, explain, exports, features, products, reorder, segmentation
 from cartloom.sources import staging
-from cartloom.sources.config import REORDER_FEATURES
+from cartloom.sources.config import REORDER_FEATURES, FeatureConfig
 from cartloom.sources.readers import load_tables, register_views, sample_users, write_csv_tables
 from cartloom.sources.schema import Tables
 from cartloom.sources.shop import shop_tables
@@ -44,6 +45,9 @@ MIN_ITEMSET_SHARE = 0.00019
 AISLE_SUPPORT = 0.02
 AISLE_CONFIDENCE = 0.3
 K_RANGE = (2, 8)
+# A run by a short feature list and its own support.
+RUN_FEATURES = ("recency", "frequency", "volume", "u_reorder_rate")
+RUN_SUPPORT = 0.0008
 # Inputs of the small models whose optimum SQL can follow.
 LR_FEATURES = ("up_reorder_rate", "u_avg_basket_size", "p_reorder_rate")
 FEW_VALUES = ("u_preferred_dow", "u_preferred_hour", "p_is_organic", "up_order_count")
@@ -61,21 +65,21 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _fact(t: Tables) -> DataFrame:
-    return features.prior_full(t, TOKEN)
+    return features.user_fact(t, TOKEN)
 
 
 def _train_fact(t: Tables) -> DataFrame:
-    """Prior lines of the users of the train set; the restriction is applied to the orders."""
-    own = t.orders.join(features.train_users(t), "user_id", "left_semi")
-    return _fact(replace(t, orders=own))
+    """Prior lines of the users of the train set."""
+    return _fact(t).join(features.train_users(t), "user_id", "left_semi")
 
 
 def _users(t: Tables) -> DataFrame:
-    return features.user_features(_fact(t), RATIO_DEPARTMENTS)
+    return features.user_features(_fact(t), RATIO_DEPARTMENTS, features.kept_by_user(t))
 
 
 def _train_dataset(t: Tables) -> DataFrame:
-    return features.train_dataset_of(t, _fact(t), _train_fact(t), RATIO_DEPARTMENTS)
+    kept = features.kept_by_user(t)
+    return features.train_dataset_of(t, _fact(t), _train_fact(t), RATIO_DEPARTMENTS, kept)
 
 
 def _training(t: Tables) -> DataFrame:
@@ -376,6 +380,33 @@ def _job_train_dataset(t: Tables) -> DataFrame:
     return _rounded(t.orders.sparkSession.read.parquet(_job_paths(t)["train_dataset"]))
 
 
+def _run_report(t: Tables) -> DataFrame:
+    """A run of two tasks with a written feature list, told by the reports that it leaves."""
+    spark = t.orders.sparkSession
+    out = f"{staging.required_folder(spark)}/run-{uuid.uuid4().hex[:12]}"
+    lists = spark.createDataFrame([(list(RUN_FEATURES),)], "segmentation_features array<string>")
+    write_report(lists, f"{out}/config")
+    settings = train_models.Settings(
+        k_max=3,
+        min_support=RUN_SUPPORT,
+        min_confidence=MIN_CONFIDENCE,
+        config=FeatureConfig.from_json(spark, f"{out}/config"),
+    )
+    tasks = ("segmentation", "basket")
+    train_models.run(t, out, tasks, settings, TOKEN, RATIO_DEPARTMENTS)
+    reports = train_models.read_reports(spark, out, tasks)
+    first = F.get("runs", F.lit(0))
+    return reports.select(
+        "task",
+        "skipped",
+        F.array_join("inputs.features", ",").alias("features"),
+        *[f"inputs.{name}" for name in ("users", "baskets", "min_support", "min_confidence")],
+        F.when(F.col("task") == "segmentation", F.array_join("runs.k", ",")).alias("ks"),
+        first["basket_freq_itemsets"].alias("itemsets"),
+        first["basket_association_rules"].alias("rules"),
+    )
+
+
 def _pair_base(t: Tables) -> DataFrame:
     return products.product_pair_base(t, **SEGMENTS)
 
@@ -481,7 +512,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "top_products": lambda t: exports.top_products(t, 500, TOKEN),
     "department_stats": exports.department_stats,
     "products_full": features.products_full,
-    "prior_full": _fact,
+    "prior_full": lambda t: features.prior_full(t, TOKEN),
     "user_features": lambda t: _rounded(_users(t)),
     "product_features": lambda t: _rounded(features.product_features(_fact(t))),
     "user_product_features": lambda t: _rounded(features.user_product_features(_fact(t))),
@@ -518,6 +549,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         t, "rf", numTrees=1, featureSubsetStrategy="all", bootstrap=False
     ),
     "reorder_gbt_steps": lambda t: _splits(t, "gbt", maxIter=2),
+    "run_report": _run_report,
     "case_flags": _case_flags,
     "product_quantiles": _product_quantiles,
 }

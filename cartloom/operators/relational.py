@@ -34,6 +34,7 @@ def modes_per_key(
     values: Mapping[str, str],
     weight: str,
     sums: Sequence[str] = (),
+    dealt: bool = False,
 ) -> DataFrame:
     """Most frequent value per key for several columns of any orderable types.
 
@@ -41,7 +42,7 @@ def modes_per_key(
     unfolded to (column, value) and counted. Of the values that a key has equally often the smallest
     stays, then the one with the highest count; both steps run on rows that are dealt out by key
     already, as plain minima and maxima. Sums per key (``sums``) ride along, so that rows need not
-    be read again for them.
+    be read again for them. ``dealt`` rows come from storage by the key and are not shuffled.
     """
     names = list(values)
 
@@ -60,7 +61,7 @@ def modes_per_key(
         F.sum(weight).alias("n"), *[F.sum(column).alias(f"sum_{column}") for column in sums]
     )
     alike = (
-        counted.repartition(key)
+        (counted if dealt else counted.repartition(key))
         .groupBy(key, "kind", "n")
         .agg(
             *[F.min(slot).alias(slot) for slot in slots],

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartloom.functions.labels import flag, has_token, ratio
 from cartloom.operators.relational import (
     item_sets, latest_per_key, modes_per_key, with_ratios,
 )
 from cartloom.sources.schema import Tables
+from cartloom.sources.staging import remembered
 
 # Departments whose share of a user's items is a feature.
 RATIO_DEPARTMENTS = ("produce", "dairy eggs")
@@ -53,7 +54,42 @@ def prior_full(t: Tables, token: str = "organic") -> DataFrame:
     )
 
 
-def _order_side(fact: DataFrame) -> DataFrame:
+#: So many lines of one user still make a bucket that a task can sort.
+USER_LINES = 4_000_000
+# What the feature tables read of the fact.
+_FACT_COLUMNS = (
+    "user_id", "product_id", "order_id", "order_number", "order_dow", "order_hour_of_day",
+    "days_since_prior_order", "add_to_cart_order", "reordered", "aisle_id", "department_id",
+    "department", "is_organic",
+)
+
+
+def kept_by_user(t: Tables) -> bool:
+    """Whether the fact is kept by user: there is a place for it, and no user holds too many lines.
+
+    Lines are counted per order, where they lie, then per user with partial sums.
+    """
+    if "kept_by_user" not in t.known:
+        lines = t.op_prior.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+        of_user = t.orders.select("order_id", "user_id").join(lines, "order_id").groupBy("user_id").agg(F.sum("n").alias("n"))
+        t.known["kept_by_user"] = "database" in t.known and (
+            of_user.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0] <= USER_LINES
+        )
+    return t.known["kept_by_user"]
+
+
+def user_fact(t: Tables, token: str = "organic") -> DataFrame:
+    """The fact with the columns that feature tables read, stored once by user.
+
+    Groupings by user or by user and product then read it without a shuffle. Where a user holds too
+    many lines for a task, it stays a plan over the lines by order, whose groupings combine first.
+    """
+    if not kept_by_user(t):
+        return prior_full(t, token).select(*_FACT_COLUMNS)
+    return remembered(t, f"fact_{token.encode().hex()}", lambda: prior_full(t, token).select(*_FACT_COLUMNS), "user_id")
+
+
+def _order_side(fact: DataFrame, dealt: bool) -> DataFrame:
     """Per user what follows from the orders: totals, gaps and preferred day and hour.
 
     Lines are added up per order first. Gaps count once per line, so mean and deviation come
@@ -75,6 +111,7 @@ def _order_side(fact: DataFrame) -> DataFrame:
         {"u_preferred_dow": "order_dow", "u_preferred_hour": "order_hour_of_day"},
         "items",
         sums=("orders", "items", "reorder_sum", "gap_sum", "gap_squares"),
+        dealt=dealt,
     )
     spread = F.col("gap_squares") - F.col("gap_sum") * F.col("gap_sum") / items
     deviation = F.sqrt(F.greatest(spread, F.lit(0.0)) / (items - 1))
@@ -90,36 +127,46 @@ def _order_side(fact: DataFrame) -> DataFrame:
     )
 
 
-def _product_side(fact: DataFrame, departments: tuple[str, str]) -> DataFrame:
+def _product_side(fact: DataFrame, departments: tuple[str, str], dealt: bool) -> DataFrame:
     """Per user what follows from the products: distinct counts and shares.
 
-    Rows per (user, product) already are the distinct products.
+    Rows per (user, product) already are the distinct products. Where the fact is stored by user,
+    aisles and departments are two more groupings in place; else they share one shuffle.
     """
     in_department = [flag(F.col("department") == name) for name in departments]
-    return (
-        fact.groupBy("user_id", "product_id", "aisle_id", "department_id", "department", "is_organic")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("user_id")
-        .agg(
-            F.count(F.lit(1)).alias("u_distinct_products"),
-            F.count_distinct("aisle_id").alias("u_unique_aisles"),
-            F.count_distinct("department_id").alias("u_unique_departments"),
-            F.sum(F.col("is_organic") * F.col("n")).alias("organic_sum"),
-            F.sum(in_department[0] * F.col("n")).alias("produce_sum"),
-            F.sum(in_department[1] * F.col("n")).alias("dairy_sum"),
-        )
+    pairs = fact.groupBy("user_id", "product_id", "aisle_id", "department_id", "department", "is_organic").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    products = F.count(F.lit(1)).alias("u_distinct_products")
+    organic = F.sum(F.col("is_organic") * F.col("n")).alias("organic_sum")
+    shares = [
+        F.sum(column * F.col("n")).alias(name)
+        for column, name in zip(in_department, ("produce_sum", "dairy_sum"))
+    ]
+    if not dealt:
+        aisles = F.count_distinct("aisle_id").alias("u_unique_aisles")
+        of_departments = F.count_distinct("department_id").alias("u_unique_departments")
+        return pairs.groupBy("user_id").agg(products, aisles, of_departments, organic, *shares)
+
+    def distinct(column: str, name: str, *sums: Column) -> DataFrame:
+        each = pairs.groupBy("user_id", column).agg(*sums)
+        names = [other for other in each.columns if other not in ("user_id", column)]
+        return each.groupBy("user_id").agg(F.count(column).alias(name), *[F.sum(other).alias(other) for other in names])
+
+    return distinct("aisle_id", "u_unique_aisles", products, organic).join(
+        distinct("department_id", "u_unique_departments", *shares), "user_id"
     )
 
 
 def user_features(
-    fact: DataFrame, departments: tuple[str, str] = RATIO_DEPARTMENTS
+    fact: DataFrame, departments: tuple[str, str] = RATIO_DEPARTMENTS, dealt: bool = False
 ) -> DataFrame:
     """One row per user over the user's prior lines.
 
     Two groupings, per order and per (user, product), replace one with four distinct counts, which
-    would copy each line five times.
+    would copy each line five times. ``dealt``: the fact is stored by user.
     """
-    merged = _order_side(fact).join(_product_side(fact, departments), "user_id")
+    merged = _order_side(fact, dealt).join(_product_side(fact, departments, dealt), "user_id")
     return with_ratios(
         merged,
         {
@@ -227,7 +274,11 @@ def train_dataset(
 
 
 def train_dataset_of(
-    t: Tables, fact: DataFrame, train_fact: DataFrame, departments: tuple[str, str]
+    t: Tables,
+    fact: DataFrame,
+    train_fact: DataFrame,
+    departments: tuple[str, str],
+    dealt: bool = False,
 ) -> DataFrame:
     """The same set straight from the lines, where no feature tables are stored.
 
@@ -236,7 +287,7 @@ def train_dataset_of(
     """
     labelled = _bought(train_fact).join(train_labels(t), ["user_id", "product_id"], "left")
     rated = _with_order_rates(
-        labelled.fillna({"reordered": 0}).join(user_features(train_fact, departments), "user_id")
+        labelled.fillna({"reordered": 0}).join(user_features(train_fact, departments, dealt), "user_id")
     )
     return rated.join(t.per_product(product_features(fact)), "product_id", "left")
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from cartloom.sources.schema import Tables, conform
 
@@ -97,12 +97,15 @@ def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     return min(most, max(-(-input_bytes // BYTES_PER_BUCKET), spark.sparkContext.defaultParallelism))
 
 
-def remembered(tables: Tables, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
-    """A small derived table, written once per input and read by every later plan.
+def remembered(
+    tables: Tables, name: str, plan: Callable[[], DataFrame], key: str | None = None
+) -> DataFrame:
+    """A derived table, written once per input and read by every later plan.
 
     It goes to the database of the staged tables, else to the shared folder. Without a shared
     folder it stays a lazy plan. Every attempt writes to a place of its own and is known only when it is
     whole, so a failed one can be repeated; plans that run at the same time write it once.
+    In a database a ``key`` deals the rows out to buckets, so groupings and joins by it need no shuffle.
     """
     spark = tables.orders.sparkSession
     with _writing:
@@ -110,7 +113,7 @@ def remembered(tables: Tables, name: str, plan: Callable[[], DataFrame]) -> Data
             mark = uuid.uuid4().hex[:12]
             if database := tables.known.get("database"):
                 table = f"{database}.{name.replace('-', '_')}_{mark}"
-                plan().write.format("parquet").saveAsTable(table)
+                _writer(plan(), tables.known["buckets"], key).saveAsTable(table)
                 tables.known[name] = table
             elif folder := shared_folder(spark):
                 df, path = plan(), f"{folder}/{name}-{mark}"
@@ -122,6 +125,13 @@ def remembered(tables: Tables, name: str, plan: Callable[[], DataFrame]) -> Data
     return spark.table(place) if isinstance(place, str) else spark.read.schema(place[1]).parquet(place[0])
 
 
+def _writer(df: DataFrame, buckets: int, key: str | None) -> DataFrameWriter:
+    """A Parquet writer, of buckets by ``key`` if there is one."""
+    if key is None:
+        return df.write.format("parquet")
+    return df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+
+
 @dataclass
 class Store:
     """A database of its own in the shared folder, for one set of basket tables."""
@@ -136,7 +146,8 @@ class Store:
         database = f"cartloom_{uuid.uuid4().hex[:12]}"
         spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/{database}'")
         _made.setdefault(spark.sparkContext.applicationId, []).append(database)
-        return cls(spark, database, bucket_count(spark, input_bytes), {"known": {"database": database}})
+        buckets = bucket_count(spark, input_bytes)
+        return cls(spark, database, buckets, {"known": {"database": database, "buckets": buckets}})
 
     def _saved(self, name: str, writer) -> DataFrame:
         self.where[name] = f"{self.database}.{name}"
@@ -145,15 +156,12 @@ class Store:
 
     def plain(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table as Parquet and return a scan of it."""
-        return self._saved(name, df.write.format("parquet"))
+        return self._saved(name, _writer(df, self.buckets, None))
 
     def by_order(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         """Write a table bucketed by order: later joins and groupings by order need no shuffle."""
-        key = "order_id"
-        writer = df.repartition(self.buckets, key).write.format("parquet")
-        if partition:
-            writer = writer.partitionBy(partition)
-        return self._saved(name, writer.bucketBy(self.buckets, key).sortBy(key))
+        writer = _writer(df, self.buckets, "order_id")
+        return self._saved(name, writer.partitionBy(partition) if partition else writer)
 
 
 def drop_stores(spark: SparkSession) -> None:

@@ -10,6 +10,7 @@ from conftest import ORDERS, as_dicts, make_tables
 
 from cartloom.operators.relational import modes_per_key
 from cartloom.plans import features
+from cartloom.sources.staging import store_tables
 
 
 def keyed(df, *names):
@@ -172,3 +173,28 @@ def test_modes_of_mixed_types_against_counting(spark):
 def test_modes_leave_nulls_out(spark):
     df = spark.createDataFrame([(1, None, 5), (1, 3, 1), (2, None, 1)], "k int, v int, w int")
     assert {r["k"]: r["m"] for r in as_dicts(modes_per_key(df, "k", {"m": "v"}, "w"))} == {1: 3, 2: None}
+
+
+def test_features_from_the_fact_kept_by_user(spark, shop):
+    stored = store_tables(spark, shop, 1)
+    fact = features.user_fact(stored)
+    assert fact is not features.user_fact(stored) and features.kept_by_user(stored)
+    by_user = features.user_features(fact, dealt=True)
+    assert keyed(by_user, "user_id") == keyed(features.user_features(features.prior_full(shop)), "user_id")
+    pairs = features.user_product_features(fact)
+    assert keyed(pairs, "user_id", "product_id") == keyed(
+        features.user_product_features(features.prior_full(shop)), "user_id", "product_id"
+    )
+    for df in (by_user, fact.groupBy("user_id", "product_id").count()):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_user_with_too_many_lines_keeps_the_fact_by_order(spark, shop, monkeypatch):
+    monkeypatch.setattr(features, "USER_LINES", 2)
+    stored = store_tables(spark, shop, 1)
+    fact = features.user_fact(stored)
+    assert not features.kept_by_user(stored) and "fact_" not in str(stored.known)
+    assert keyed(features.user_features(fact), "user_id") == keyed(
+        features.user_features(features.prior_full(shop)), "user_id"
+    )
+    assert not features.kept_by_user(shop)

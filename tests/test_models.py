@@ -8,7 +8,7 @@ from conftest import as_dicts, make_tables
 from cartloom.jobs.feature_tables import FEATURE_TABLES, export_job
 import argparse
 
-from cartloom.jobs.train_models import TASKS, Settings, one_of, run
+from cartloom.jobs.train_models import TASKS, Settings, one_of, read_reports, run
 from cartloom.operators.lookup import names_for
 from cartloom.plans import association, reorder, segmentation
 from cartloom.sources.sinks import validate_outputs
@@ -138,5 +138,9 @@ def test_all_jobs_end_to_end(spark, tmp_path):
     assert all(r["row_count"] for r in found)
     assert spark.read.parquet(f"{out}/features/user_segments").count() == 40
     assert all(spark.read.json(f"{out}/reports/{task}").count() == 1 for task in TASKS)
+    told = {row["task"]: row for row in as_dicts(read_reports(spark, out))}
+    assert [run["k"] for run in told["segmentation"]["runs"]] == [2, 3] and told["segmentation"]["inputs"]["users"] == 40
+    assert [run["model"] for run in told["reorder"]["runs"]] == ["lr", "rf", "gbt"]
+    assert told["basket"]["inputs"]["min_support"] == 0.1 and not any(row["skipped"] for row in told.values())
     paths = export_job(t, f"{out}/exports")
     assert spark.read.option("header", True).csv(paths["top_products"]).count() == 4
