@@ -3,8 +3,13 @@
 Payload digests are grouped (sums before the shuffle, so a payload that a third of all records share
 is no burden), every record learns the original of its payload, and the archives are written with
 fresh headers: ``response`` with the payload, ``revisit`` with the HTTP header alone and a reference
-to the response. Writing and reading go through Spark's own sinks and sources, so any shared file
-system works; an archive is a text file whose records end in two line breaks, packed with gzip.
+to the response. Headers alone are shuffled; the few revisits then go to where the payloads are read,
+unless there are more than may be broadcast, when records are shuffled by page. Writing and reading go
+through Spark's own sinks and sources, so any shared file system works; an archive is a text file
+whose records end in two line breaks, packed with gzip as a whole (the sink knows no other way).
+
+Payloads of like size share archives, so that an archive unpacks to about 64 MB at most; a longer
+payload has one of its own. Columns besides page_id, url and html are not read.
 
 Defined results: a null html is an empty payload; a null url gives no target header, line breaks in
 it are escaped; rows that repeat the smallest page_id of a payload all stay responses; a null page_id
@@ -20,8 +25,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Records per archive file, so that a reader can hold one file.
+from cartloom.llm.shared import stored
+
+#: Bytes that an archive unpacks to, and records in it, at most.
+ARCHIVE_BYTES = 64 << 20
 RECORDS_PER_FILE = 2_000
+#: Payloads up to so many bytes share archives of the most records; every further class is four times as long.
+SHORT_BYTES = ARCHIVE_BYTES // RECORDS_PER_FILE
+#: Revisits that are sent to all tasks, at most; one takes about 200 bytes there.
+BROADCAST_REVISITS = 300_000
 _END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "1970-01-01T00:00:00Z"
@@ -55,27 +67,35 @@ def payloads(pages: DataFrame) -> DataFrame:
     )
 
 
-def resolve_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
+def headers_of(records: DataFrame) -> DataFrame:
+    """Page, length and digest of every record, computed once: grouping and joining start from here."""
+    return stored(records.select("page_id", "payload_bytes", "payload_sha1"), "headers")
+
+
+def resolve_revisits(records: DataFrame, min_bytes: int = 0, headers: DataFrame | None = None) -> DataFrame:
     """Add ``original``: the smallest page_id with the same payload, null for originals.
 
-    Only payloads found more than once take part in the join; headers travel, payloads do not.
+    Only payloads found more than once take part in the join of headers. ``headers`` spares making them again.
     """
-    headers = records.where(F.col("payload_bytes") >= min_bytes)
-    shared = headers.groupBy("payload_sha1", "payload_bytes").agg(
+    found = (headers_of(records) if headers is None else headers).where(F.col("payload_bytes") >= min_bytes)
+    shared = found.groupBy("payload_sha1", "payload_bytes").agg(
         F.min("page_id").alias("original"), F.count(F.lit(1)).alias("copies")
     )
     shared = shared.where(F.col("copies") > 1).drop("copies")
     revisits = (
-        headers.select("page_id", "payload_sha1", "payload_bytes")
-        .join(shared, ["payload_sha1", "payload_bytes"])
+        found.join(shared, ["payload_sha1", "payload_bytes"])
         .where(~F.col("page_id").eqNullSafe(F.col("original")) & F.col("original").isNotNull())
         .select("page_id", "payload_sha1", "original")
         .distinct()
     )
+    revisits = stored(revisits, "revisits")
     keys = (records["page_id"].eqNullSafe(revisits["page_id"])) & (
         records["payload_sha1"] == revisits["payload_sha1"]
     )
-    return records.join(revisits, keys, "left").select(records["*"], revisits["original"])
+    few = revisits.count() <= BROADCAST_REVISITS
+    # Without the hint against it Spark goes by the size of files, which tells little of rows in memory.
+    right = F.broadcast(revisits) if few else revisits.hint("merge")
+    return records.join(right, keys, "left").select(records["*"], revisits["original"])
 
 
 def _id(page: Column) -> Column:
@@ -115,14 +135,36 @@ def record_text(resolved: DataFrame, min_bytes: int = 0) -> DataFrame:
     )
 
 
-def write_archives(resolved: DataFrame, folder: str) -> None:
-    (
-        record_text(resolved)
-        .write.option("lineSep", _END)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
-        .text(folder)
-    )
+def size_class(length: Column) -> Column:
+    """0 for lengths up to ``SHORT_BYTES``, one more for every four times that."""
+    times = F.greatest(length / SHORT_BYTES, F.lit(1.0))
+    return F.ceil(F.log(4.0, times)).cast("int")
+
+
+def records_per_file(number: int) -> int:
+    """So many records of the longest payloads of a class fill an archive; one at least."""
+    return max(1, RECORDS_PER_FILE // 4**number)
+
+
+def write_archives(resolved: DataFrame, folder: str, headers: DataFrame | None = None) -> None:
+    """Write all records, class by class of what they take in an archive: a revisit holds no payload.
+
+    There is a class per four times of length, so a handful, and each is a pass over the records.
+    ``headers`` spares reading the payloads to see which classes there are.
+    """
+    sizes = resolved if headers is None else headers
+    classes = {0} | {row[0] for row in sizes.select(size_class(F.col("payload_bytes"))).distinct().collect()}
+    held = F.when(F.col("original").isNull(), F.col("payload_bytes")).otherwise(F.lit(0))
+    for number in sorted(classes):
+        own = resolved if len(classes) == 1 else resolved.where(size_class(held) == number)
+        (
+            record_text(own)
+            .write.mode("append")
+            .option("lineSep", _END)
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", records_per_file(number))
+            .text(folder)
+        )
 
 
 _LENGTH = re.compile(rb"\r\nContent-Length: (\d+)\r\n")
@@ -189,7 +231,9 @@ def page_of(record_id: Column) -> Column:
 def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     """Write ``pages`` to deduplicated archives in ``folder`` and describe the records read back."""
     spark = pages.sparkSession
-    write_archives(resolve_revisits(payloads(pages)), folder)
+    records = payloads(pages)
+    headers = headers_of(records)
+    write_archives(resolve_revisits(records, headers=headers), folder, headers)
     return read_archives(spark, folder, payload=False).select(
         page_of(F.col("record_id")).alias("page_id"),
         "payload_bytes",

@@ -82,6 +82,28 @@ def test_archives_of_least_size_and_repeats(pages, spark, tmp_path):
     assert warc.archive_pages(pages.where("page_id < 0"), str(tmp_path / "e")).count() == 0
 
 
+def test_archives_hold_few_long_payloads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 16)
+    monkeypatch.setattr(warc, "SHORT_BYTES", 1000)
+    lengths = [0, 10, 900] * 20 + [1001, 3999] * 5 + [4100, 15_000] * 3 + [100_000, 100_000]
+    rows = [(n, f"http://h.example/{n}", f"{n:06}"[:length] + "x" * (length - 6)) for n, length in enumerate(lengths)]
+    rows += [(n + 1000, url, html) for n, url, html in rows[-3:]]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    described = {}
+    for name, most in (("few", 300_000), ("many", 0)):
+        monkeypatch.setattr(warc, "BROADCAST_REVISITS", most)
+        found = warc.archive_pages(pages, str(tmp_path / name)).collect()
+        described[name] = sorted(tuple(row) for row in found)
+        for path in (tmp_path / name).glob("*.gz"):
+            archive = gzip.decompress(path.read_bytes())
+            records = list(warc.parse(archive))
+            long = [block for _, block in records if len(block) > 30_000]
+            assert len(records) <= 16 and len(archive) < 16 * 2000 or len(long) == len(records) == 1
+    assert described["few"] == described["many"] and len(rows) == len(described["few"])
+    revisits = [(row[0], row[4]) for row in described["few"] if row[3] == "revisit" and row[1]]
+    assert revisits == [(1075, 75), (1076, 76), (1077, 77)]
+
+
 # --- reputation
 
 
