@@ -47,7 +47,7 @@ AISLE_CONFIDENCE = 0.3
 K_RANGE = (2, 8)
 # A run by a short feature list and its own support.
 RUN_FEATURES = ("recency", "frequency", "volume", "u_reorder_rate")
-RUN_SUPPORT = 0.0008
+RUN_SUPPORT = 0.01
 # Inputs of the small models whose optimum SQL can follow.
 LR_FEATURES = ("up_reorder_rate", "u_avg_basket_size", "p_reorder_rate")
 FEW_VALUES = ("u_preferred_dow", "u_preferred_hour", "p_is_organic", "up_order_count")
