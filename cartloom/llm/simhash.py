@@ -23,11 +23,10 @@ doc_id is never a class's name unless the class has no other; an empty table giv
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -353,19 +352,10 @@ def _marked(docs: DataFrame, size: int, row: str, hashed: str, names: list[str])
     return docs.mapInArrow(run, schema)
 
 
-def _with_sets(rows: DataFrame, size: int) -> DataFrame:
-    """The rows with ``hashes``, the sorted set of shingles, in place of their text."""
-    names = [name for name in rows.columns if name != "text"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=1 << 20):
-            sets = [np.unique(shingles(text, size)).view(np.int64) for text in as_bytes(batch.column("text"))]
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), hashes], [*names, "hashes"])
-
-    schema = T.StructType([rows.schema[name] for name in names]).add("hashes", T.ArrayType(T.LongType()))
-    return rows.mapInArrow(run, schema)
+def _sets_of(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted sets of shingles of the texts, one behind the other, and where they end (0 first)."""
+    sets = [np.unique(shingles(text, size)) for text in as_bytes(texts)]
+    return np.concatenate([np.zeros(0, np.uint64), *sets]), np.cumsum([0, *map(len, sets)])
 
 
 def _alike(values: np.ndarray, ends: np.ndarray, side: np.ndarray) -> np.ndarray:
@@ -401,13 +391,11 @@ def _alike(values: np.ndarray, ends: np.ndarray, side: np.ndarray) -> np.ndarray
     return sets.label
 
 
-def verified(
-    families: DataFrame, with_sets: Callable[[DataFrame], DataFrame], block: int = BLOCK
-) -> DataFrame:
-    """(key, root): links of Jaccard 0.8 or more between members of a family; ``families``: (key, root, shingles, ...).
+def verified(families: DataFrame, texts: DataFrame, size: int, block: int = BLOCK) -> DataFrame:
+    """(key, root): links of Jaccard 0.8 or more between members of a family.
 
-    ``with_sets`` adds the sets (hashes) to the rows, which know their task by then: sets are moved once.
-    Small families share tasks. A family of more than ``block`` shingles is cut into blocks, and every
+    ``families``: (key, root, shingles, row); ``texts``: (row, text). Tasks are sent texts, which take
+    less room than their sets of ``size``-word shingles, and make the sets. Small families share tasks. A family of more than ``block`` shingles is cut into blocks, and every
     pair of them is a task; each returns links to the smallest member of its classes only.
     """
     sizes = families.groupBy("root").agg(F.greatest(F.sum("shingles"), F.lit(1)).alias("all"))
@@ -418,9 +406,9 @@ def verified(
     placed = families.join(sizes, "root").withColumns(
         {"own": F.pmod(F.xxhash64("key"), F.col("blocks")), "place": place, "alone": alone}
     )
-    placed = with_sets(stored(placed.drop("all", "shingles"), "families"))
+    placed = stored(placed.drop("all", "shingles"), "families").join(texts, "row")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = placed.select("key", "root", "own", "hashes", "place", "alone", other).select(
+    dealt = placed.select("key", "root", "own", "text", "place", "alone", other).select(
         "*", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     )
 
@@ -430,14 +418,12 @@ def verified(
         names, roots = group.column("key").to_pylist(), np.array(group.column("root").to_pylist(), object)
         order = np.argsort(roots, kind="stable")
         cuts = np.nonzero(roots[order][1:] != roots[order][:-1])[0] + 1
-        hashes = group.column("hashes").chunk(0) if group.num_rows else None
+        texts = group.column("text")
         side = group.column("own").to_numpy()
         for rows in np.split(order, cuts):
             if len(rows) < 2:
                 continue
-            held = hashes.take(pa.array(rows))
-            values = held.flatten().to_numpy(zero_copy_only=False)
-            label = _alike(values, np.concatenate([[0], np.cumsum(pc.list_value_length(held).to_numpy())]), side[rows])
+            label = _alike(*_sets_of(texts.take(pa.array(rows)), size), side[rows])
             for at in np.nonzero(label != np.arange(len(label)))[0].tolist():
                 out.append((names[rows[at]], names[rows[label[at]]]))
         columns = list(zip(*out)) or [[], []]
@@ -483,7 +469,7 @@ def deduplicated(
     several = families.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
     families = families.join(several, "root")
     texts = marked.select(F.col(row).alias("row"), "text")
-    linked = _with_roots(stored(verified(families, lambda placed: _with_sets(placed.join(texts, "row"), size)), "verified"))
+    linked = _with_roots(stored(verified(families, texts, size), "verified"))
     named = items.select("fp", "tail", "shape", "key").join(linked, "key", "left")
     named = named.select("fp", "tail", "shape", F.coalesce("root", "key").alias("root"))
     found = slim.join(named, ["fp", "tail", "shape"])

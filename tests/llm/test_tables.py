@@ -544,9 +544,11 @@ def test_families_are_linked_by_all_pairs(spark, block):
             rows.append((f"k{len(rows):03}", f"f{family}", len(own)))
             sets.append((rows[-1][0], own.tolist()))
     rows += [("e1", "none", 0), ("e2", "none", 0)]
-    families = spark.createDataFrame(rows, "key string, root string, shingles long")
-    held = spark.createDataFrame(sets + [("e1", []), ("e2", [])], "key string, hashes array<long>")
-    found = simhash.verified(families, lambda placed: placed.join(held, "key"), block)
+    numbered = [(*row, number) for number, row in enumerate(rows)]
+    families = spark.createDataFrame(numbered, "key string, root string, shingles long, row long")
+    words = [" ".join(map(str, own)) for _, own in sets] + ["", None]
+    texts = spark.createDataFrame(list(enumerate(words)), "row long, text string")
+    found = simhash.verified(families, texts, 1, block)
     assert found.count() <= len(rows) * 30
     names = dict(simhash.classes(found).collect())
     label = plain_classes([set(own) | {root} for (_, own), (_, root, _) in zip(sets, rows)], lambda a, b: (
