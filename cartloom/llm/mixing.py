@@ -22,6 +22,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cartloom.llm.ranks import ranked
 from cartloom.llm.shared import WORD, free_names, stored, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -70,11 +71,26 @@ def mix(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 7
 ) -> DataFrame:
     """doc_id, source, size, text_hash, source_size, target, taken: words of each row in the mix."""
+    placed = _placed(docs, weights, share, most, seed)
+    partly = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
+    taken = (F.col("whole") * F.col("size") + partly).cast("long")
+    return placed.select(
+        "doc_id", "source", "size", "text_hash", "source_size", "target", taken.alias("taken")
+    )
+
+
+def _key(doc_id: Column, seed: int) -> Column:
+    return F.md5(F.concat_ws(":", doc_id.cast("string"), F.lit(str(seed))))
+
+
+def _placed(docs: DataFrame, weights: tuple[float, ...], share: float, most: float, seed: int) -> DataFrame:
+    """Sizes with their key, the words ``before`` them in their source, and what the mix takes of it:
+    ``whole`` epochs and the first ``rest`` words of one more."""
     # Sizes are read several times and small; the texts are scanned once.
     sizes = stored(sized(docs), "mixing-sizes")
     largest = sizes.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     bits = min(32, max(1, math.ceil(math.log2(max(1.0, largest / RANGE_ROWS)))))
-    key = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed))))
+    key = _key(F.col("doc_id"), seed)
     top = F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
     keyed = sizes.withColumns({"key": key, "range": F.shiftright(top, 32 - bits)})
     targets = source_targets(sizes, weights, share, most)
@@ -98,11 +114,7 @@ def mix(
     ).withColumns({"before": F.col("before") + F.col("offset"), "budget": budget})
     whole = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(0)
     rest = F.when(F.col("source_size") > 0, F.expr("budget % source_size")).otherwise(0)
-    partly = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    taken = (whole * F.col("size") + partly).cast("long")
-    return placed.select(
-        "doc_id", "source", "size", "text_hash", "source_size", "target", taken.alias("taken")
-    )
+    return placed.withColumns({"whole": whole, "rest": rest})
 
 
 def _small(targets: DataFrame) -> DataFrame:
@@ -115,32 +127,67 @@ def first_words(text: Column, count: Column) -> Column:
     return F.array_join(F.slice(words, F.lit(1), count.cast("int")), "")
 
 
-def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+def _cuts(placed: DataFrame) -> DataFrame:
+    """One row per source: its whole epochs and, where there is one more in part, the row at its cut
+    (``at``) with the words that this row, or the rows equal to it, still take (``open``)."""
+    open_ = F.col("rest") - F.col("before")
+    last = F.struct("key", "doc_id", "size", "text_hash", open_.alias("open"))
+    inside = (F.col("size") > 0) & (open_ > 0)
+    # Of equal rows the first one, with the most words left, is the greatest here.
+    found = placed.groupBy("source").agg(F.max("whole").alias("whole"), F.max(F.when(inside, last)).alias("last"))
+    at = F.struct(*[F.col(f"last.{name}").alias(name) for name in ("key", "doc_id", "size", "text_hash")])
+    at = F.when(F.col("last").isNotNull(), at)
+    return found.select("source", "whole", at.alias("at"), F.col("last.open").alias("open"))
+
+
+def mixed_documents(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 7
+) -> DataFrame:
     """The mix itself, columns as in ``docs``: a document once per epoch, the one at the cut shortened.
 
-    Rows that repeat id, source and text stand for one document there, which gets all their takes.
+    Texts are not shuffled: each source has one cut in the order of the keys, and a document tells by
+    its own key on which side it stands. Only rows equal to the one at the cut (id, source and text) are
+    numbered, and take what is left one after the other. Nulls are a source, an id or an empty text;
+    texts without words are never in the mix; long texts and clashing names stay as they are; an empty
+    table gives no rows.
     """
-    takes = stored(mix(docs, **settings).where(F.col("taken") > 0), "mixing-takes")
-    repeated = takes.groupBy("doc_id", "source", "text_hash").count().where(F.col("count") > 1)
-    own = docs.dropDuplicates(["doc_id", "source", "text"]) if repeated.limit(1).count() else docs
-    doc_id, source, text_hash, size, words = free_names(docs, "id", "of", "hash", "size", "words")
-    epochs = F.array_repeat(F.col("size"), F.expr("taken div size").cast("int"))
-    part = F.expr("taken % size")
-    lengths = F.concat(epochs, F.when(part > 0, F.array(part)).otherwise(F.array()))
-    takes = takes.select(
-        F.col("doc_id").alias(doc_id),
-        F.col("source").alias(source),
-        F.col("text_hash").alias(text_hash),
-        F.col("size").alias(size),
-        F.explode(lengths).alias(words),
+    cuts = stored(_cuts(_placed(docs, weights, share, most, seed)), "mixing-cuts")
+    of, whole, at, open_, side, copies, words, place, total = free_names(
+        docs, "of", "whole", "at", "open", "side", "copies", "words", "place", "total"
+    )
+    cuts = cuts.withColumnsRenamed({"source": of, "whole": whole, "at": at, "open": open_})
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    key = _key(F.col("doc_id"), seed)
+    rest = F.struct(F.col("doc_id"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
+    cut = F.struct(*[F.col(f"{at}.{name}") for name in ("doc_id", "size", "text_hash")])
+    # -1 before the cut, 0 at it, 1 behind it. Sizes are counted only where keys are equal.
+    order = (
+        F.when(F.col(at).isNull() | (key > F.col(f"{at}.key")), 1)
+        .when(key < F.col(f"{at}.key"), -1)
+        .when(rest < cut, -1)
+        .when(rest > cut, 1)
+        .otherwise(0)
+    )
+    dealt = docs.join(cuts, F.col("source").eqNullSafe(F.col(of))).where(has_words).withColumn(side, order)
+    plain = dealt.where(F.col(side) != 0).select(
+        *docs.columns,
+        (F.col(whole) + F.when(F.col(side) < 0, 1).otherwise(0)).alias(copies),
+        F.lit(None).cast("long").alias(words),
     )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col(doc_id))
-        & F.col("source").eqNullSafe(F.col(source))
-        & (F.xxhash64("text") == F.col(text_hash))
+    tied = ranked(dealt.where(F.col(side) == 0), [of], [], place, total)
+    size = F.col(f"{at}.size")
+    left = F.greatest(F.lit(0), F.least(size, F.col(open_) - F.col(place) * size))
+    tied = tied.select(
+        *docs.columns,
+        (F.col(whole) + F.when(left == size, 1).otherwise(0)).alias(copies),
+        F.when((left > 0) & (left < size), left).alias(words),
     )
-    cut = F.when(F.col(words) < F.col(size), first_words(F.col("text"), F.col(words)))
+    # One row per whole epoch (null: all words), and one with the words of the part.
+    epochs = F.array_repeat(F.lit(None).cast("long"), F.col(copies).cast("int"))
+    part = F.when(F.col(words).isNotNull(), F.array(words)).otherwise(F.array().cast("array<bigint>"))
+    found = plain.unionAll(tied).withColumn(words, F.explode(F.concat(epochs, part)))
+    cut = F.when(F.col(words).isNotNull(), first_words(F.col("text"), F.col(words)))
     out = {"text": F.coalesce(cut, F.col("text"))}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(cut.isNull(), F.col("n_chars")).otherwise(F.length(cut).cast("long"))
-    return own.join(takes, same).withColumns(out).select(*docs.columns)
+    return found.withColumns(out).select(*docs.columns)

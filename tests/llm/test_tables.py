@@ -257,6 +257,25 @@ def test_mixed_documents(table, request):
     assert dict(words) == {key: value for key, value in expected.items() if value}
 
 
+def test_a_cut_among_equal_rows(spark):
+    """Copies of one id, source and text take what is left one after the other; texts stay where they are."""
+    rows = [(1, "one two three four five", "b")] * 9 + [(2, "x y", "b"), (3, None, "b"), (None, "n m o", "b")]
+    # 112 words: null and a take twice their own, b the 44 left of 168; its copies hold 45 of its 50.
+    rows += [(n, "w " * (n % 4), "a") for n in range(100, 140)] + [(50, "lone word", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mixed_documents(docs)
+    words, expected = Counter(), Counter()
+    for row in out.collect():
+        words[row["doc_id"]] += len(WORDS.findall(row["text"]))
+    for row in mixing.mix(docs).collect():
+        expected[row["doc_id"]] += row["taken"]
+    assert words == +expected
+    assert 39 <= words[1] <= 44 and sum(words[n] for n in (1, 2, None)) == 44
+    # Copies are whole, but for one of them at most.
+    partly = [row["text"] for row in out.collect() if row["doc_id"] == 1 and row["text"] != rows[0][1]]
+    assert len(partly) <= 1 and all(rows[0][1].startswith(text) for text in partly)
+
+
 # --- secrets
 
 ASSIGN = re.compile(
