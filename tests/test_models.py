@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import itertools
 import math
+from collections import Counter
 
 import pytest
 from conftest import as_dicts, make_tables
+from pyspark.ml.fpm import FPGrowthModel
 
 from cartloom.jobs.feature_tables import FEATURE_TABLES, export_job
 import argparse
@@ -86,6 +89,40 @@ def test_itemsets_agree_with_counting(spark):
     assert [r["lift"] for r in rules] == sorted((r["lift"] for r in rules), reverse=True)
 
 
+def test_itemsets_of_every_size_and_their_stored_model(spark, tmp_path):
+    baskets = [sorted({str(n % 3), str(n % 5), str(n % 7), str(10 + n % 4), str(100 + n)}) for n in range(400)]
+    df = spark.createDataFrame([(basket,) for basket in baskets], "items array<string>")
+    seen = Counter(s for b in baskets for size in range(1, len(b) + 1) for s in itertools.combinations(b, size))
+    want = {members: n for members, n in seen.items() if n >= 8}
+    path = str(tmp_path / "model")
+    model = association.fit_itemsets(df, 8 / 400, 0.1, path)
+    assert {tuple(sorted(r["items"])): r["freq"] for r in as_dicts(model.freqItemsets)} == want
+    assert max(map(len, want)) == 3
+    rules = as_dicts(association.rules_of(FPGrowthModel.load(path)))
+    assert len(rules) == sum(n >= 0.1 * want[tuple(x for x in s if x != y)] for s, n in want.items() if s[1:] for y in s)
+    for rule in rules:
+        one, other = tuple(rule["antecedent"]), tuple(rule["consequent"])
+        both = want[tuple(sorted(one + other))]
+        assert rule["support"] == both / 400
+        assert rule["lift"] == pytest.approx(both / want[one] / (want[other] / 400))
+
+
+def test_trees_hold_frequent_pairs_only(spark, monkeypatch):
+    # Fifty items in 600 baskets that are all different; two of them are bought together often.
+    baskets = [(["x", "y", f"{n % 50}", f"{50 + n // 50}"] if n < 20 else [f"{n % 50}", f"{50 + n // 50}"],) for n in range(600)]
+    fitted = []
+
+    class Noted(association.FPGrowth):
+        def fit(self, rows):
+            fitted.append(sorted(sorted(r["items"]) for r in rows.collect() if r["items"]))
+            return super().fit(rows)
+
+    monkeypatch.setattr(association, "FPGrowth", Noted)
+    model = association.fit_itemsets(spark.createDataFrame(baskets, "items array<string>"), 10 / 600, 0.1)
+    assert {tuple(sorted(r["items"])) for r in as_dicts(model.freqItemsets) if len(r["items"]) > 1} >= {("x", "y")}
+    assert fitted and all(set(kept) >= {"x", "y"} for kept in fitted[0]) and len(fitted[0]) == 20
+
+
 def test_no_basket_of_two(spark, tmp_path):
     baskets = spark.createDataFrame([(["1"],)], "items array<string>")
     report = association.train_basket_rules(baskets, baskets, str(tmp_path))
