@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -53,11 +55,11 @@ def register_views(tables: Tables) -> None:
         df.createOrReplaceTempView(VIEW_NAMES[name])
 
 
-def write_csv_tables(tables: Tables, base: str) -> None:
-    """Write the six tables in the form ``load_tables`` reads, each as a folder of CSV files."""
-    for name, file in CSV_FILES.items():
+def write_csv_tables(tables: Tables, base: str, names: Iterable[str] = tuple(CSV_FILES)) -> None:
+    """Write the six tables, or some, in the form ``load_tables`` reads, each as a folder of CSV files."""
+    for name in names:
         writer = getattr(tables, name).write.mode("overwrite")
-        writer.options(header="true", quote='"', escape='"').csv(f"{base.rstrip('/')}/{file}")
+        writer.options(header="true", quote='"', escape='"').csv(f"{base.rstrip('/')}/{CSV_FILES[name]}")
 
 
 def sample_users(tables: Tables, fraction: float, seed: int = 42) -> Tables:

@@ -7,9 +7,11 @@ import random
 
 import pytest
 from conftest import ORDERS, as_dicts, make_tables
+from pyspark.sql import functions as F
 
 from cartloom.operators.relational import modes_per_key
 from cartloom.plans import features
+from cartloom.sources import staging
 from cartloom.sources.staging import store_tables
 
 
@@ -198,3 +200,26 @@ def test_a_user_with_too_many_lines_keeps_the_fact_by_order(spark, shop, monkeyp
         features.user_features(features.prior_full(shop)), "user_id"
     )
     assert not features.kept_by_user(shop)
+
+
+def test_product_features_shuffle_sums_per_product_only(spark, capsys):
+    rows = [(n % 40, n % 7, n, 1 + n % 3, n % 2) for n in range(400)]
+    fact = spark.createDataFrame(rows, "user_id long, product_id long, order_id long, add_to_cart_order int, reordered int")
+    ones = {name: F.lit(1) for name in ("is_organic", "department_id", "aisle_id")}
+    fact = fact.withColumns(ones)
+    folder = f"{staging.required_folder(spark)}/product-features"
+    fact.repartition(4, "user_id").write.bucketBy(4, "user_id").option("path", folder).saveAsTable("product_features_fact")
+    try:
+        table = features.product_features(spark.table("product_features_fact"))
+        for row in as_dicts(table):
+            own = [r for r in rows if r[1] == row["product_id"]]
+            assert row["p_total_orders"] == len(own) and row["p_unique_users"] == len({r[0] for r in own})
+            assert row["p_avg_add_to_cart_order"] == pytest.approx(sum(r[3] for r in own) / len(own))
+            assert row["p_reorder_rate"] == pytest.approx(sum(r[4] for r in own) / len(own))
+        capsys.readouterr()
+        table.explain("simple")
+        plan, _, _ = capsys.readouterr().out.partition("== Initial Plan ==")
+        shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert shuffles and not any("user_id" in line.split("ENSURE")[0] for line in shuffles)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS product_features_fact")

@@ -5,10 +5,12 @@ import json
 import os
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import AISLES, DEPARTMENTS, ORDERS, PRIOR, PRODUCTS, TRAIN, as_dicts, make_tables
 
+import __spark_entry__ as contract
 from cartloom.jobs import feature_tables
 from cartloom.jobs.session import open_tables
 from cartloom.plans.products import (
@@ -222,3 +224,11 @@ def test_cluster_without_shared_folder_is_told(spark, monkeypatch):
     monkeypatch.setattr(staging, "shared_folder", lambda spark: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shop_module.shop_tables(spark, "/nowhere")
+
+
+def test_csv_products_writes_products_alone(spark, shop):
+    folder = Path(staging.required_folder(spark))
+    before = set(folder.glob("csv-*/*"))
+    rows = contract.QUERIES["csv_products"](shop).collect()
+    assert {row["product_name"] for row in rows} == {f'a "quoted", {p["product_name"]},\n"' for p in shop.products.collect()}
+    assert [path.name for path in set(folder.glob("csv-*/*")) - before] == ["products.csv"]

@@ -114,6 +114,12 @@ def test_buckets_within_what_spark_allows(spark):
     assert staging.bucket_count(spark, 1) == spark.sparkContext.defaultParallelism
 
 
+def test_bytes_of_a_bucket_stay_as_the_input_grows(spark):
+    sizes = [n << 30 for n in (1, 6, 36)]
+    assert {size / staging.bucket_count(spark, size) for size in sizes} == {staging.BYTES_PER_BUCKET}
+    assert staging.BYTES_PER_BUCKET <= 4 << 20
+
+
 def test_failed_derivation_can_be_repeated(spark, shop):
     store = staging.Store.open(spark, staging.required_folder(spark), 1)
     known: list[dict] = [{"database": store.database}, {}]
