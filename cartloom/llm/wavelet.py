@@ -52,7 +52,8 @@ class WaveletMatrix:
             plane = np.packbits(bits, bitorder="little")
             planes.append(plane)
             ranks.append(cls._sample(plane))
-            now = np.concatenate([now[~bits], now[bits]])
+            # Places are found faster than a mask is applied to bits without order.
+            now = np.concatenate([now.take(np.flatnonzero(~bits)), now.take(np.flatnonzero(bits))])
         return cls(planes, ranks, len(ids))
 
     @staticmethod
@@ -129,8 +130,8 @@ class WaveletMatrix:
         for level in range(len(self.planes) - 1, -1, -1):
             bits = np.unpackbits(self.planes[level], bitorder="little", count=self.size).view(bool)
             out = np.empty(self.size, kind)
-            out[~bits] = now[: self.zeros[level]]
-            out[bits] = now[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
+            out[np.flatnonzero(~bits)] = now[: self.zeros[level]]
+            out[np.flatnonzero(bits)] = now[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
             now = out
         return now
 
