@@ -461,6 +461,51 @@ def test_trie_join_finds_every_link(spark, budget, parts, levels):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+@pytest.mark.parametrize("node", [simhash.NODE, 25])
+def test_links_within_buckets(spark, node):
+    """Against all pairs of a bucket, large buckets cut into blocks; equal bits of other buckets are not met."""
+    rng = np.random.default_rng(31)
+    rows = [(1, 7, 7), (2, 7, 7), (2, 8, 7), (3, 8 + (1 << 40), 7), (4, 1 << 50, 9)]
+    for bucket, size in ((10, 2), (11, 3), (12, 40), (-13, 90)):
+        base = int(rng.integers(0, 1 << 62))
+        for _ in range(size):
+            fp, tail = (sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 6), replace=False)) for _ in range(2))
+            rows.append((bucket, base ^ fp, tail))
+    rows = sorted(set(rows))
+
+    def linked(a, b):
+        first = (a[1] ^ b[1]).bit_count()
+        return a[1:] == b[1:] or a[0] == b[0] and first <= 5 and first + (a[2] ^ b[2]).bit_count() <= 9
+
+    keyed = spark.createDataFrame(rows, "bucket long, fp long, tail long")
+    found = simhash._links_by(keyed.unionAll(keyed.limit(9)), 5, 9, node)
+    names = dict(simhash.classes(found).collect())
+    assert names == dict(simhash.classes(simhash.links(keyed, 5, whole=9, by="bucket")).collect())
+    hexes = [f"{fp:016x}{tail:016x}" for _, fp, tail in rows]
+    least = {}
+    label = plain_classes(rows, linked)
+    for name, one in zip(hexes, label):
+        least[one] = min(least.get(one, name), name)
+    assert {n: names.get(n, n) for n in hexes} == {n: least[one] for n, one in zip(hexes, label)}
+    assert simhash.links(keyed.limit(0), 5, whole=9, by="bucket").count() == 0
+
+
+def test_alike_sets_share_a_bucket():
+    """Sets of a Jaccard of 0.8 meet in some bucket; different ones in none, so that work follows the texts."""
+    rng = np.random.default_rng(4)
+    met, apart = 0, 0
+    for _ in range(1000):
+        values = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+        one, other, third = values[:180], np.concatenate([values[20:180], values[180:200]]), values[200:]
+        one, other, third = (simhash.bands(np.sort(x)) for x in (one, other, third))
+        met += bool((one == other).any())
+        apart += not np.isin(one, third).any()
+    assert met >= 998 and apart == 1000
+    long = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    assert np.array_equal(simhash.bands(long), simhash.bands(rng.permutation(long)))
+    assert len(simhash.bands(long[:0])) == simhash.BANDS
+
+
 def test_long_chain_is_one_class(spark):
     chain = [(f"{n:04}", f"{n + 1:04}") for n in range(300)]
     found = simhash.classes(spark.createDataFrame(chain, "key string, root string")).collect()
