@@ -15,6 +15,7 @@ add nothing; an empty table gives no rows; a column named like an output gives w
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,10 +34,12 @@ KINDS = (
 )
 # What a text must have for a pattern to leave a match; found faster than the matches.
 _HINTS = (KINDS[0][1], r"AKIA[A-Z0-9]{12}", r"[0-9a-f]{32}")
+# One of these is in the lower case of every text with a match of the first pattern.
+_NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MARKOV = "markov"
 LEAST = 16
-_RUN = r"[A-Za-z0-9+/_=-]+"
-_LONG_RUN = r"[A-Za-z0-9+/_=-]{16}"
+# Runs are only looked at where they begin; shorter ones make no match.
+_LONG_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
 RATIO = 10.0
 PER_STEP = 0.5
 #: Added to the count of every character of a model.
@@ -49,13 +52,13 @@ SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
 def matches(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
-    """Spans of the leftmost matches whose group has ``least`` characters.
+    """Spans of the leftmost matches whose group (0: the whole match) has ``least`` characters.
 
     The pieces between matches and the matches themselves give the positions.
     """
     between = F.transform(F.split(text, pattern, -1), F.length)
     found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
-    measured = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
+    measured = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length) if group else found
     rows = F.zip_with(
         F.slice(between, F.lit(1), F.size(found)),
         F.arrays_zip(found.alias("whole"), measured.alias("part")),
@@ -73,18 +76,35 @@ def matches(text: Column, pattern: str, group: int, least: int, kind: int) -> Co
     return F.aggregate(rows, empty, add, lambda state: state["spans"])
 
 
-def base_spans(text: Column) -> Column:
+def long_run(text: Column) -> Column:
+    """Whether a text has a candidate, or a run that holds one with base spans."""
+    return text.rlike(_LONG_RUN)
+
+
+def hints(text: Column, long: Column | None = None) -> list[Column]:
+    """Per kind, whether its pattern leaves a match; what is found fastest is asked first.
+
+    ``long``: where it is known, ``long_run`` of the text, without which there is no match of the third kind.
+    """
+    # Lower case is made once for all names.
+    named = F.exists(F.array(F.lower(text)), lambda low: reduce(Column.__or__, map(low.contains, _NAMES)))
+    first = named, text.contains("AKIA"), F.lit(True) if long is None else long
+    return [sign & text.rlike(hint) for sign, hint in zip(first, _HINTS)]
+
+
+def base_spans(text: Column, long: Column | None = None) -> Column:
     """All spans of the fixed patterns by start, then kind."""
     per_kind = []
-    for number, ((_, pattern, group, least), hint) in enumerate(zip(KINDS, _HINTS)):
-        own = F.when(text.rlike(hint), matches(text, pattern, group, least, number))
+    for number, ((_, pattern, group, least), hint) in enumerate(zip(KINDS, hints(text, long))):
+        own = F.when(hint, matches(text, pattern, group, least, number))
         per_kind.append(F.coalesce(own, F.array().cast(SPAN)))
     return F.array_sort(F.concat(*per_kind))
 
 
-def candidate_spans(text: Column, base: Column) -> Column:
+def candidate_spans(text: Column, base: Column, long: Column | None = None) -> Column:
     """Long runs, and what base spans leave of them: every rest of ``LEAST`` or more."""
-    runs = F.when(text.rlike(_LONG_RUN), matches(text, f"({_RUN})", 1, LEAST, len(KINDS)))
+    long = long_run(text) if long is None else long
+    runs = F.when(long, matches(text, _LONG_RUN, 0, LEAST, len(KINDS)))
 
     def rests(run: Column) -> Column:
         # Base spans come by their start; what lies between the end of all before and the next start is a rest.
@@ -117,18 +137,19 @@ def _as_long_as(least: int):
 
 def labelled_strings(docs: DataFrame) -> DataFrame:
     """Labelled strings (value, random) of all documents."""
-    any_hint = F.lit(False)
-    values = F.array().cast("array<string>")
-    for (_, pattern, group, least), hint in zip(KINDS, _HINTS):
-        any_hint = any_hint | F.col("text").rlike(hint)
+    none = F.array().cast("array<string>")
+    any_hint, values = F.lit(False), none
+    for number, (_, pattern, group, least) in enumerate(KINDS):
+        any_hint = any_hint | F.col("hinted")[number]
         found = F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
         # Not as a default of the function: Spark would take a second parameter for the position.
-        values = F.concat(values, F.filter(found, _as_long_as(least)))
-    texts = docs.select("text").where(F.col("text").isNotNull())
+        found = F.filter(found, _as_long_as(least))
+        values = F.concat(values, F.when(F.col("hinted")[number], found).otherwise(none))
+    texts = docs.select("text", F.array(*hints(F.col("text"))).alias("hinted")).where(F.col("text").isNotNull())
     digest = F.unhex(F.sha2("text", 256))
     made = F.array(F.base64(digest), F.upper(F.sha2("text", 256)), F.sha1("text"))
     words = F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))
-    random, ordinary = F.concat(values, made), F.when(any_hint, F.array().cast("array<string>")).otherwise(words)
+    random, ordinary = F.concat(values, made), F.when(any_hint, none).otherwise(words)
     sides = F.array(
         F.struct(F.lit(True).alias("random"), random.alias("values")),
         F.struct(F.lit(False).alias("random"), ordinary.alias("values")),
@@ -180,9 +201,11 @@ def ratio(value: Column, table: list[float]) -> Column:
 def scan(docs: DataFrame, table: list[float], base: str = "base", spans: str = "spans") -> DataFrame:
     """All columns of ``docs``, base (fixed patterns) and spans (all): arrays of start, kind, end."""
     text, docs = F.col("text"), without(docs, base, spans)
-    [runs] = free_names(docs, "runs")
-    based = docs.withColumn(base, F.coalesce(base_spans(text), F.array().cast(SPAN)))
-    found = based.withColumn(runs, F.coalesce(candidate_spans(text, F.col(base)), F.array().cast(SPAN)))
+    runs, long = free_names(docs, "runs", "long")
+    marked = docs.withColumn(long, long_run(text))
+    based = marked.withColumn(base, F.coalesce(base_spans(text, F.col(long)), F.array().cast(SPAN)))
+    candidates = candidate_spans(text, F.col(base), F.col(long))
+    found = based.withColumn(runs, F.coalesce(candidates, F.array().cast(SPAN)))
 
     def secret(run: Column) -> Column:
         value = F.substring(text, run["start"] + 1, run["end"] - run["start"])
@@ -191,7 +214,7 @@ def scan(docs: DataFrame, table: list[float], base: str = "base", spans: str = "
             F.array(ratio(value, table)), lambda total: (total >= RATIO) & (total >= PER_STEP * steps)
         )[0]
 
-    return found.withColumn(spans, F.array_sort(F.concat(base, F.filter(runs, secret)))).drop(runs)
+    return found.withColumn(spans, F.array_sort(F.concat(base, F.filter(runs, secret)))).drop(runs, long)
 
 
 def span_text(spans: Column) -> Column:
