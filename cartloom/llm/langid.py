@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -246,31 +247,43 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     return network
 
 
+class _Places(dict):
+    """Words in the order in which they were asked for first, numbered."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
+
+
 class _Sums:
-    """Sums per distinct word, kept for the words of the last tasks."""
+    """Sums per distinct word. Of more than a worker keeps, those stay that came twice since the last time."""
 
     def __init__(self, network: Network):
         self.network = network
-        self.clear()
+        self.place = _Places()
+        self.table = np.zeros((0, len(network.languages)), np.float32)
+        self.lengths, self.seen = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.table = np.zeros((0, len(self.network.languages)), np.float32)
-        self.lengths = np.zeros(0, np.int64)
+    def forget(self) -> None:
+        kept = np.nonzero(self.seen > 1)[0]
+        words = list(self.place)
+        self.place = _Places((words[old], new) for new, old in enumerate(kept.tolist()))
+        self.table, self.lengths, self.seen = self.table[kept], self.lengths[kept], np.zeros(len(kept), np.int64)
 
     def pooled(self, texts: list[bytes]) -> np.ndarray:
         """Mean probabilities of every text; zeros for a text without words."""
         if len(self.place) > MEMO * MANY // max(MANY, self.table.shape[1]):
-            self.clear()
-        get, place = self.place.setdefault, self.place
-        known = len(place)
+            self.forget()
+        place, known = self.place, len(self.place)
         words = [text.lower().split() for text in texts]
         counts = np.array(list(map(len, words)))
-        ids = np.fromiter((get(word, len(place)) for own in words for word in own), np.int64, int(counts.sum()))
+        ids = np.fromiter(map(place.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
         if len(place) > known:
-            fresh = [b" " + word for word in list(place)[known:]]
+            fresh = [b" " + word for word in islice(place, known, None)]
             self.table = np.concatenate([self.table, self.network.word_sums(fresh)])
             self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, fresh), np.int64, len(fresh))])
+            self.seen = np.concatenate([self.seen, np.zeros(len(fresh), np.int64)])
+        self.seen += np.bincount(ids, minlength=len(place))
         text = np.repeat(np.arange(len(texts)), counts)
         out = np.zeros((len(texts), self.table.shape[1]))
         for column in range(out.shape[1]):

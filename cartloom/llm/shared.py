@@ -79,9 +79,11 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
 
 
 def word_count(text: Column) -> Column:
-    """Words of a text, null counting as empty, without a copy of each word."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", "     ")
-    return F.regexp_count(spaced, F.lit(r"[^\x20]+")).cast("long")
+    """Words of a text, null counting as empty, without a copy of each word.
+
+    ``\\S`` is what ``WORD`` repeats, in a form that Java tests faster.
+    """
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S++")).cast("long")
 
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

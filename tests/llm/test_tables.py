@@ -226,6 +226,12 @@ def test_mix(table, request):
         assert taken[source] == round(targets[source])
 
 
+def test_words_are_counted_between_ascii_spaces(spark):
+    texts = [None, "", " ", "a", "a b", "\ta\n\x0bb\x0c\rc ", "a\x1cb\x85c\u00a0d\u2003e \u3000", "é ß\x00 x\x1f"]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.word_count(F.col("text"))).collect()
+    assert [row[0] for row in found] == [len(WORDS.findall(t or "")) for t in texts]
+
+
 def test_mix_cuts_in_key_order(spark, monkeypatch):
     """One source over many key ranges: the same documents as a plain prefix over the sorted keys."""
     monkeypatch.setattr(mixing, "RANGE_ROWS", 10)

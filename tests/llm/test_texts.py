@@ -160,6 +160,20 @@ def test_cuts_are_forced(vocabulary):
     assert any(len(codec.fragments("".join(letters[b] for b in text.encode()))) > 1 for text in pieces)
 
 
+def test_equal_neighbours_are_encoded_once(vocabulary):
+    codec, calls = bpe.codec(vocabulary), []
+
+    class Counted:
+        def encode(self, text):
+            calls.append(text)
+            return codec.encode(text)
+
+    texts = [b"", b"", b"one text", b"one text", b"one text", b"another", b"one text", b""]
+    assert bpe.encoded(Counted(), texts) == [codec.encode(text) for text in texts]
+    assert calls == [b"", b"one text", b"another", b"one text", b""]
+    assert bpe.encoded(Counted(), []) == []
+
+
 def test_encode_keeps_other_columns(clashing, vocabulary):
     encoded = bpe.encode(clashing, vocabulary)
     assert "IDS" not in encoded.columns and "SCORE" in encoded.columns and "text" not in encoded.columns
@@ -344,6 +358,26 @@ def test_identify_without_network_and_edges(table, request):
     assert langid.report(df.where("doc_id < 0")).count() == 0
 
 
+def test_frequent_words_stay_known(monkeypatch):
+    """Of more words than a worker keeps, those that came twice stay; answers do not change."""
+    asked = []
+
+    class Counted(langid.Network):
+        def word_sums(self, words):
+            asked.extend(words)
+            return super().word_sums(words)
+
+    network = Counted(["aa", "bb"])
+    texts = [f"often twice once{n} often".encode() for n in range(30)] + [b"", b"often"]
+    whole = langid._Sums(network).pooled(texts)
+    asked.clear()
+    monkeypatch.setattr(langid, "MEMO", 6)
+    sums = langid._Sums(network)
+    assert np.allclose(np.concatenate([sums.pooled([text]) for text in texts]), whole, atol=1e-6)
+    assert Counter(asked)[b" often"] == Counter(asked)[b" twice"] == 1 and len(asked) == 32
+    assert len(sums.place) <= 8 and list(sums.place.values()) == list(range(len(sums.place)))
+
+
 def test_every_label_is_an_output(spark, monkeypatch):
     """More labelled languages than one network of few outputs would have: none is left out."""
     monkeypatch.setattr(langid, "STEPS", 30)
